@@ -1,7 +1,7 @@
 """Domain models and their oracles."""
 from __future__ import annotations
 
-from catalog.registry import blank, classify, codes, cte, fold, has, is_in, leading_int, null_in, one, query, tier
+from catalog.registry import blank, classify, codes, cte, fold, has, is_in, leading_int, null_in, one, query, rnd, tier
 from ticketlake import rules as R
 from ticketlake.plans.warehouse import Warehouse
 
@@ -141,7 +141,7 @@ SELECT {KEY.format('ID')} AS drive_pk, ID AS drive_id, HARDWARE_ID AS hardware_i
   {classify('TYPE', R.DRIVE_TYPE, 'other')} AS drive_type, upper({blank('FILESYSTEM')}) AS filesystem,
   CASE WHEN TOTAL > 0 THEN round(TOTAL::DOUBLE / 1024, 2) END AS total_size_gb, CASE WHEN FREE >= 0 THEN round(FREE::DOUBLE / 1024, 2) END AS free_size_gb,
   CASE WHEN NUMFILES < 0 THEN NULL ELSE NUMFILES END AS num_files, {blank('VOLUMN')} AS volume_label, CREATEDATE AS created_date,
-  CASE WHEN TOTAL > 0 THEN round({_USED} * 100, 2) END AS used_percent,
+  CASE WHEN TOTAL > 0 THEN {rnd(_USED + " * 100", 2)} END AS used_percent,
   CASE WHEN TOTAL IS NULL OR TOTAL <= 0 OR FREE IS NULL THEN 'unknown' WHEN {_USED} >= 0.9 THEN 'critical' WHEN {_USED} >= 0.75 THEN 'high'
     WHEN {_USED} >= 0.5 THEN 'medium' ELSE 'healthy' END AS storage_health,
   COALESCE(TOTAL >= 500000, FALSE) AS is_large_drive, source_year, source_system FROM bronze_ocs_drives
@@ -297,7 +297,7 @@ cte("silver_triage", f"""
 SELECT *, {tier('ticket_age_hours', R.AGE_SEVERITY_CUTS, 'unknown')} AS age_severity, {tier('previous_tickets', R.CUSTOMER_TYPE_CUTS, 'new')} AS customer_type,
   {tier('sla_risk_score', R.TRIAGE_CUTS, 'low')} AS triage_priority, {tier('escalation_probability', R.ESCALATION_CUTS, 'low')} AS escalation_risk_level
 FROM (SELECT *,
-  round(priority_score * 0.35::DOUBLE + complexity_score * 0.20::DOUBLE + {_AGE} * 0.15::DOUBLE + {_PREV} * 0.15::DOUBLE + {_SAT} * 0.15::DOUBLE, 2) AS sla_risk_score,
+  {rnd(f'priority_score * 0.35::DOUBLE + complexity_score * 0.20::DOUBLE + {_AGE} * 0.15::DOUBLE + {_PREV} * 0.15::DOUBLE + {_SAT} * 0.15::DOUBLE', 2)} AS sla_risk_score,
   round(least(priority_score * 0.25::DOUBLE + was_escalated * 3 * 0.25::DOUBLE + CASE WHEN ticket_age_hours > 48 THEN 3 ELSE 0 END * 0.20::DOUBLE
     + complexity_score * 0.20::DOUBLE + CASE WHEN satisfaction_score < 3 THEN 2 ELSE 0 END * 0.10::DOUBLE, 10), 2) AS escalation_probability
 FROM (SELECT event_pk AS ticket_fk, source_system, source_id, created_at, closed_at, date_sub('hour', created_at, COALESCE(closed_at, {NOW})) AS ticket_age_hours,
@@ -344,7 +344,7 @@ LEFT JOIN (SELECT source_year, hardware_id, COUNT(DISTINCT drive_pk) AS drive_co
   MAX({codes('storage_health', R.DRIVE_HEALTH_ORDINAL, None)}) AS drive_health_encoded FROM stg_drives WHERE drive_type = 'fixed' GROUP BY ALL) d
   ON o.source_year = d.source_year AND o.hardware_id = d.hardware_id
 LEFT JOIN (SELECT source_year, hardware_id, COUNT(*) AS n, COUNT(*) FILTER (software_risk_level IN ('critical','high')) AS risky,
-  round(COUNT(*) FILTER (software_risk_level IN ('critical','high')) / COUNT(*)::DOUBLE, 4) AS risk_ratio FROM stg_software GROUP BY ALL) sw
+  {rnd("COUNT(*) FILTER (software_risk_level IN ('critical','high')) / COUNT(*)::DOUBLE", 4)} AS risk_ratio FROM stg_software GROUP BY ALL) sw
   ON o.source_year = sw.source_year AND o.hardware_id = sw.hardware_id)
 WHERE rn = 1
 """)
@@ -379,8 +379,8 @@ SELECT md5('GLPI_' || ticket_pk) AS sla_feature_pk, ticket_pk AS source_ticket_p
   COALESCE(f.n, 0) AS followup_count, COALESCE(f.pr, 0) AS private_followup_ratio, COALESCE(f.len, 0) AS avg_followup_content_length,
   CAST(NULL AS DOUBLE) AS issue_complexity_score, CAST(NULL AS INT) AS customer_tenure_months, CAST(NULL AS INT) AS previous_tickets, 0 AS is_escalated,
   CASE WHEN close_delay_stat > 0 THEN 1 ELSE 0 END AS was_sla_breached
-FROM stg_tickets t LEFT JOIN (SELECT ticket_id, COUNT(*) AS n, round(AVG(content_length), 2) AS len,
-  round(COUNT(*) FILTER (is_private) / COUNT(*)::DOUBLE, 4) AS pr FROM stg_followups GROUP BY ticket_id) f ON f.ticket_id = t.ticket_id WHERE NOT is_deleted
+FROM stg_tickets t LEFT JOIN (SELECT ticket_id, COUNT(*) AS n, {rnd('AVG(content_length)', 2)} AS len,
+  {rnd('COUNT(*) FILTER (is_private) / COUNT(*)::DOUBLE', 4)} AS pr FROM stg_followups GROUP BY ticket_id) f ON f.ticket_id = t.ticket_id WHERE NOT is_deleted
 UNION ALL
 SELECT md5('KAGGLE_' || unified_ticket_pk), unified_ticket_pk, source_dataset, COALESCE(ticket_id, '0'), created_at, resolved_at,
   CASE lower(priority) WHEN 'critical' THEN 5 WHEN 'urgent' THEN 5 WHEN 'high' THEN 4 WHEN 'medium' THEN 3 WHEN 'low' THEN 2 ELSE 1 END, NULL, NULL,
@@ -401,18 +401,18 @@ SELECT * EXCLUDE (uuid, last_inventory_date, last_seen_date, serial_number),
   CAST(NULL AS DOUBLE) AS anomaly_score, CAST(NULL AS BIGINT) AS is_anomaly
 FROM (SELECT *, {_GRADES} AS rule_based_risk_score FROM silver_assets)
 """)
-cte("gold_anomalies", """
+cte("gold_anomalies", f"""
 SELECT u.user_pk, u.user_id, u.user_name, u.user_type, CASE u.user_type WHEN 'HUMAN' THEN 0 WHEN 'SERVICE' THEN 1 WHEN 'SYSTEM' THEN 2 WHEN 'TEST' THEN 3 ELSE 4 END AS user_type_encoded,
   CAST(is_ldap_user AS INT) AS is_ldap_user, CAST(suspicious_account AS INT) AS is_suspicious_user,
   COALESCE(f.n, 0) + COALESCE(l.n, 0) + COALESCE(o.n, 0) AS total_activity_count, COALESCE(f.n, 0) AS followup_count, COALESCE(l.n, 0) AS log_action_count,
-  COALESCE(o.n, 0) AS ocs_inventory_count, COALESCE(round(f.priv / f.n::DOUBLE, 4), 0) AS private_followup_ratio, COALESCE(round(f.susp / f.n::DOUBLE, 4), 0) AS url_content_ratio,
-  round(COALESCE(f.len, 0), 2) AS avg_followup_length, COALESCE(l.ents, 0) AS unique_entities_touched, COALESCE(l.types, 0) AS unique_entity_types,
-  COALESCE(round(l.wr / l.n::DOUBLE, 4), 0) AS write_action_ratio,
+  COALESCE(o.n, 0) AS ocs_inventory_count, COALESCE({rnd('f.priv / f.n::DOUBLE', 4)}, 0) AS private_followup_ratio, COALESCE({rnd('f.susp / f.n::DOUBLE', 4)}, 0) AS url_content_ratio,
+  {rnd('COALESCE(f.len, 0)', 2)} AS avg_followup_length, COALESCE(l.ents, 0) AS unique_entities_touched, COALESCE(l.types, 0) AS unique_entity_types,
+  COALESCE({rnd('l.wr / l.n::DOUBLE', 4)}, 0) AS write_action_ratio,
   greatest(COALESCE(f.days, 0), COALESCE(f.span, 0), date_diff('day', COALESCE(CAST(l.last AS DATE), DATE '2024-02-01'), DATE '2024-02-01')) AS distinct_days_active,
   greatest(COALESCE(f.span, 0), date_diff('day', COALESCE(CAST(o.last AS DATE), DATE '2024-02-01'), DATE '2024-02-01')) AS activity_span_days,
-  round(CASE WHEN greatest(COALESCE(f.span, 0), date_diff('day', COALESCE(CAST(o.last AS DATE), DATE '2024-02-01'), DATE '2024-02-01')) > 0
+  CAST(round(CAST(CASE WHEN greatest(COALESCE(f.span, 0), date_diff('day', COALESCE(CAST(o.last AS DATE), DATE '2024-02-01'), DATE '2024-02-01')) > 0
     THEN (COALESCE(f.n, 0) + COALESCE(l.n, 0) + COALESCE(o.n, 0)) / greatest(COALESCE(f.span, 0), date_diff('day', COALESCE(CAST(o.last AS DATE), DATE '2024-02-01'), DATE '2024-02-01'))::DOUBLE
-    ELSE COALESCE(f.n, 0) + COALESCE(l.n, 0) + COALESCE(o.n, 0) END, 4)::DOUBLE AS activity_density,
+    ELSE COALESCE(f.n, 0) + COALESCE(l.n, 0) + COALESCE(o.n, 0) END AS DECIMAL(18,6)), 4) AS DOUBLE) AS activity_density,
   CAST(COALESCE(f.n > 0, FALSE) AS INT) + CAST(COALESCE(l.n > 0, FALSE) AS INT) + CAST(COALESCE(o.n > 0, FALSE) AS INT) AS active_data_sources,
   CAST(NULL AS DOUBLE) AS isolation_forest_score, CAST(NULL AS DOUBLE) AS lof_score, CAST(NULL AS INT) AS is_anomaly_if, CAST(NULL AS INT) AS is_anomaly_lof
 FROM (SELECT * REPLACE (COALESCE(user_name, 'user-' || CAST(user_id AS VARCHAR)) AS user_name) FROM stg_users) u
@@ -435,8 +435,8 @@ SELECT ticket_pk, ticket_id, created_at, closed_at, concat_ws(' ', {_TOK('priori
   CASE WHEN waiting_duration > 86400 THEN 'long_waiting_time' WHEN waiting_duration > 3600 THEN 'moderate_waiting_time' END) AS tokens
 FROM stg_tickets WHERE NOT is_deleted
 """)
-cte("tmp_behaviour", """
-SELECT ticket_id, n, round(priv / n::DOUBLE, 4) AS private_ratio, round(len, 2) AS len, round(url / n::DOUBLE, 4) AS url_ratio, round(good / n::DOUBLE, 4) AS good_ratio,
+cte("tmp_behaviour", f"""
+SELECT ticket_id, n, {rnd('priv / n::DOUBLE', 4)} AS private_ratio, {rnd('len', 2)} AS len, {rnd('url / n::DOUBLE', 4)} AS url_ratio, {rnd('good / n::DOUBLE', 4)} AS good_ratio,
   concat_ws(' ', CASE WHEN n > 10 THEN 'multiple_followups' END, CASE WHEN priv / n::DOUBLE > 0.5 THEN 'private_heavy_ticket' END, CASE WHEN len > 500 THEN 'detailed_interactions' END,
     CASE WHEN url / n::DOUBLE > 0.3 THEN 'url_heavy_activity' END, CASE WHEN good / n::DOUBLE < 0.3 THEN 'low_information_ticket' END) AS behaviour
 FROM (SELECT ticket_id, COUNT(*) AS n, COUNT(*) FILTER (is_private) AS priv, AVG(content_length) AS len, COUNT(*) FILTER (contains_url) AS url,

@@ -110,3 +110,8 @@ def null_in(x: str, values, contains=()) -> str:
 
 def leading_int(x: str) -> str:
     return f"CASE WHEN {x} IS NULL THEN NULL ELSE COALESCE(TRY_CAST(regexp_extract({x}, '^\\s*([0-9]+)', 1) AS BIGINT), 0) END"
+
+
+def rnd(x: str, digits: int) -> str:
+    """Half-up rounding on a decimal."""
+    return f"CAST(round(CAST({x} AS DECIMAL(18,6)), {digits}) AS DOUBLE)"

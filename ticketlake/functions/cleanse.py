@@ -140,8 +140,14 @@ def leading_int(col) -> Column:
     return F.when(c.isNotNull(), F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint")))
 
 
+def rounded(col, digits: int) -> Column:
+    """Half-up rounding on a compact decimal, so binary noise never decides a tie."""
+    c = _c(col)
+    return F.coalesce(F.round(c.try_cast("decimal(18,6)"), digits).cast("double"), F.round(c.cast("double"), digits))
+
+
 def scaled(col, divisor, digits: int = 2) -> Column:
-    return F.round(_c(col) / F.lit(float(divisor)), digits)
+    return rounded(_c(col) / F.lit(float(divisor)), digits)
 
 
 def without_suffix(col, suffix: str, dtype: str) -> Column:
@@ -153,14 +159,14 @@ def bytes_or_megabytes_gb(col) -> Column:
     """Magnitude-sensitive capacity: above 1e9 bytes, above 256 megabytes, else unknown."""
     n = leading_int(col)
     return (
-        F.when(n > 1_000_000_000, F.round(n / F.lit(1024.0**3), 2))
-        .when(n > 256, F.round(n / F.lit(1024.0), 2))
+        F.when(n > 1_000_000_000, rounded(n / F.lit(1024.0**3), 2))
+        .when(n > 256, rounded(n / F.lit(1024.0), 2))
     )
 
 
 def ratio(numerator, denominator, digits: int = 4) -> Column:
     """Guarded division: NULL for a zero denominator."""
-    return F.round(_c(numerator) / F.nullif(_c(denominator).cast("double"), F.lit(0.0)), digits)
+    return rounded(_c(numerator) / F.nullif(_c(denominator).cast("double"), F.lit(0.0)), digits)
 
 
 # ---------------------------------------------------------------- flags

@@ -21,7 +21,7 @@ def sla_risk(priority, complexity, age_hours, previous, satisfaction) -> Column:
     age = _step(age_hours, [(">", 72, 3), (">", 24, 1)], 0)
     prev = _step(previous, [(">", 5, 5), (">", 2, 3)], 1)
     sat = _step(satisfaction, [("<", 3, 3), ("<", 5, 1)], 0)
-    return F.round(_num(priority) * 0.35 + _num(complexity) * 0.20 + age * 0.15 + prev * 0.15 + sat * 0.15, 2)
+    return X.rounded(_num(priority) * 0.35 + _num(complexity) * 0.20 + age * 0.15 + prev * 0.15 + sat * 0.15, 2)
 
 
 def escalation_probability(priority, escalated, age_hours, complexity, satisfaction) -> Column:
@@ -32,7 +32,7 @@ def escalation_probability(priority, escalated, age_hours, complexity, satisfact
         + _num(complexity) * 0.20
         + _step(satisfaction, [("<", 3, 2)], 0) * 0.10
     )
-    return F.round(F.least(raw, F.lit(10.0)), 2)
+    return X.rounded(F.least(raw, F.lit(10.0)), 2)
 
 
 def rule_score(components=R.RISK_COMPONENTS) -> Column:
@@ -86,7 +86,7 @@ def triage_escalation(priority, urgency, impact, threshold: float = R.ESCALATION
         + (X._c(urgency) - 2) / 3.0 * w["urgency"]
         + (X._c(impact) - 3) / 2.0 * w["impact"]
     )
-    risk = F.round(F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0)), 4)
+    risk = X.rounded(F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0)), 4)
     return risk, (risk > threshold if strict else risk >= threshold)
 
 
@@ -192,4 +192,4 @@ def activity_category(activity_type) -> Column:
 
 def activity_density(total, span_days) -> Column:
     t = X._c(total).cast("double")
-    return F.round(F.when(X._c(span_days) > 0, t / F.nullif(X._c(span_days).cast("double"), F.lit(0.0))).otherwise(t), 4)
+    return X.rounded(F.when(X._c(span_days) > 0, t / F.nullif(X._c(span_days).cast("double"), F.lit(0.0))).otherwise(t), 4)

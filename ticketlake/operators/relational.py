@@ -18,6 +18,12 @@ def _cols(keys):
     return [k if isinstance(k, Column) else F.col(k) for k in ([keys] if isinstance(keys, (str, Column)) else keys)]
 
 
+def evaluate_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add expensive columns behind a generator, so later filters and projections reuse the values
+    instead of repeating the expressions."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def latest_per_key(df: DataFrame, keys, order, n: int = 1) -> DataFrame:
     """First ``n`` rows per key under ``order``; give a total order for a deterministic result."""
     w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
@@ -78,7 +84,7 @@ def merge_with_coverage(left: DataFrame, right: DataFrame, left_key: str, right_
         .agg(
             F.count("*").alias("row_count"),
             F.count_if(F.col("_hit").isNull()).alias("unmatched_rows"),
-            F.round(F.count_if(F.col("_hit").isNull()) * 100.0 / F.nullif(F.count("*"), F.lit(0)), 4).alias("unmatched_pct"),
+            X.ratio(F.count_if(F.col("_hit").isNull()) * 100, F.count("*")).alias("unmatched_pct"),
         )
     )
     return merged, report
@@ -98,7 +104,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Counts and percentage of the total per value (NULL is a value)."""
     counts = df.groupBy(F.col(column).cast("string").alias("value")).agg(F.count("*").alias("n"))
     total = df.agg(F.count("*")).scalar()
-    return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, 4))
+    return counts.withColumn("pct", X.ratio(F.col("n") * 100, total))
 
 
 def group_contrast(df: DataFrame, flag: str, features) -> DataFrame:
@@ -117,8 +123,8 @@ def group_contrast(df: DataFrame, flag: str, features) -> DataFrame:
     return (
         wide.select(F.inline(rows))
         .withColumn("delta", delta)
-        .withColumn("pct_diff", F.round(delta / (F.abs("normal_mean") + 1e-6) * 100, 1))
-        .select("feature", *[F.round(c, 6).alias(c) for c in ("normal_mean", "anomaly_mean", "delta")], "pct_diff")
+        .withColumn("pct_diff", X.rounded(delta / (F.abs("normal_mean") + 1e-6) * 100, 1))
+        .select("feature", *[X.rounded(c, 4).alias(c) for c in ("normal_mean", "anomaly_mean", "delta")], "pct_diff")
     )
 
 

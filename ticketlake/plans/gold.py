@@ -30,7 +30,7 @@ def sla_features(desk: DataFrame, external: DataFrame, followups: DataFrame, as_
     keys = ["ticket_id", "source_year"] if strict_year else ["ticket_id"]
     per_ticket = followups.groupBy(*keys).agg(
         F.count("*").alias("followup_count"),
-        F.round(F.avg(F.col("content_length").cast("decimal(10,2)")), 2).cast("double").alias("avg_followup_content_length"),
+        X.rounded(F.avg(F.col("content_length").cast("decimal(10,2)")), 2).alias("avg_followup_content_length"),
         X.ratio(F.count_if("is_private"), F.count("*")).alias("private_followup_ratio"),
     )
     first = (
@@ -135,7 +135,7 @@ def user_activity_anomalies(users: DataFrame, followups: DataFrame, logs: DataFr
         "total_activity_count", "followup_count", "log_action_count", "ocs_inventory_count",
         F.coalesce(X.ratio("f_private", "f_n"), F.lit(0.0)).alias("private_followup_ratio"),
         F.coalesce(X.ratio("f_suspicious", "f_n"), F.lit(0.0)).alias("url_content_ratio"),
-        F.round(F.coalesce(F.col("f_len").cast("double"), F.lit(0.0)), 2).alias("avg_followup_length"),
+        X.rounded(F.coalesce(F.col("f_len").cast("double"), F.lit(0.0)), 2).alias("avg_followup_length"),
         zero("unique_entities_touched").alias("unique_entities_touched"),
         zero("unique_entity_types").alias("unique_entity_types"),
         F.coalesce(X.ratio("l_write", "l_n"), F.lit(0.0)).alias("write_action_ratio"),
@@ -239,7 +239,7 @@ def ticket_similarity(desk, followups, bronze_tickets, computers, hardware, bios
     )
 
     def share(col: str, digits: int):
-        return F.coalesce(F.round(col, digits), F.lit(0.0))
+        return F.coalesce(X.rounded(col, digits), F.lit(0.0))
 
     def seen(col: str):
         return F.col(col).isNotNull().cast("int")

@@ -49,7 +49,7 @@ def drives(bronze: DataFrame) -> DataFrame:
         X.within("NUMFILES", low=0).alias("num_files"),
         X.null_if_blank("VOLUMN").alias("volume_label"),
         F.col("CREATEDATE").alias("created_date"),
-        F.round(used * 100, 2).alias("used_percent"),
+        X.rounded(used * 100, 2).alias("used_percent"),
         X.tier(used, R.DRIVE_USAGE_CUTS, "unknown").alias("storage_health"),
         X.is_true(total >= R.LARGE_DRIVE).alias("is_large_drive"),
         *LINEAGE,

@@ -9,6 +9,7 @@ NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
+TEXTS = ("documents", "pages", "conversations")
 
 
 class Tables:
@@ -21,7 +22,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in NAMES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name in TEXTS and len(df.inputFiles()) < self.spark.sparkContext.defaultParallelism:
+            # fewer files than cores: text work is CPU-bound, so spread the rows first
+            return df.repartition(self.spark.sparkContext.defaultParallelism)
+        return df
 
     def bronze(self, name: str) -> DataFrame:
         sql, needs = BRONZE[name]
