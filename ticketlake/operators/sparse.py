@@ -2,11 +2,12 @@
 
 The index is partitioned by document: tokens are shuffled once by document id and everything per
 document (term counts, scores of all queries) is aggregated in place. Only the per-term document
-counts and the k best rows per query and partition cross the network again. A term that occurs in
+counts and the k best rows per query and partition cross the network again; a saved index is bucketed by document and skips even the first shuffle. A term that occurs in
 most documents is spread over all partitions.
 """
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -65,23 +66,34 @@ def fill_zero_scores(scored: DataFrame, queries: DataFrame, docs: DataFrame, que
     """Add the zero-score documents that a top-k may need.
 
     A query with m hits needs at most k - m others in id order, and those are among the k smallest
-    ids; the small id list is paired with the queries by position.
+    ids. Adding zero to a document that was hit changes nothing, so one aggregation merges both.
     """
     first = docs.orderBy("doc").limit(k)
     listed = first.agg(F.sort_array(F.collect_list("doc"))).scalar()
-    blank = queries.select(F.col(query).alias("query_id"), F.explode(listed).alias("doc"))
-    missing = blank.join(scored.select("query_id", "doc"), ["query_id", "doc"], "left_anti")
-    return scored.select("query_id", "doc", "score").unionByName(missing.withColumn("score", F.lit(0.0)))
+    blank = queries.select(F.col(query).alias("query_id"), F.explode(listed).alias("doc"), F.lit(0.0).alias("score"))
+    return scored.select("query_id", "doc", "score").unionByName(blank).groupBy("query_id", "doc").agg(F.sum("score").alias("score"))
 
 
 def bm25_search(index: SparseIndex, queries: DataFrame, k: int, query: str = "query_id", text: str = "text") -> DataFrame:
     """Top-k per query by BM25, zero scores filling up, ties by document id."""
     avgdl = index.stats.select("avgdl").scalar()
     scored = bm25_scores(index, query_weights(queries, index.terms, query, text), avgdl)
-    # the best k of each query are enough to decide which zero scores are needed
-    best = top_k(scored, "query_id", [F.col("score").desc(), F.col("doc")], 2 * k, "_r").drop("_r")
-    full = fill_zero_scores(best, queries, index.docs, query, k)
-    return top_k(full, "query_id", [F.col("score").desc(), F.col("doc")], k)
+    order = [F.col("score").desc(), F.col("doc")]
+    lowest = index.terms.agg(F.min("idf")).first()[0]
+    if lowest is not None and lowest >= 0:  # no score is negative: the best k of each query are enough
+        scored = top_k(scored, "query_id", order, k, "_r").drop("_r")
+    return top_k(fill_zero_scores(scored, queries, index.docs, query, k), "query_id", order, k)
+
+
+def save_index(index: SparseIndex, folder: str, buckets: int = 32) -> SparseIndex:
+    """Write the index once and read it back: postings bucketed by document, small tables as files."""
+    spark = index.postings.sparkSession
+    name = "idx_" + uuid.uuid4().hex
+    index.postings.write.bucketBy(buckets, "doc").option("path", f"{folder}/postings").format("parquet").saveAsTable(name)
+    for part in ("terms", "docs", "stats"):
+        getattr(index, part).write.parquet(f"{folder}/{part}")
+    read = {part: spark.read.parquet(f"{folder}/{part}") for part in ("terms", "docs", "stats")}
+    return SparseIndex(postings=spark.table(name), **read)
 
 
 def sparse_vectors(index: SparseIndex, length_floor: int = 2) -> DataFrame:
