@@ -1,3 +1,3 @@
 """Registered queries with their oracle SQL."""
 from catalog.registry import ORACLES, QUERIES  # noqa: F401
-from catalog import models, texts, retrieval  # noqa: F401  (each module registers on import)
+from catalog import models, operators, quality, texts, retrieval  # noqa: F401  (each module registers on import)

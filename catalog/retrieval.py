@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from catalog.registry import cte, query, rnd
 from catalog.texts import sql_raw_words, texts
-from ticketlake import rules as R
 from ticketlake.functions import cleanse as X, text as T, vectors as V
 from ticketlake.operators import context as CX, dense as D, evaluation as E, fusion as FU, sparse as SP
 from ticketlake.operators.ordering import rank_within, top_k
-from ticketlake.operators.relational import fetch_by_rank, latest_per_key
+from ticketlake.operators.relational import fetch_by_rank
 from ticketlake.plans import corpus as C
 from ticketlake.session import checkpoint_dir
 
@@ -430,6 +429,3 @@ def _(t):
 def _(t):
     log = t.events.withColumn("ok", F.col("event_id") % 10 != 0)
     return E.latency_summary(log, "event_type", "value", "ok")
-
-
-__all__ = ["R", "latest_per_key"]

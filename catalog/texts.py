@@ -3,9 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import blank, cte, has, query, rnd
+from catalog.registry import cte, has, query, rnd
 from ticketlake import rules as R
-from ticketlake.functions import cleanse as X, scores as S, text as T
+from ticketlake.functions import cleanse as X, text as T
 from ticketlake.operators.ordering import label_classes, number_in_order
 from ticketlake.plans import corpus as C
 
@@ -358,6 +358,3 @@ def _(t):
         F.count("*").alias("documents"), F.count_if(F.col("text").contains("\n")).alias("with_newline"),
         F.count_if(F.col("text").contains("\\n")).alias("with_escaped_newline"), F.count_if(rep > R.MAX_REPETITION).alias("corrupted"),
     )
-
-
-__all__ = ["S", "blank"]

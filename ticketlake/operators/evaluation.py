@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ticketlake import rules as R
 from ticketlake.functions import cleanse as X, text as T
 
 
@@ -81,6 +80,3 @@ def latency_summary(log: DataFrame, step: str, millis: str, ok: str) -> DataFram
         F.max(millis).alias("max_ms"),
         F.count_if(~F.col(ok)).alias("failures"),
     )
-
-
-__all__ = ["judged", "recall_at", "mrr", "top_hits", "validate_context", "compare_orderings", "latency_summary", "R"]

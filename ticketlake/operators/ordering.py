@@ -49,6 +49,3 @@ def label_classes(df: DataFrame, column: str) -> DataFrame:
 def label_encode(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
     classes = label_classes(df, column).select(F.col("label").alias("_label"), F.col("code").alias(output or f"{column}_encoded"))
     return df.join(classes, F.coalesce(F.col(column).cast("string"), F.lit("None")) == F.col("_label"), "left").drop("_label")
-
-
-__all__ = ["rank_within", "top_k", "head", "number_in_order", "label_classes", "label_encode", "latest_per_key"]
