@@ -33,8 +33,8 @@ def oracle(sql: str) -> str:
     visit(sql)
     if not order:
         return sql
-    recursive = "RECURSIVE " if any("UNION ALL SELECT /*step*/" in CTES[n] for n in order) else ""
-    return f"WITH {recursive}" + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + sql
+    once = {n: "MATERIALIZED " if n.startswith(("idx_", "corpus_")) else "" for n in order}
+    return "WITH " + ",\n".join(f"{n} AS {once[n]}({CTES[n]})" for n in order) + "\n" + sql
 
 
 def query(name: str, sql: str | None = None):

@@ -16,7 +16,7 @@ from ticketlake.session import checkpoint_dir
 
 K = 10
 cte("idx_posts", """
-SELECT chunk_id AS doc, len(any_value(bm25_tokens)) AS dl, term, COUNT(*) AS tf FROM (SELECT chunk_id, bm25_tokens, unnest(bm25_tokens) AS term FROM corpus_chunks) GROUP BY chunk_id, term
+SELECT chunk_id AS doc, dl, term, COUNT(*) AS tf FROM (SELECT chunk_id, len(bm25_tokens) AS dl, unnest(bm25_tokens) AS term FROM corpus_chunks) GROUP BY chunk_id, dl, term
 """)
 cte("idx_stats", "SELECT COUNT(*) AS n_docs, AVG(len(bm25_tokens)) AS avgdl FROM corpus_chunks")
 cte("idx_raw", "SELECT term, COUNT(*) AS df, ln((SELECT n_docs FROM idx_stats) - COUNT(*) + 0.5) - ln(COUNT(*) + 0.5) AS raw_idf FROM idx_posts GROUP BY term")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ticketlake import rules as R
 from ticketlake.functions import text as T
-from ticketlake.operators.ordering import top_k
+from ticketlake.operators.ordering import number_in_order, top_k
 from ticketlake.operators.relational import small_enough
 
 #: distinct (query, term) rows up to which the query side is broadcast; beyond it the join shuffles
@@ -74,15 +74,31 @@ def fill_zero_scores(scored: DataFrame, queries: DataFrame, docs: DataFrame, que
     return scored.select("query_id", "doc", "score").unionByName(blank).groupBy("query_id", "doc").agg(F.sum("score").alias("score"))
 
 
+def fill_below_zero(scored: DataFrame, queries: DataFrame, docs: DataFrame, query: str, k: int) -> DataFrame:
+    """Zero-score rows where hits may score below zero (most terms in most documents).
+
+    Then k documents without a hit can be needed, and they are among the first k + m ids of a query
+    with m hits. Documents are numbered in id order and joined by position.
+    """
+    numbered = number_in_order(docs, "doc", F.substring("doc", 1, 8), "pos")
+    hits = scored.groupBy("query_id").agg(F.count("*").alias("m"))
+    asked = queries.select(F.col(query).alias("query_id")).join(hits, "query_id", "left")
+    wanted = asked.select("query_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k) + F.coalesce("m", F.lit(0)))).alias("pos"))
+    blank = wanted.join(numbered.select("pos", "doc"), "pos").select("query_id", "doc", F.lit(0.0).alias("score"))
+    return scored.select("query_id", "doc", "score").unionByName(blank).groupBy("query_id", "doc").agg(F.sum("score").alias("score"))
+
+
 def bm25_search(index: SparseIndex, queries: DataFrame, k: int, query: str = "query_id", text: str = "text") -> DataFrame:
     """Top-k per query by BM25, zero scores filling up, ties by document id."""
     avgdl = index.stats.select("avgdl").scalar()
     scored = bm25_scores(index, query_weights(queries, index.terms, query, text), avgdl)
     order = [F.col("score").desc(), F.col("doc")]
     lowest = index.terms.agg(F.min("idf")).first()[0]
-    if lowest is not None and lowest >= 0:  # no score is negative: the best k of each query are enough
-        scored = top_k(scored, "query_id", order, k, "_r").drop("_r")
-    return top_k(fill_zero_scores(scored, queries, index.docs, query, k), "query_id", order, k)
+    if lowest is not None and lowest < 0:
+        return top_k(fill_below_zero(scored, queries, index.docs, query, k), "query_id", order, k)
+    # no score is negative: the best k of each query are enough
+    best = top_k(scored, "query_id", order, k, "_r").drop("_r")
+    return top_k(fill_zero_scores(best, queries, index.docs, query, k), "query_id", order, k)
 
 
 def save_index(index: SparseIndex, folder: str, buckets: int = 32) -> SparseIndex:
