@@ -80,7 +80,7 @@ def fill_below_zero(scored: DataFrame, queries: DataFrame, docs: DataFrame, quer
     Then k documents without a hit can be needed, and they are among the first k + m ids of a query
     with m hits. Documents are numbered in id order and joined by position.
     """
-    numbered = number_in_order(docs, "doc", F.substring("doc", 1, 8), "pos")
+    numbered = number_in_order(docs, "doc", F.substring("doc", 1, 8), "pos", start=1)
     hits = scored.groupBy("query_id").agg(F.count("*").alias("m"))
     asked = queries.select(F.col(query).alias("query_id")).join(hits, "query_id", "left")
     wanted = asked.select("query_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k) + F.coalesce("m", F.lit(0)))).alias("pos"))
