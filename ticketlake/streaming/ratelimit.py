@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ticketlake import rules as R
@@ -53,31 +53,81 @@ def _prepared(events: DataFrame, key: str, ident: str, time: str) -> DataFrame:
     return events.select(F.col(key).cast("string").alias("key"), F.col(ident).alias("id"), F.unix_micros(F.col(time).cast("timestamp")).alias("us"))
 
 
-def detect(events: DataFrame, key: str, ident: str, time: str, limit: int, seconds: int, slices: int | None = None) -> DataFrame:
-    """Batch form with built-in expressions and bounded state.
+def _slices(us: np.ndarray, width: int):
+    """Sorted times cut into pieces of one window length: (slice number, offsets in it)."""
+    number, offset = np.divmod(us, width)
+    edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(us)]
+    return [(int(number[a]), offset[a:b], a, b) for a, b in zip(edges, edges[1:])]
 
-    Windows are anchored to the previous one, so a key is walked in time order; the walk streams
-    sorted rows through ``mapInPandas`` one Arrow batch at a time and never holds a key as a whole.
+
+def _next_start(offsets: np.ndarray, previous):
+    """Offset of the window opened in a slice, given the one opened in the slice before (-1: none)."""
+    at = np.searchsorted(offsets, previous, side="right")
+    return np.where(at < len(offsets), offsets[np.minimum(at, len(offsets) - 1)], -1)
+
+
+def detect(events: DataFrame, key: str, ident: str, time: str, limit: int, seconds: int, slices_per_block: int = 64) -> DataFrame:
+    """Batch form, parallel within a key.
+
+    Time is cut into slices of one window length, so a slice opens at most one window: at its first
+    event whose offset exceeds the offset at which the slice before opened one. A block of slices is
+    therefore a step function from the offset before it to the offset after it. Blocks are reduced to
+    these few steps in parallel, the steps of a key are chained, and the blocks then place their
+    events. No task holds more than one block of a key.
     """
-    rows = _prepared(events, key, ident, time)
-    ordered = (rows.repartition(slices, "key") if slices else rows.repartition("key")).sortWithinPartitions("key", "us", "id")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, start, used = None, None, 0
-        for batch in batches:
-            if not len(batch):
-                continue
-            keys, at = batch["key"].to_numpy(dtype=object), batch["us"].to_numpy() / 1e6
-            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-            parts = []
-            for a, b in zip(edges, edges[1:]):
-                if keys[a] != current:
-                    current, start, used = keys[a], None, 0
-                allowed, retry, start, used = _scan(at[a:b], limit, float(seconds), start, used)
-                parts.append(pd.DataFrame({"key": keys[a:b], "id": batch["id"].iloc[a:b], "at": at[a:b], "allowed": allowed, "retry_after": retry}))
-            yield pd.concat(parts, ignore_index=True)
-
-    return ordered.mapInPandas(run, OUT)
+    width = int(seconds) * 1_000_000
+    rows = _prepared(events, key, ident, time).withColumn("blk", F.floor(F.col("us") / F.lit(width * slices_per_block)).cast("bigint"))
+
+    def steps(group: pd.DataFrame) -> pd.DataFrame:
+        blk = int(group["blk"].iloc[0])
+        cut = _slices(np.unique(group["us"].to_numpy()), width)
+        first = blk * slices_per_block
+        own = cut[0][1] if cut[0][0] == first else np.zeros(0, dtype=np.int64)
+        current, upper = np.append(own, -1), np.append(own, width)
+        known = {n: o for n, o, _, _ in cut}
+        for n in range(first + 1, first + slices_per_block):
+            current = _next_start(known[n], current) if n in known else np.full(len(current), -1)
+        last_of_run = np.append(current[1:] != current[:-1], True)
+        return pd.DataFrame({"key": group["key"].iloc[0], "blk": blk, "upper": upper[last_of_run], "leaves": current[last_of_run]})
+
+    def chain(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["blk", "upper"], kind="stable")
+        before, last, out = -1, None, []
+        for blk, step in group.groupby("blk", sort=True):
+            if last is None or blk != last + 1:
+                before = -1
+            out.append((blk, before))
+            at = int(np.searchsorted(step["upper"].to_numpy(), before, side="right"))
+            before, last = int(step["leaves"].iloc[at]), blk
+        return pd.DataFrame({"key": group["key"].iloc[0], "blk": [b for b, _ in out], "enters": [e for _, e in out]})
+
+    def place(group: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        if not len(group):
+            return pd.DataFrame({"key": [], "id": [], "us": [], "opened": []})
+        group = group.sort_values(["us", "id"], kind="stable")
+        previous, last = int(entry["enters"].iloc[0]), int(group["blk"].iloc[0]) * slices_per_block - 1
+        opened = np.empty(len(group), dtype=np.int64)
+        for n, offsets, a, b in _slices(group["us"].to_numpy(), width):
+            previous = previous if n == last + 1 else -1
+            start = int(_next_start(offsets, previous))
+            inside = (offsets >= start) if start >= 0 else np.zeros(len(offsets), dtype=bool)
+            opened[a:b] = np.where(inside, n * width + start, (n - 1) * width + previous)
+            previous, last = start, n
+        return pd.DataFrame({"key": group["key"], "id": group["id"], "us": group["us"], "opened": opened})
+
+    entries = (
+        rows.groupBy("key", "blk").applyInPandas(steps, "key string, blk bigint, upper bigint, leaves bigint")
+        .groupBy("key").applyInPandas(chain, "key string, blk bigint, enters bigint")
+    )
+    entries = entries.select(F.col("key").alias("ekey"), F.col("blk").alias("eblk"), "enters")
+    placed = rows.groupBy("key", "blk").cogroup(entries.groupBy("ekey", "eblk")).applyInPandas(place, "key string, id bigint, us bigint, opened bigint")
+    used = F.row_number().over(Window.partitionBy("key", "opened").orderBy("us", "id"))
+    left = F.floor((F.lit(width) - (F.col("us") - F.col("opened"))) / F.lit(1_000_000)).cast("int")
+    decided = placed.withColumn("allowed", used <= limit)
+    return decided.select(
+        "key", "id", (F.col("us") / F.lit(1e6)).alias("at"), "allowed",
+        F.when(F.col("allowed"), 0).otherwise(F.greatest(left, F.lit(1))).alias("retry_after"),
+    )
 
 
 def detect_stream(events: DataFrame, key: str, ident: str, time: str, limit: int, seconds: int) -> DataFrame:
