@@ -65,6 +65,11 @@ def words(col) -> Column:
     return F.array_remove(F.split(F.coalesce(X._c(col), F.lit("")), SPACE), "")
 
 
+def clean_words(col) -> Column:
+    """Words of a cleaned text, whose only blanks are single spaces."""
+    return F.array_remove(F.split(X._c(col), " "), "")
+
+
 def word_count(col) -> Column:
     return F.size(words(col))
 

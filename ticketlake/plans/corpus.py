@@ -36,7 +36,7 @@ def cleaning_steps(texts: DataFrame, collapse: bool = True) -> DataFrame:
     """Every row with its cleaned text, its counts and one flag per filter of the funnel."""
     raw = F.coalesce("text_corpus", F.lit(""))
     staged = evaluate_once(texts, {TEXT: normalise(raw, collapse)})
-    counted = evaluate_once(staged, word_statistics(TEXT, "text"))
+    counted = with_word_statistics(staged, {"text": TEXT})
     return counted.withColumnRenamed("text_repetition_ratio", "repetition_ratio").withColumns(
         {
             "keep_real": F.col("text_source_type") == "real_text",
@@ -48,13 +48,14 @@ def cleaning_steps(texts: DataFrame, collapse: bool = True) -> DataFrame:
     )
 
 
-def word_statistics(text: str, prefix: str) -> dict[str, Column]:
-    w = T.words(F.col(text))
-    return {
-        f"{prefix}_word_count": F.size(w),
-        f"{prefix}_char_count": F.char_length(text),
-        f"{prefix}_repetition_ratio": T.repetition_ratio(w),
-    }
+def with_word_statistics(df: DataFrame, texts: dict[str, str]) -> DataFrame:
+    """Word count, character count and repetition ratio of cleaned texts, one split per text."""
+    split = evaluate_once(df, {f"_{p}": T.clean_words(c) for p, c in texts.items()})
+    stats = {}
+    for p, c in texts.items():
+        w = F.col(f"_{p}")
+        stats |= {f"{p}_word_count": F.size(w), f"{p}_char_count": F.char_length(c), f"{p}_repetition_ratio": T.repetition_ratio(w)}
+    return evaluate_once(split, stats).drop(*[f"_{p}" for p in texts])
 
 
 def clean(texts: DataFrame, order: str = "doc_id", collapse: bool = True) -> DataFrame:
@@ -71,9 +72,9 @@ def clean(texts: DataFrame, order: str = "doc_id", collapse: bool = True) -> Dat
 
 def with_features(clean_df: DataFrame, encode: bool = True) -> DataFrame:
     """Text features, quality scores, ids and metadata of a cleaned corpus."""
-    w = T.words(F.col(TEXT))
+    w = F.col("_w")
     df = evaluate_once(
-        clean_df,
+        evaluate_once(clean_df, {"_w": T.clean_words(TEXT)}),
         {
             "avg_word_length": T.avg_word_length(w),
             "unique_word_ratio": T.unique_word_ratio(w),
@@ -81,7 +82,7 @@ def with_features(clean_df: DataFrame, encode: bool = True) -> DataFrame:
             "digit_ratio": T.digit_ratio(TEXT),
             "special_char_ratio": T.special_char_ratio(TEXT),
         },
-    )
+    ).drop("_w")
     df = df.withColumns(
         {
             "text_complexity_score": T.complexity("avg_word_length", "unique_word_ratio", "text_word_count"),
@@ -98,8 +99,8 @@ def with_features(clean_df: DataFrame, encode: bool = True) -> DataFrame:
 
 def chunk_rows(df: DataFrame, text: str = TEXT, carry=(), size: int = R.CHUNK_SIZE, overlap: int = R.CHUNK_OVERLAP) -> DataFrame:
     """One row per sliding word window with ids, counts, tokens and inherited columns; short chunks dropped."""
-    exploded = df.select(
-        "document_id", *carry, F.posexplode(T.chunks(T.words(F.col(text)), size, overlap)).alias("chunk_index", "chunk_text")
+    exploded = evaluate_once(df.select("document_id", *carry, text), {"_w": T.words(F.col(text))}).select(
+        "document_id", *carry, F.posexplode(T.chunks(F.col("_w"), size, overlap)).alias("chunk_index", "chunk_text")
     )
     counted = exploded.withColumn("chunk_word_count", F.size(F.split("chunk_text", " ")))
     return counted.filter(F.col("chunk_word_count") >= R.MIN_CHUNK_WORDS).select(
@@ -165,7 +166,7 @@ def clean_pairs(raw: DataFrame, collapse: bool = True) -> DataFrame:
     for s in sides:
         df = df.filter(X.has_text(f"{s}_text") & (F.char_length(f"{s}_text") >= R.MIN_CHARS))
     df = evaluate_once(df, {f"{s}_text_clean": normalise(F.col(f"{s}_text"), collapse) for s in sides})
-    df = evaluate_once(df, {k: v for s in sides for k, v in word_statistics(f"{s}_text_clean", s).items()})
+    df = with_word_statistics(df, {s: f"{s}_text_clean" for s in sides})
     ok = F.lit(True)
     for s in sides:
         ok = ok & _long_enough(f"{s}_text_clean") & (F.col(f"{s}_word_count") >= R.MIN_WORDS)
@@ -179,16 +180,16 @@ def pair_features(clean_df: DataFrame) -> DataFrame:
     df = clean_df
     for s in ("problem", "solution"):
         col = f"{s}_text_clean"
-        w = T.words(F.col(col))
-        df = df.withColumns(
+        w = F.col("_w")
+        df = evaluate_once(evaluate_once(df, {"_w": T.clean_words(col)}),
             {
                 f"{s}_avg_word_length": T.avg_word_length(w),
                 f"{s}_unique_word_ratio": T.unique_word_ratio(w),
                 f"{s}_uppercase_ratio": T.uppercase_ratio(col),
                 f"{s}_digit_ratio": T.digit_ratio(col),
                 f"{s}_special_char_ratio": T.special_char_ratio(col),
-            }
-        )
+            },
+        ).drop("_w")
         df = df.withColumn(f"{s}_complexity_score", T.complexity(f"{s}_avg_word_length", f"{s}_unique_word_ratio", f"{s}_word_count"))
     df = label_encode(df, "priority")
     return df.withColumns(
