@@ -1,6 +1,8 @@
 """Quality, profiling and ML queries."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.registry import cte, query, rnd
@@ -10,7 +12,8 @@ from ticketlake.functions import cleanse as X, scores as S
 from ticketlake.operators import learning as L, profiling as P, quality as Q, relational as J
 from ticketlake.plans import corpus as C, ml_dataset
 from ticketlake.plans.warehouse import Warehouse
-from ticketlake.session import AS_OF
+from ticketlake.session import AS_OF, checkpoint_dir
+from ticketlake.sources.sinks import export_gold
 
 LEVELS = ("critical", "high", "medium", "low", "unknown")
 
@@ -179,7 +182,9 @@ _FEATS = ("avg_word_length", "unique_word_ratio", "special_char_ratio", "text_co
 
 @query("pr9_feature_statistics", _describe("corpus_features", _FEATS))
 def _(t):
-    return P.describe(C.with_features(C.clean(texts(t), collapse=False), encode=False), _FEATS)
+    # the report reads its input several times, so the features are written once
+    feats = C.with_features(C.clean(texts(t), collapse=False), encode=False).select(*_FEATS)
+    return P.describe(export_gold(feats, f"{checkpoint_dir(t.spark)}/features-{uuid.uuid4().hex}"), _FEATS)
 
 
 @query("pr10_eda_summary", f"SELECT COUNT(*) AS total_documents, {rnd('AVG(text_word_count)', 2)} AS avg_word_count, quantile_cont(text_word_count::DOUBLE, 0.5) AS median_word_count, CAST(MAX(text_word_count) AS INT) AS max_word_count, {rnd('AVG(text_char_count)', 2)} AS avg_character_count, COUNT(*) - COUNT(DISTINCT retrieval_text_clean) AS duplicate_documents, {rnd('(COUNT(*) - COUNT(DISTINCT retrieval_text_clean)) * 100.0 / COUNT(*)', 2)} AS duplicate_ratio_pct, {rnd('AVG(corpus_quality_score)', 4)} AS avg_quality_score FROM corpus_clean")

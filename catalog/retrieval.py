@@ -9,7 +9,7 @@ from catalog.registry import cte, query, rnd
 from catalog.texts import sql_raw_words, texts
 from ticketlake.functions import cleanse as X, text as T, vectors as V
 from ticketlake.operators import context as CX, dense as D, evaluation as E, fusion as FU, sparse as SP
-from ticketlake.operators.ordering import rank_within, top_k
+from ticketlake.operators.ordering import rank_in_buckets, rank_within, top_k
 from ticketlake.operators.relational import fetch_by_rank
 from ticketlake.plans import corpus as C
 from ticketlake.session import checkpoint_dir
@@ -288,7 +288,9 @@ def _(t):
 
 @query("w5_rank_assignment", "SELECT doc_id, lang, CAST(ROW_NUMBER() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS INT) AS final_rank FROM documents")
 def _(t):
-    return rank_within(t.documents.select("doc_id", "lang", "n_chars"), "lang", [F.col("n_chars").desc(), F.col("doc_id")], "final_rank").drop("n_chars")
+    d = t.documents.select("doc_id", "lang", "n_chars")
+    order = [F.col("n_chars").desc(), F.col("doc_id")]
+    return rank_in_buckets(d, "lang", order, -F.floor(F.col("n_chars") / 100), "final_rank").drop("n_chars")
 
 
 cte("idx_pairhits", """

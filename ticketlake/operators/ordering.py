@@ -7,9 +7,24 @@ from ticketlake.operators.relational import _cols, latest_per_key
 
 
 def rank_within(df: DataFrame, group, order, name: str = "rank") -> DataFrame:
+    """Rank inside small groups such as the result lists of queries."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*_cols(group)).orderBy(*_cols(order))))
 
 
+def rank_in_buckets(df: DataFrame, group: str, order, bucket, name: str = "rank") -> DataFrame:
+    """Full ranking of large groups: ``bucket`` grows along ``order``, each bucket is numbered in its
+    own task and shifted by the sizes of the buckets before it."""
+    tagged = df.withColumn("_b", bucket)
+    sizes = tagged.groupBy(F.col(group).alias("_g"), F.col("_b").alias("_sb")).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_g").orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("_g", "_sb", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    inside = Window.partitionBy(group, "_b").orderBy(*_cols(order))
+    joined = tagged.withColumn("_rn", F.row_number().over(inside)).join(
+        shift, F.col(group).eqNullSafe(F.col("_g")) & F.col("_b").eqNullSafe(F.col("_sb"))
+    )
+    return joined.select(*df.columns, (F.col("_rn") + F.col("_shift")).cast("int").alias(name))
+
+
 def top_k(df: DataFrame, group, order, k: int, name: str = "rank") -> DataFrame:
     """Leading ``k`` rows per group with their rank; partitions pre-select before the shuffle."""
     w = Window.partitionBy(*_cols(group)).orderBy(*_cols(order))

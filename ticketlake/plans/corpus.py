@@ -136,12 +136,19 @@ def pairs(conversations: DataFrame) -> DataFrame:
     return joined.select(F.md5(key).alias("rag_id"), "conv_id", "turn", "problem_text", "solution_text")
 
 
-def next_turn(conversations: DataFrame) -> DataFrame:
-    """Window form of the pairing: each turn with the role and text that follow it."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    return conversations.select(
-        "conv_id", "turn", "role", F.lead("role").over(w).alias("next_role"), F.lead("text").over(w).alias("next_text")
-    )
+def next_turn(conversations: DataFrame, span: int = 1000) -> DataFrame:
+    """Each turn with the role and text that follow it, whatever the gaps between turn numbers.
+
+    Turns are paired inside spans of a conversation; the last turn of a span takes the head of the
+    next span, so a very long conversation is still spread over many tasks.
+    """
+    tagged = conversations.withColumn("b", F.floor(F.col("turn") / span))
+    inside = Window.partitionBy("conv_id", "b").orderBy("turn")
+    heads = tagged.groupBy("conv_id", "b").agg(F.min_by(F.struct("role", "text"), "turn").alias("head"))
+    after = heads.select("conv_id", "b", F.lead("head").over(Window.partitionBy("conv_id").orderBy("b")).alias("after"))
+    paired = tagged.withColumn("follows", F.lead(F.struct("role", "text")).over(inside)).join(after, ["conv_id", "b"], "left")
+    then = F.coalesce("follows", "after")
+    return paired.select("conv_id", "turn", "role", then["role"].alias("next_role"), then["text"].alias("next_text"))
 
 
 def enrich_pairs(raw: DataFrame) -> DataFrame:
