@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketlake.llm.common import Remembered, slices
 
@@ -105,7 +106,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "pie
     column and row stays as it is; a column already named `ids` is replaced.
     """
     base = docs.drop(ids)
-    schema = base.schema.add(ids, "array<int>")
+    schema = T.StructType([*base.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model_path)
@@ -130,7 +131,7 @@ def decode(coded: DataFrame, model_path: str, ids: str = "piece_ids", text: str
     Ids of control pieces stand for nothing; an id outside the vocabulary raises IndexError.
     """
     base = coded.drop(text)
-    schema = base.schema.add(text, "string")
+    schema = T.StructType([*base.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelling = Pieces(model_path).bytes_of.__getitem__
