@@ -1,6 +1,7 @@
 """Helpers that several operators share: inputs, Arrow slices, word hashing and connected components."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.session import cut_lineage
+from ticketlake.session import checkpoint_dir, cut_lineage
 
 #: Text bytes that one step inside a task works on; Arrow batches are cut down to it.
 SLICE_BYTES = 4 << 20
@@ -150,6 +151,13 @@ def saved(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Written as a table in the shared checkpoint folder and read back."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """`node, component`: the smallest node reachable over undirected `edges`, for every node that has an edge.
 

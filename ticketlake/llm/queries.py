@@ -48,3 +48,28 @@ def op5_token_counts(spark, folder):
     from ticketlake.llm.token_counts import count_tokens
 
     return count_tokens(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query
+def op8_decontamination(spark, folder):
+    """Words of every document that lie in a ten-word window of a benchmark item, and the items."""
+    from ticketlake.llm.decontamination import matches, report
+
+    found = report(matches(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", sha256_of(F.col("items")).alias("items_sha256"), "contaminated")
+
+
+ORACLES["op8_decontamination"] = r"""
+with dw as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+bw as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+bp as (select item_id, w, least(len(w), 10) as n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as s from bw where len(w) > 0),
+windows as (select distinct item_id, n, w[s:s + n - 1] as g from bp),
+sizes as (select distinct n from windows),
+dp as (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as s from dw, sizes where len(w) >= n),
+found as (select d.doc_id, d.s, d.n, x.item_id from dp d join windows x on x.n = d.n and x.g = d.w[d.s:d.s + d.n - 1]),
+hit as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(s, s + n)) as p from found) group by doc_id),
+items as (select doc_id, count(distinct item_id) as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as ids from found group by doc_id)
+select dw.doc_id, len(dw.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from dw left join hit using (doc_id) left join items using (doc_id)
+"""
