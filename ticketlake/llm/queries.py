@@ -73,3 +73,27 @@ select dw.doc_id, len(dw.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_
   sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from dw left join hit using (doc_id) left join items using (doc_id)
 """
+
+
+@query
+def op9_near_duplicates(spark, folder):
+    """Components of near-duplicate documents."""
+    from ticketlake.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+ORACLES["op9_near_duplicates"] = r"""
+with recursive dw as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sh as (select doc_id, list_distinct([array_to_string(w[s:s + 4], ' ') for s in range(1, greatest(len(w) - 4, 1) + 1)]) as g from dw where len(w) > 0),
+ids as (select doc_id, unnest(g) as x, len(g) as n from sh),
+common as (select x from ids group by x having count(*) > 1),
+b as (select ids.* from ids join common using (x)),
+pairs as (select a.doc_id as u, c.doc_id as v, count(*) as i, any_value(a.n) as na, any_value(c.n) as nc from b a join b c on a.x = c.x and a.doc_id < c.doc_id group by a.doc_id, c.doc_id),
+links as (select u, v from pairs where 100 * i >= 85 * (na + nc - i)),
+sym as (select u, v from links union all select v, u from links),
+reach(doc_id, r) as (select distinct u, u from sym union select b2.v, reach.r from reach join sym b2 on b2.u = reach.doc_id where reach.r < b2.v),
+comp as (select doc_id, min(r) as c from reach group by doc_id)
+select d.doc_id, coalesce(len(sh.g), 0)::bigint as n_shingles, least(coalesce(c, d.doc_id), d.doc_id) as component_id, least(coalesce(c, d.doc_id), d.doc_id) = d.doc_id as kept
+from documents d left join sh using (doc_id) left join comp using (doc_id)
+"""
