@@ -97,3 +97,12 @@ comp as (select doc_id, min(r) as c from reach group by doc_id)
 select d.doc_id, coalesce(len(sh.g), 0)::bigint as n_shingles, least(coalesce(c, d.doc_id), d.doc_id) as component_id, least(coalesce(c, d.doc_id), d.doc_id) = d.doc_id as kept
 from documents d left join sh using (doc_id) left join comp using (doc_id)
 """
+
+
+@query
+def op10_suffix_array(spark, folder):
+    """Bytes of every document that a 100-byte string repeats from earlier on, and what is left."""
+    from ticketlake.llm.suffix_array import remove_repeats
+
+    found = remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
