@@ -106,3 +106,68 @@ def op10_suffix_array(spark, folder):
 
     found = remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_line_dedup(spark, folder):
+    """Lines of every document, those in repeated runs of fifty words or more, and what is left."""
+    from ticketlake.llm.line_dedup import drop_repeated_lines
+
+    found = drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+#: What is left of every document, as a view `kept_lines (doc_id, n_lines, n_removed, n_runs, text)` over a view `{docs}`.
+KEPT_LINES = r"""
+ls as (select doc_id, text, string_split(text, chr(10)) as a from {docs}),
+pos as (select doc_id, a, unnest(range(1, len(a) + 1)) as p from ls),
+wc as (select doc_id, p, a[p] as line, a, len(regexp_extract_all(a[p], '[^\x20\x09-\x0D]+')) as n from pos),
+cum as (select *, sum(n) over (partition by doc_id order by p) as c from wc),
+needs as (select x.doc_id, x.p, any_value(x.a) as a, min(y.p) - x.p + 1 as m from cum x join cum y on x.doc_id = y.doc_id and y.p >= x.p and y.c - x.c + x.n >= 50 group by x.doc_id, x.p),
+runs as (select doc_id, p, m, array_to_string(a[p:p + m - 1], chr(10)) as g from needs),
+ranked as (select *, row_number() over (partition by g order by doc_id, p) as k from runs),
+gone as (select distinct doc_id, unnest(range(p, p + m)) as p from ranked where k > 1),
+marked as (select wc.doc_id, wc.p, wc.line, gone.p is not null as cut, lag(gone.p is not null, 1, false) over (partition by wc.doc_id order by wc.p) as before from wc left join gone on gone.doc_id = wc.doc_id and gone.p = wc.p),
+cut as (select doc_id, count(*) as n_lines, count(*) filter (cut) as n_removed, count(*) filter (cut and not before) as n_runs, coalesce(string_agg(line, chr(10) order by p) filter (not cut), '') as kept from marked group by doc_id),
+kept_lines as (select d.doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_runs, 0)::bigint as n_runs, kept as text from {docs} d left join cut using (doc_id))
+"""
+ORACLES["op3_line_dedup"] = "with " + KEPT_LINES.format(docs="documents") + "select doc_id, n_lines, n_removed, n_runs, sha256(coalesce(text, '')) as kept_sha256 from kept_lines"
+
+
+@query
+def op2_url_rules(spark, folder):
+    """Host, path, listed rule and verdict of every page."""
+    from ticketlake.llm.url_rules import judge
+
+    return judge(table(spark, folder, "pages"))
+
+
+ORACLES["op2_url_rules"] = r"""
+with rest as (select page_id, url, case when strpos(url, '://') > 0 then url[strpos(url, '://') + 3:] end as r from pages),
+parsed as (select page_id, url, coalesce(translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+  coalesce(regexp_extract(r, '^[^/?#]*([^?#]*)', 1), '') as path from rest),
+listed(verdict, rule, h, p) as (values ('allow', 'com/', 'com', '/'), ('block', 'example.com/en/', 'example.com', '/en/'), ('allow', 'www.example.com/en/', 'www.example.com', '/en/'),
+  ('block', 'net/es/', 'net', '/es/'), ('block', 'net/fr/', 'net', '/fr/')),
+hits as (select distinct host, path, rule, verdict from parsed join listed on (host = h or suffix(host, '.' || h)) and prefix(path, p)),
+known as (select host, path, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict from hits group by host, path),
+cut as (select page_id, url, host, path, list_distinct(list_filter(list_concat(list_transform(string_split(host, '.'), lambda x: 'host:' || x), list_transform(string_split(path, '/'), lambda x: 'path:' || x),
+  ['path:.' || regexp_extract(path, '\.([^./]*)$', 1)], list_transform(string_split(regexp_extract(coalesce(url, ''), '\?([^#]*)', 1), '&'), lambda x: 'query:' || x)),
+  lambda x: not regexp_matches(x, '^(host|path|query):\.?$'))) as t from parsed),
+lab as (select c.page_id, c.url, k.verdict, c.t from cut c join known k using (host, path)),
+need as (select ceil(0.01::double * count(*)) as least from lab),
+tok as (select row_number() over () as id, * from lab),
+one as (select id, verdict, unnest(t) as a from tok),
+freq as (select a from one group by a having count(*) >= (select least from need)),
+f as (select one.* from one join freq using (a)),
+sets as (select id, verdict, [a] as s from f union all
+  select x.id, x.verdict, [x.a, y.a] from f x join f y on x.id = y.id and x.a < y.a union all
+  select x.id, x.verdict, [x.a, y.a, z.a] from f x join f y on x.id = y.id and x.a < y.a join f z on z.id = x.id and y.a < z.a),
+total as (select s, count(*) as total from sets group by s),
+per as (select s, verdict, count(*) as support from sets group by s, verdict),
+mined as (select s, verdict, support, support::double / total as confidence from per join total using (s) where support >= (select least from need) and support::double / total >= 0.8::double),
+fits as (select c.url, m.*, row_number() over (partition by c.url order by confidence desc, support desc, len(s), array_to_string(s, ' '), m.verdict) as k
+  from (select distinct url, t from cut left join known using (host, path) where known.rule is null and host <> '') c join mined m on list_has_all(c.t, m.s))
+select c.page_id, c.host, c.path, known.rule, coalesce(known.verdict, fits.verdict, 'allow') as verdict,
+  case when known.rule is null then array_to_string(fits.s, ' ') end as mined_rule
+from cut c left join known using (host, path) left join fits on fits.url = c.url and fits.k = 1
+"""
