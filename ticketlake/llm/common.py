@@ -68,13 +68,10 @@ FOLD = np.arange(256, dtype=np.uint8)
 FOLD[0x41:0x5B] += 32
 
 
-def words(data: np.ndarray, rows: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words in all rows, A-Z folded, and the first word of each row (one more than rows).
-
-    `inside` says which bytes belong to words. Words never cross rows.
-    """
+def word_spans(data: np.ndarray, rows: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and stop of the runs of bytes for which `inside` holds; none crosses rows."""
     if len(data) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(rows), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     mask = inside[data]
     edge = np.empty(len(data) + 1, bool)
     edge[1:-1] = mask[1:] != mask[:-1]
@@ -85,18 +82,30 @@ def words(data: np.ndarray, rows: np.ndarray, inside: np.ndarray) -> tuple[np.nd
     at = np.flatnonzero(edge)
     if len(touching):
         at = np.sort(np.concatenate([at, touching, touching]))
-    start, stop = at[0::2], at[1::2]
+    return at[0::2], at[1::2]
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hashes of data[start:stop], A-Z folded; no span may be empty."""
     if len(start) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(rows), np.int64)
-    kept = FOLD[data[mask]]
+        return np.zeros(0, np.uint64)
     length = stop - start
     first = np.cumsum(length) - length
-    place = np.arange(len(kept), dtype=np.int64) - np.repeat(first, length)
-    value = _MIX[kept] * _PLACE[place & 4095]
+    place = np.arange(int(length.sum()), dtype=np.int64) - np.repeat(first, length)
+    value = _MIX[FOLD[data[place + np.repeat(start, length)]]] * _PLACE[place & 4095]
     value ^= value >> np.uint64(29)
     if length.max() > 4096:
         value *= (place >> 12).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    return scramble(np.add.reduceat(value, first) + length.astype(np.uint64)), np.searchsorted(start, rows, side="left")
+    return scramble(np.add.reduceat(value, first) + length.astype(np.uint64))
+
+
+def words(data: np.ndarray, rows: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words in all rows, A-Z folded, and the first word of each row (one more than rows).
+
+    `inside` says which bytes belong to words. Words never cross rows.
+    """
+    start, stop = word_spans(data, rows, inside)
+    return span_hashes(data, start, stop), np.searchsorted(start, rows, side="left")
 
 
 def shingles(hashes: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

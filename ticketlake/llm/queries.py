@@ -171,3 +171,13 @@ select c.page_id, c.host, c.path, known.rule, coalesce(known.verdict, fits.verdi
   case when known.rule is null then array_to_string(fits.s, ' ') end as mined_rule
 from cut c left join known using (host, path) left join fits on fits.url = c.url and fits.k = 1
 """
+
+
+@query
+def op6_toxicity(spark, folder):
+    """Toxicity of every document; labels of the held-out fold are not read."""
+    from ticketlake.llm.toxicity import fit, held_out, score
+
+    docs = table(spark, folder, "documents")
+    found = score(docs, fit(docs, table(spark, folder, "labels")))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
