@@ -181,3 +181,12 @@ def op6_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
     found = score(docs, fit(docs, table(spark, folder, "labels")))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
+
+
+@query
+def op1_lm_scoring(spark, folder):
+    """Loss difference of every document between a model of the good documents and one of all documents."""
+    from ticketlake.llm.lm_scoring import score
+
+    good = table(spark, folder, "labels").filter("quality = 1")
+    return score(table(spark, folder, "documents"), good).withColumn("loss_difference", F.round("loss_difference", 9))
