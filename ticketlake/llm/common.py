@@ -167,6 +167,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_key(df: DataFrame) -> DataFrame:
+    """`df` as a join side that is always shuffled by key and sorted, so that a join runs alike at every size."""
+    return df.hint("merge")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """`node, component`: the smallest node reachable over undirected `edges`, for every node that has an edge.
 

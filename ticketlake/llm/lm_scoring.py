@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.common import id_and_text, slices, text_bytes
+from ticketlake.llm.common import by_key, id_and_text, slices, text_bytes
 
 #: What stands before the first byte of a text.
 BEFORE = 0x0A
@@ -39,7 +39,7 @@ def _trigrams(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
 def trigram_counts(docs: DataFrame, target: DataFrame) -> DataFrame:
     """`gram, target, background`: counts of every trigram in the documents whose doc_id is in `target`, and in all."""
     marked = target.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct().withColumn("chosen", F.lit(True))
-    rows = id_and_text(docs).join(marked, "doc_id", "left").select("text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
+    rows = id_and_text(docs).join(by_key(marked), "doc_id", "left").select("text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
