@@ -190,3 +190,11 @@ def op1_lm_scoring(spark, folder):
 
     good = table(spark, folder, "labels").filter("quality = 1")
     return score(table(spark, folder, "documents"), good).withColumn("loss_difference", F.round("loss_difference", 9))
+
+
+@query
+def op7_vector_duplicates(spark, folder):
+    """Links and components of near-duplicate embeddings."""
+    from ticketlake.llm.vector_duplicates import linked_vectors
+
+    return linked_vectors(table(spark, folder, "embeddings"))
