@@ -1,11 +1,72 @@
-"""The corpus pipeline: stages over `documents`, each one of the operators of `ticketlake.llm`."""
+"""The corpus pipeline: five stages over `documents`, each one of the operators of `ticketlake.llm`.
+
+A stage takes (spark, docs, sf_dir) and works on all that the one before kept. What it returns is written as Parquet and
+read again as the next one's documents. All but the last return the columns of `documents`.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ticketlake.llm.common import by_key, table, written
+from ticketlake.llm.decontamination import matches, report
+from ticketlake.llm.line_dedup import drop_repeated_lines
+from ticketlake.llm.near_duplicates import near_duplicates
+from ticketlake.llm.queries import tokenizer_file
+from ticketlake.llm.sentencepiece_codec import round_trip
+from ticketlake.llm.toxicity import fit, tag
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id is not in `rejected`; rows without doc_id stay."""
+    gone = rejected.select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(by_key(gone), docs["doc_id"] == F.col("gone"), "left_anti")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the tagger rejects go."""
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return tag(docs, model).filter("predicted = 0").select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of line runs of fifty words or more are cut; documents of which nothing is left go."""
+    cut = drop_repeated_lines(docs)
+    emptied = (F.col("n_removed") > 0) & (F.trim(F.translate("text", "\n\r\t", "   ")) == "")
+    size = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cut.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", size).select(docs.columns)
+
+
+def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return _without(docs, near_duplicates(docs).filter("not kept"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a ten-word window of a benchmark item go."""
+    return _without(docs, report(matches(docs, table(spark, sf_dir, "benchmark"))).filter("contaminated"))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    coded = round_trip(docs.select("doc_id", "text"), tokenizer_file("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"), "piece_ids", "exact")
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", minhash),
+    ("benchmark decontamination", decontamination),
+    ("SentencePiece encoding and decoding", sentencepiece),
+]
 
-STAGES: list = []
+#: A trained tagger decides the first stage, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name.split()[0].lower())
+    return docs

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketlake.llm.common import ALNUM, id_and_text, scramble, shingles, slices, span_hashes, text_bytes, word_spans
 
@@ -245,14 +246,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     return _fit(pa.array([], pa.string()), np.zeros(0, np.int64))
 
 
-def score(docs: DataFrame, model: np.ndarray) -> DataFrame:
-    """`doc_id, score, predicted, spans` for every row; spans: (start, stop) in characters of runs of likely toxic words.
+def tag(docs: DataFrame, model: np.ndarray) -> DataFrame:
+    """All columns of `docs` with `score, predicted, spans` after them; columns of these names are replaced.
 
-    A null or empty text has no words and gets the calibrated score of such texts. Repeated rows and null ids come back
-    as they are.
+    spans: (start, stop) in characters of runs of likely toxic words. A null or empty text has no words and gets the
+    calibrated score of such texts. Repeated rows and null ids come back as they are.
     """
     small = model.astype(np.float32)
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+    keep = [c for c in docs.columns if c not in ("score", "predicted", "spans")]
+    # the input's columns travel in one struct, so that none of their names can clash
+    rows_of = docs.select(F.struct(*keep).alias("row"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, moves, calibration = small[:WEIGHTS].astype(np.float64), small[WEIGHTS : WEIGHTS + 5].astype(np.float64), small[-3:].astype(np.float64)
@@ -275,7 +279,14 @@ def score(docs: DataFrame, model: np.ndarray) -> DataFrame:
                     r = owner[a]
                     zero = char[rows[r]] - 1
                     spans[r].append({"start": int(char[tokens.start[likely[a]]] - 1 - zero), "stop": int(char[tokens.stop[likely[b]] - 1] - zero)})
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(final), pa.array(spans, spans_type)], ["doc_id", "score", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(final), pa.array(spans, spans_type)], ["row", "score", "spans"])
+
+    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
+    found = rows_of.mapInArrow(run, T.StructType([rows_of.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))]))
+    columns = [F.col("row").getField(c).alias(c) for c in keep]
+    return found.select(*columns, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
 
-    found = id_and_text(docs).mapInArrow(run, "doc_id bigint, score double, spans array<struct<start:bigint,stop:bigint>>")
-    return found.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+def score(docs: DataFrame, model: np.ndarray) -> DataFrame:
+    """`doc_id, score, predicted, spans` for every row, as `tag()` gives them."""
+    return tag(id_and_text(docs), model).drop("text")
