@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.common import UNSPACED, components, id_and_text, shingles, slices, text_bytes, words, written
+from ticketlake.llm.common import UNSPACED, by_key, components, id_and_text, shingles, slices, text_bytes, words, written
 
 SHINGLE = 5
 #: 60 permutations give 120 values: 20 bands of 6 find a pair of similarity 0.85 with probability 0.9999.
@@ -115,8 +115,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     own = sets.select("doc_id", "shingles")
-    joined = pairs.join(own.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
-    joined = joined.join(own.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
+    joined = pairs.join(by_key(own.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))), "b")
+    joined = joined.join(by_key(own.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))), "a")
     small, large = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
     return joined.filter(100 * small >= percent * large).select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
@@ -173,10 +173,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     centres = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("spread")).filter("spread > 1")
     shared = written(buckets.join(centres, "bucket"), "buckets")
     candidates = shared.select(F.col("node").alias("doc_id")).distinct()
-    sets = written(_shingle_sets(id_and_text(docs).join(candidates, "doc_id", "left_semi")), "sets")
-
-    star = shared.select(F.col("centre").alias("a"), F.col("node").alias("b")).filter("a < b").distinct()
-    links = written(_confirmed(star, sets, percent), "links")
+    sets = written(_shingle_sets(id_and_text(docs).join(by_key(candidates), "doc_id", "left_semi")), "sets")
+
+    # a node first meets the smallest of its centres, then those of the others that this did not bring together with it
+    star = shared.filter("centre < node")
+    nearest = star.groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).select("a", "b")
+    links = written(_confirmed(nearest, sets, percent), "links")
+    parts = components(links)
+    apart = star.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct().join(by_key(nearest), ["a", "b"], "left_anti")
+    apart = apart.join(by_key(parts.select(F.col("node").alias("a"), F.col("component").alias("pa"))), "a", "left")
+    apart = apart.join(by_key(parts.select(F.col("node").alias("b"), F.col("component").alias("pb"))), "b", "left")
+    apart = apart.filter(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b")
+    links = written(links.unionAll(_confirmed(apart, sets, percent)), "links")
     parts = written(components(links), "parts")
     # what the smallest node of a bucket did not bring together: nodes besides it, in more than one component
     open_ = shared.filter("spread > 2 and node <> centre").join(parts, "node", "left").select("bucket", "node", "spread", F.coalesce("component", "node").alias("part"))
@@ -184,7 +192,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     rest = _left_pairs(open_.join(several, "bucket"), sets)
     links = links.unionAll(_confirmed(rest, sets, percent)).unionAll(equal)
     final = components(links)
-    return base.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+    return base.join(by_key(final.withColumnRenamed("node", "doc_id")), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
