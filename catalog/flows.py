@@ -163,7 +163,7 @@ def _(t):
 
 @query("snk4_stage_handoff", "SELECT COUNT(*) AS documents, CAST(SUM(text_word_count) AS BIGINT) AS words FROM corpus_clean")
 def _(t):
-    clean = K.export_gold(C.clean(texts(t), collapse=False), fresh(t, "clean"))
+    clean = K.export_gold(C.clean(texts(t)), fresh(t, "clean"))
     feats = K.export_gold(C.with_features(clean, encode=False), fresh(t, "features"))
     return feats.agg(F.count("*").alias("documents"), F.sum("text_word_count").alias("words"))
 
@@ -188,7 +188,7 @@ def _(t):
 @query("snk8_feature_dictionary")
 def _(t):
     path = fresh(t, "dictionary")
-    feats = C.with_features(C.clean(texts(t), collapse=False), encode=False)
+    feats = C.with_features(C.clean(texts(t)), encode=False)
     K.export_json(ml_dataset.feature_dictionary(feats), path)
     present = feats.agg(F.count("*")).scalar()
     return t.spark.read.json(path).withColumn("row_count", present)

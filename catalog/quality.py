@@ -121,7 +121,7 @@ def _funnel_sql():
 
 @query("qa12_filter_funnel", _funnel_sql())
 def _(t):
-    steps = C.cleaning_steps(texts(t), collapse=False)
+    steps = C.cleaning_steps(texts(t))
     flags = ("keep_real", "keep_filled", "keep_long", "keep_clean_long", "keep_words")
     conds = [(n, F.col(f)) for (n, _), f in zip(_STEPS, flags)] + [("repetition", F.col("repetition_ratio") <= R.MAX_REPETITION)]
     return Q.funnel(steps, conds)
@@ -183,13 +183,13 @@ _FEATS = ("avg_word_length", "unique_word_ratio", "special_char_ratio", "text_co
 @query("pr9_feature_statistics", _describe("corpus_features", _FEATS))
 def _(t):
     # the report reads its input several times, so the features are written once
-    feats = C.with_features(C.clean(texts(t), collapse=False), encode=False).select(*_FEATS)
+    feats = C.with_features(C.clean(texts(t)), encode=False).select(*_FEATS)
     return P.describe(export_gold(feats, f"{checkpoint_dir(t.spark)}/features-{uuid.uuid4().hex}"), _FEATS)
 
 
 @query("pr10_eda_summary", f"SELECT COUNT(*) AS total_documents, {rnd('AVG(text_word_count)', 2)} AS avg_word_count, quantile_cont(text_word_count::DOUBLE, 0.5) AS median_word_count, CAST(MAX(text_word_count) AS INT) AS max_word_count, {rnd('AVG(text_char_count)', 2)} AS avg_character_count, COUNT(*) - COUNT(DISTINCT retrieval_text_clean) AS duplicate_documents, {rnd('(COUNT(*) - COUNT(DISTINCT retrieval_text_clean)) * 100.0 / COUNT(*)', 2)} AS duplicate_ratio_pct, {rnd('AVG(corpus_quality_score)', 4)} AS avg_quality_score FROM corpus_clean")
 def _(t):
-    d = C.clean(texts(t), collapse=False).groupBy(F.sha2(C.TEXT, 256).alias("k")).agg(
+    d = C.clean(texts(t)).groupBy(F.sha2(C.TEXT, 256).alias("k")).agg(
         F.count("*").alias("n"), F.max("text_word_count").alias("w"), F.max("text_char_count").alias("c"), F.sum("corpus_quality_score").alias("q")
     )
     n = F.sum("n")
@@ -208,7 +208,7 @@ _RISK = "least(greatest(retrieval_quality_score * 0.4::DOUBLE + text_complexity_
 
 def _ml(t):
     """Ticket texts meet the SLA rows of the ticket with the same number."""
-    feats = C.with_features(C.clean(texts(t), collapse=False), encode=False)
+    feats = C.with_features(C.clean(texts(t)), encode=False)
     sla = Warehouse(t).gold_sla.filter(F.col("source_system") == "GLPI").withColumn("source_ticket_pk", F.concat(F.lit("T"), "ticket_id"))
     return ml_dataset.build(feats, sla)
 
@@ -224,12 +224,12 @@ def _(t):
 @query("sc9_text_escalation", f"SELECT ticket_pk, {rnd(_RISK, 5)} AS risk, CAST({_RISK} >= 0.6 AS INT) AS high_risk FROM corpus_features")
 def _(t):
     risk, high = S.text_escalation()
-    return C.with_features(C.clean(texts(t), collapse=False), encode=False).select("ticket_pk", X.rounded(risk, 5).alias("risk"), high.alias("high_risk"))
+    return C.with_features(C.clean(texts(t)), encode=False).select("ticket_pk", X.rounded(risk, 5).alias("risk"), high.alias("high_risk"))
 
 
 @query("ml2_feature_selection")
 def _(t):
-    return L.select_features(C.with_features(C.clean(texts(t), collapse=False), encode=False), list(R.TRIAGE_FEATURES))
+    return L.select_features(C.with_features(C.clean(texts(t)), encode=False), list(R.TRIAGE_FEATURES))
 
 
 @query("ml3_stratified_split", "SELECT doc_id, quality, rn <= round(total * 0.25) AS is_test FROM (SELECT doc_id, quality, ROW_NUMBER() OVER (PARTITION BY quality ORDER BY md5('42|' || doc_id), doc_id) AS rn, COUNT(*) OVER (PARTITION BY quality) AS total FROM labels)")
@@ -238,7 +238,7 @@ def _(t):
 
 
 def _labelled(t):
-    return C.with_features(C.clean(texts(t), collapse=False), encode=False)
+    return C.with_features(C.clean(texts(t)), encode=False)
 
 
 def _triage_models(t, trees=20):

@@ -70,7 +70,7 @@ class Search:
     @staticmethod
     def _write(t):
         folder = f"{checkpoint_dir(t.spark)}/search-{uuid.uuid4().hex}"
-        feats = C.with_features(C.clean(texts(t), collapse=False), encode=False)
+        feats = C.with_features(C.clean(texts(t)), encode=False)
         carry = ("ticket_pk", "doc_id", "retrieval_quality_score", "priority_encoded", "urgency_encoded", "impact_encoded")
         C.chunk_rows(feats, carry=carry).write.parquet(f"{folder}/chunks")
         chunks = t.spark.read.parquet(f"{folder}/chunks")
@@ -119,7 +119,7 @@ class Search:
 @query("bm1_index_build", f"SELECT (SELECT COUNT(*) FROM corpus_chunks) AS n_docs, COUNT(*) AS n_postings, COUNT(DISTINCT term) AS n_terms, CAST(SUM(tf) AS BIGINT) AS n_tokens FROM idx_posts")
 def _(t):
     """The index built from the raw texts within one plan."""
-    feats = C.with_features(C.clean(texts(t), collapse=False), encode=False)
+    feats = C.with_features(C.clean(texts(t)), encode=False)
     p = SP.build_index(C.chunk_rows(feats), "chunk_id", "bm25_tokens").postings
     per_doc = p.groupBy("doc").agg(F.count("*").alias("n"), F.sum("tf").alias("tf"))
     terms = p.groupBy("term").agg(F.lit(1).alias("one")).agg(F.count("*")).scalar()
@@ -307,7 +307,7 @@ def _turn_candidates(t):
 
 
 def _solutions(t):
-    return FU.solution_lookup(C.clean_pairs(C.enrich_pairs(C.pairs(t.conversations)), collapse=False))
+    return FU.solution_lookup(C.clean_pairs(C.enrich_pairs(C.pairs(t.conversations))))
 
 
 @query("sl1_solution_lookup", "SELECT rag_id, problem_text_clean AS problem_text, solution_text_clean AS solution_text FROM corpus_pairs_ok")

@@ -58,10 +58,54 @@ def sql_share(x, cls):
 
 SPECIAL = r"[^a-zA-Z0-9\s\x0b\p{Z}\x85\x1c-\x1f]+"
 
+# ---- repeated phrases: leftmost start, shortest phrase, as often as it follows itself ------------
+def _edge(x):
+    """Whether position x of s is a word boundary."""
+    return f"(regexp_matches(substr(s, ({x})::INT - 1, 1), '[a-z0-9_]') <> regexp_matches(substr(s, ({x})::INT, 1), '[a-z0-9_]'))"
+
+
+def collapse_ctes(prefix, source):
+    """`{prefix}_collapsed (s, collapsed)` for the distinct cleaned texts s of a query.
+
+    A phrase ends at a blank, so its first piece (from a boundary to the end of the word) starts the word in which the copy
+    starts. Candidates come from equal pieces and words at one distance; a recursive walk then takes them from left to
+    right and follows each phrase as long as it repeats.
+    """
+    n = f"corpus_{prefix}"
+    cte(f"{n}_src", f"SELECT row_number() OVER () AS k, s, string_split(s, ' ') AS t FROM (SELECT DISTINCT s FROM ({source}) WHERE s <> '')")
+    cte(f"{n}_tok", f"""SELECT k, j, w, 1 + coalesce(sum(length(w) + 1) OVER (PARTITION BY k ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+  FROM (SELECT k, unnest(t) AS w, unnest(range(1, len(t) + 1)) AS j FROM {n}_src)""")
+    # pieces of plain words are the words; others may start at any boundary inside
+    cte(f"{n}_piece", f"""SELECT k, j, a + o AS i, w[o + 1:] AS p FROM (SELECT *, unnest(CASE WHEN regexp_full_match(w, '[a-z0-9]+') THEN [0] ELSE
+    list_filter(range(0, length(w)), lambda o: regexp_matches(CASE WHEN o = 0 THEN ' ' ELSE w[o] END, '[a-z0-9_]') <> regexp_matches(w[o + 1], '[a-z0-9_]')) END) AS o FROM {n}_tok)""")
+    after = "regexp_matches({0}[-1], '[a-z0-9_]') <> regexp_matches({1}[length({0}) + 1], '[a-z0-9_]')"
+    cte(f"{n}_one", f"""SELECT x.k, x.i, length(p) AS len FROM {n}_piece x JOIN {n}_tok y ON y.k = x.k AND y.j = x.j + 1 WHERE prefix(y.w, x.p) AND {after.format("x.p", "y.w")}""")
+    cte(f"{n}_pair", f"""SELECT x.k, x.j, x.i, y.j AS j2, y.a - 1 - x.i AS len FROM (SELECT * FROM {n}_piece ANTI JOIN {n}_one USING (k, i)) x JOIN {n}_tok y ON y.k = x.k AND y.w = x.p AND y.j >= x.j + 2""")
+    cte(f"{n}_near", f"""SELECT c.* FROM {n}_pair c JOIN {n}_tok x ON x.k = c.k AND x.j = c.j + 1 JOIN {n}_tok y ON y.k = c.k AND y.j = c.j2 + 1 WHERE c.j2 = c.j + 2 AND prefix(y.w, x.w) OR x.w = y.w""")
+    cte(f"{n}_more", f"""SELECT c.k, c.i, c.len FROM {n}_near c JOIN {n}_src x USING (k)
+  WHERE 2 * j2 - j - 1 <= len(t) AND t[j + 1:j2 - 2] = t[j2 + 1:2 * j2 - j - 2] AND prefix(t[2 * j2 - j - 1], t[j2 - 1]) AND {after.format("t[j2 - 1]", "t[2 * j2 - j - 1]")}""")
+    cte(f"{n}_best", f"SELECT k, list(i ORDER BY i) AS starts, list(len ORDER BY i) AS lens FROM (SELECT k, i, min(len) AS len FROM (SELECT * FROM {n}_one UNION ALL SELECT * FROM {n}_more) GROUP BY k, i) GROUP BY k")
+    cte(f"{n}_walk", f"""SELECT * FROM (WITH RECURSIVE walk(k, i, len, e) AS (
+    SELECT k, starts[1]::BIGINT, lens[1]::BIGINT, (starts[1] + lens[1])::BIGINT FROM {n}_best
+    UNION ALL SELECT k, CASE WHEN on_ THEN i ELSE starts[f] END, CASE WHEN on_ THEN len ELSE lens[f] END, CASE WHEN on_ THEN e + len + 1 ELSE starts[f] + lens[f] END
+    FROM (SELECT *, CASE WHEN NOT on_ THEN list_position(list_transform(starts, lambda x: x >= e), true) END AS f
+      FROM (SELECT w.*, b.starts, b.lens, substr(s, e::INT, len::INT + 1) = ' ' || substr(s, i::INT, len::INT) AND {_edge("e + len + 1")} AS on_
+        FROM walk w JOIN {n}_best b USING (k) JOIN {n}_src USING (k)))
+    WHERE on_ OR f > 0) SELECT k, i, len, max(e) AS e FROM walk GROUP BY k, i, len)""")
+    cte(f"{n}_collapsed", f"""SELECT any_value(s) AS s, trim(string_agg(part, '' ORDER BY i) || substr(any_value(s), max(e)::INT)) AS collapsed FROM (
+    SELECT *, substr(s, b::INT, (i - b)::INT) || substr(s, i::INT, len::INT) AS part FROM (SELECT *, coalesce(lag(e) OVER (PARTITION BY k ORDER BY i), 1) AS b FROM {n}_walk) JOIN {n}_src USING (k)) GROUP BY k
+  UNION ALL SELECT s, trim(s) FROM {n}_src ANTI JOIN {n}_walk USING (k) UNION ALL SELECT '', ''""")
+
+
 # ---- cleaned corpus ------------------------------------------------------------------------------
+collapse_ctes("ticket", f"SELECT {sql_noise(sql_clean('text_corpus'))} AS s FROM bronze_ticket_texts")
+_TURNS = """SELECT md5(a.conv_id || '|' || a.turn) AS rag_id, a.conv_id, a.turn, a.text AS problem_text, b.text AS solution_text
+    FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 WHERE a.role = 'user' AND b.role = 'assistant'"""
+collapse_ctes("turn", f"SELECT {sql_noise(sql_clean('problem_text'))} AS s FROM ({_TURNS}) UNION ALL SELECT {sql_noise(sql_clean('solution_text'))} FROM ({_TURNS})")
 cte("corpus_steps", f"""
 SELECT *, len(w) AS text_word_count, length(retrieval_text_clean) AS text_char_count, {sql_rep('w')} AS repetition_ratio
-FROM (SELECT *, {sql_words('retrieval_text_clean')} AS w FROM (SELECT *, {sql_noise(sql_clean('text_corpus'))} AS retrieval_text_clean FROM bronze_ticket_texts))
+FROM (SELECT *, {sql_words('retrieval_text_clean')} AS w FROM (SELECT b.*, c.collapsed AS retrieval_text_clean
+  FROM (SELECT *, {sql_noise(sql_clean('text_corpus'))} AS s FROM bronze_ticket_texts) b JOIN corpus_ticket_collapsed c ON c.s = b.s))
 """)
 cte("corpus_clean", f"""
 SELECT * EXCLUDE (rn) FROM (SELECT doc_id, {', '.join(C.CLEAN_COLUMNS)}, ROW_NUMBER() OVER (PARTITION BY ticket_pk ORDER BY doc_id) AS rn FROM corpus_steps
@@ -87,9 +131,9 @@ cte("corpus_pairs", f"""
 SELECT *, len(pw) AS problem_word_count, length(problem_text_clean) AS problem_char_count, {sql_rep('pw')} AS problem_repetition_ratio,
   len(sw) AS solution_word_count, length(solution_text_clean) AS solution_char_count, {sql_rep('sw')} AS solution_repetition_ratio
 FROM (SELECT *, {sql_words('problem_text_clean')} AS pw, {sql_words('solution_text_clean')} AS sw FROM (
-  SELECT *, {sql_noise(sql_clean('problem_text'))} AS problem_text_clean, {sql_noise(sql_clean('solution_text'))} AS solution_text_clean
-  FROM (SELECT md5(a.conv_id || '|' || a.turn) AS rag_id, a.conv_id, a.turn, a.text AS problem_text, b.text AS solution_text
-    FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 WHERE a.role = 'user' AND b.role = 'assistant')
+  SELECT q.* EXCLUDE (ps, ss), x.collapsed AS problem_text_clean, y.collapsed AS solution_text_clean
+  FROM (SELECT *, {sql_noise(sql_clean('problem_text'))} AS ps, {sql_noise(sql_clean('solution_text'))} AS ss FROM ({_TURNS})) q
+  JOIN corpus_turn_collapsed x ON x.s = q.ps JOIN corpus_turn_collapsed y ON y.s = q.ss
   WHERE {has('problem_text')} AND {has('solution_text')} AND length(problem_text) >= 20 AND length(solution_text) >= 20))
 WHERE length(problem_text_clean) >= 20 AND length(solution_text_clean) >= 20 AND len(pw) >= 5 AND len(sw) >= 5
 """)
@@ -130,7 +174,10 @@ def _(t):
     return docs(t).select("doc_id", T.remove_boilerplate(F.lower("text")).alias("stripped"))
 
 
-@query("tx4_repeated_phrases")
+collapse_ctes("document", f"SELECT {sql_noise(sql_clean('text'))} AS s FROM documents")
+
+
+@query("tx4_repeated_phrases", f"SELECT doc_id, collapsed FROM documents JOIN corpus_document_collapsed ON s = {sql_noise(sql_clean('text'))}")
 def _(t):
     return docs(t).select("doc_id", C.normalise(F.col("text")).alias("collapsed"))
 
@@ -170,7 +217,7 @@ def _(t):
 
 
 def _features(t):
-    return C.with_features(C.clean(texts(t), collapse=False), encode=False)
+    return C.with_features(C.clean(texts(t)), encode=False)
 
 
 @query("tx10_complexity", f"SELECT document_id, {rnd('text_complexity_score', 6)} AS text_complexity_score FROM corpus_features")
@@ -223,7 +270,7 @@ cte("corpus_pair_rows", f"SELECT *, {_CONTEXT} FROM corpus_pairs_ok")
 
 
 def _pairs(t):
-    return C.clean_pairs(C.enrich_pairs(C.pairs(t.conversations)), collapse=False)
+    return C.clean_pairs(C.enrich_pairs(C.pairs(t.conversations)))
 
 
 @query(
@@ -256,7 +303,7 @@ def _(t):
     f"SELECT chunk_id, document_id, ticket_pk, chunk_index, chunk_text, CAST(chunk_word_count AS INT) AS chunk_word_count, chunk_token_estimate, array_to_string(bm25_tokens, ' ') AS bm25_tokens, priority_encoded, {rnd('retrieval_quality_score', 6)} AS retrieval_quality_score FROM corpus_chunks",
 )
 def _(t):
-    return C.chunks_v1(texts(t), collapse=False).select(
+    return C.chunks_v1(texts(t)).select(
         "chunk_id", "document_id", "ticket_pk", "chunk_index", "chunk_text", "chunk_word_count", "chunk_token_estimate",
         F.array_join("bm25_tokens", " ").alias("bm25_tokens"), "priority_encoded", X.rounded("retrieval_quality_score", 6).alias("retrieval_quality_score"),
     )
@@ -297,7 +344,7 @@ def _(t):
     f"SELECT doc_id, ticket_pk, retrieval_text_clean, CAST(text_word_count AS INT) AS text_word_count, CAST(text_char_count AS INT) AS text_char_count, {rnd('repetition_ratio', 6)} AS repetition_ratio FROM corpus_clean",
 )
 def _(t):
-    return C.clean(texts(t), collapse=False).select(
+    return C.clean(texts(t)).select(
         "doc_id", "ticket_pk", "retrieval_text_clean", "text_word_count", "text_char_count", X.rounded("repetition_ratio", 6).alias("repetition_ratio")
     )
 
