@@ -127,7 +127,7 @@ def _(t):
     new = base.filter(F.col("vec_id") % 2 == 0).withColumn("refreshed", F.lit(True))
     table, path = K.upsert(old, new, "vec_id"), fresh(t, "vectors")
     K.write_vector_table(table, path, "vec_id", expected=base.count())
-    return t.spark.read.parquet(f"{path}/*")
+    return K.read_vector_table(t.spark, path)
 
 
 @query("src13_dense_sparse_payload", "SELECT chunk_id, TRUE AS has_dense, TRUE AS has_sparse FROM corpus_chunks")
@@ -267,11 +267,11 @@ def _(t):
     return INC.step_metrics(t.events, "ts", "event_type", "value").drop("p95_value")
 
 
-@query("st3_step_metrics_stream")
+@query("st3_step_metrics_stream", f"SELECT date_trunc('day', ts) AS window_start, event_type AS step, COUNT(*) AS requests, {rnd('AVG(value)', 4)} AS avg_value, {rnd(_ERRORS, 4)} AS error_rate FROM events GROUP BY ALL")
 def _(t):
     src, dst, chk = fresh(t, "landing"), fresh(t, "metrics"), fresh(t, "offsets")
-    t.events.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(src)
+    INC.closed(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type").write.parquet(src)
     schema = t.spark.read.parquet(src).schema
     stream = INC.step_metrics(t.spark.readStream.schema(schema).parquet(src), "ts", "event_type", "value", lateness="1 hour")
     stream.writeStream.format("parquet").option("path", dst).option("checkpointLocation", chk).trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.parquet(dst).select("*", X.rounded("avg_value", 2).alias("avg2"))
+    return t.spark.read.parquet(dst).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "step", "requests", "avg_value", "error_rate")

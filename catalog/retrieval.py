@@ -104,14 +104,17 @@ class Search:
         """Chunks of the documents that hold the passage verbatim.
 
         A passage inside a document shares its inner words, so three consecutive inner words are the
-        join key and only the partners are compared as text.
+        join key and only the partners are compared as text. Passages of under five words have too few inner
+        words; those few are looked up in every document.
         """
         three = F.array_join(F.slice("w", 2, 3), " ")
         asked = self.queries.withColumn("w", T.words("text")).filter(F.size("w") >= 5).select("query_id", F.col("text").alias("passage"), three.alias("gram"))
         d = self.t.documents.select("doc_id", "text", T.words("text").alias("w"))
         starts = F.when(F.size("w") >= 3, F.sequence(F.lit(1), F.size("w") - 2)).otherwise(F.array().cast("array<int>"))
         grams = d.select("doc_id", F.explode(F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.lit(3)), " ")))).alias("gram"))
-        pairs = grams.join(asked, "gram").select("query_id", "doc_id", "passage")
+        short = self.queries.filter(F.size(T.words("text")).between(1, 4)).select("query_id", F.col("text").alias("passage"))
+        inside = self.t.documents.join(short, F.contains("text", "passage")).select("query_id", "doc_id", "passage")
+        pairs = grams.join(asked, "gram").select("query_id", "doc_id", "passage").unionByName(inside)
         held = pairs.join(self.t.documents.select("doc_id", "text"), "doc_id").filter(F.contains("text", "passage"))
         return held.join(self.chunks.select("doc_id", F.col("chunk_id").alias("doc")), "doc_id").select("query_id", "doc").distinct()
 

@@ -182,9 +182,17 @@ def _(t):
     return docs(t).select("doc_id", C.normalise(F.col("text")).alias("collapsed"))
 
 
-@query("tx5_repeated_pattern")
+_WORD, _BLANK = r"[\p{L}\p{N}_]+", r"[\s\x0b\p{Z}\x85\x1c-\x1f]+"
+_SPACED = rf"""SELECT doc_id, i, regexp_extract(x, '^{_WORD}') AS w, CASE WHEN regexp_full_match(regexp_replace(x, '^{_WORD}', ''), '{_BLANK}') THEN regexp_replace(x, '^{_WORD}', '') END AS s
+  FROM (SELECT doc_id, unnest(x) AS x, unnest(range(len(x))) AS i FROM (SELECT doc_id, regexp_extract_all(lower(COALESCE(text, '')), '{_WORD}[^\p{{L}}\p{{N}}_]*') AS x FROM documents))"""
+# a phrase of m words: m words and m - 1 spaces recur m words ahead, and white space follows each of them
+_MARKS = ", ".join(f"s IS NOT NULL AND w = lead(w, {m}) OVER o AS w{m}, s = lead(s, {m}) OVER o AS s{m}" for m in range(2, 7))
+_RUNS = " OR ".join(f"count_if(w{m}) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {m - 1} FOLLOWING) = {m} AND count_if(w{m} AND s{m}) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {m - 2} FOLLOWING) = {m - 1}" for m in range(2, 7))
+
+
+@query("tx5_repeated_pattern", f"SELECT doc_id, COALESCE(hit, FALSE) AS has_repeat FROM documents LEFT JOIN (SELECT doc_id, bool_or(r) AS hit FROM (SELECT doc_id, {_RUNS} AS r FROM (SELECT *, {_MARKS} FROM ({_SPACED}) WINDOW o AS (PARTITION BY doc_id ORDER BY i))) GROUP BY doc_id) USING (doc_id)")
 def _(t):
-    w = T.bm25_tokens("text")
+    w = T.spaced_words("text")
     return docs(t).select("doc_id", "text", w.alias("w")).select("doc_id", T.has_repeated_pattern("w").alias("has_repeat"))
 
 

@@ -57,9 +57,13 @@ def test_collapse_long_phrases():
 
 
 def test_repeat_detector(spark):
-    rows = ["a b a b", "a b c a b d", "x y z q w e x y z q w e", "one one one", "", "p q r"]
-    df = spark.createDataFrame([(r,) for r in rows], "c string").select(T.bm25_tokens("c").alias("w"))
-    want = [T.phrase_repeats(r.split()) for r in rows]
+    rows = ["a b a b", "a b c a b d", "x y z q w e x y z q w e", "one one one", "", "p q r", "a-b a-b", "x y. x y", "foo, bar foo, bar", "ab ab ab abc", "a\tB A\nb", "u_v w u_v w."]
+    rng = random.Random(5)
+    rows += ["".join(rng.choice(["a", "b", "a ", "b ", " ", ". ", "_"]) for _ in range(14)) for _ in range(150)]
+    df = spark.createDataFrame([(r,) for r in rows], "c string").select(T.spaced_words("c").alias("w"))
+    # two to six words, then the same words again, with white space only in between
+    detector = re.compile(r"(\b(?:\w+\s+){1,5}\w+\b)(?:\s+\1\b)+")
+    want = [bool(detector.search(r.lower())) for r in rows]
     assert [r[0] for r in df.select(T.has_repeated_pattern("w")).collect()] == want
 
 

@@ -298,31 +298,35 @@ def remove_repeated_phrases(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else collapse_repeats(t).strip())
 
 
-def phrase_repeats(tokens: list[str], low: int = 2, high: int = 6) -> bool:
-    """Whether ``low``..``high`` consecutive words are followed by the same words."""
-    for size in range(low, high + 1):
-        run = 0
-        for i in range(len(tokens) - size):
-            run = run + 1 if tokens[i] == tokens[i + size] else 0
-            if run == size:
-                return True
-    return False
+def spaced_words(col) -> Column:
+    """Lower-case words (`w`) with the white space after each (`s`); `s` is a full stop where more than that follows."""
+    word, other = r"[\p{L}\p{N}_]+", r"[^\p{L}\p{N}_]*"
+    pairs = F.regexp_extract_all(F.lower(F.coalesce(X._c(col), F.lit(""))), F.lit(f"({word}{other})"), F.lit(1))
+
+    def split(token: Column) -> Column:
+        after = F.regexp_replace(token, f"^{word}", "")
+        blank = after.rlike(r"^[\s\x0b\p{Z}\x85\x1c-\x1f]+$")
+        return F.struct(F.regexp_extract(token, f"^{word}", 0).alias("w"), F.when(blank, after).otherwise(F.lit(".")).alias("s"))
 
+    return F.transform(pairs, split)
 
-def has_repeated_pattern(word_array, low: int = 2, high: int = 6) -> Column:
-    """Repeated-phrase detector as array expressions: one pass per phrase length.
 
-    For each phrase length the positions that equal the word one length ahead are marked; a run of
-    that length is a repeat.
+def has_repeated_pattern(words, low: int = 2, high: int = 6) -> Column:
+    """Whether a phrase of ``low``..``high`` words, white space included, follows itself: over `spaced_words`, a pass per length.
+
+    A word is marked B if it and the space after it recur one phrase ahead, and w if only the word does; white space has
+    to follow either. A phrase is a row of Bs that a B or w ends.
     """
-    w = X._c(word_array)
-    n = F.size(w)
     found = F.lit(False)
     for size in range(low, high + 1):
-        found = found | F.array_join(_equal_ahead(w, n, size), "").contains("1" * size)
+        found = found | F.array_join(_ahead(X._c(words), size), "").rlike(f"B{{{size - 1}}}[Bw]")
     return found
 
 
-def _equal_ahead(w: Column, n: Column, size: int) -> Column:
-    positions = F.when(n > size, F.sequence(F.lit(1), n - size)).otherwise(F.array().cast("array<int>"))
-    return F.transform(positions, lambda i: F.when(F.element_at(w, i) == F.element_at(w, i + size), "1").otherwise("0"))
+def _ahead(words: Column, size: int) -> Column:
+    def mark(x: Column, i: Column) -> Column:
+        y = F.get(words, i + size)
+        recurs = (x["w"] == y["w"]) & (x["s"] != ".")
+        return F.when(recurs & (x["s"] == y["s"]), "B").when(recurs, "w").otherwise("0")
+
+    return F.transform(words, mark)

@@ -144,8 +144,11 @@ def same_encoder(vectors: DataFrame, queries: DataFrame) -> None:
         raise ValueError(f"vectors come from different encoders: {sorted(ids)}")
 
 
-def nearest_lsh(vectors: DataFrame, queries: DataFrame, k: int, key="doc", vector="embedding", query="query_id", tables: int = 8, width: float = 0.5, radius: float = 1.2, seed: int = 42) -> DataFrame:
-    """Approximate variant: random-projection buckets on unit vectors, then exact scores of the bucket mates."""
+def nearest_lsh(vectors: DataFrame, queries: DataFrame, k: int, key="doc", vector="embedding", query="query_id", tables: int = 8, width: float = 0.5, seed: int = 42) -> DataFrame:
+    """Approximate variant: random-projection buckets on unit vectors, then exact scores of the bucket mates.
+
+    Buckets are doubled until every query has k neighbours (or all vectors, if there are fewer).
+    """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
@@ -155,10 +158,16 @@ def nearest_lsh(vectors: DataFrame, queries: DataFrame, k: int, key="doc", vecto
         )
 
     docs, asked = unit(vectors, key, "doc"), unit(queries, query, "query_id")
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", numHashTables=tables, bucketLength=width, seed=seed).fit(docs)
-    near = model.approxSimilarityJoin(docs, asked, radius, "dist")
-    scored = near.select(
-        F.col("datasetB.query_id").alias("query_id"), F.col("datasetA.doc").alias("doc"),
-        F.round(1 - F.col("dist") * F.col("dist") / 2, 6).alias("score"),
-    )
+    wanted = docs.limit(k).count()
+    while True:
+        model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", numHashTables=tables, bucketLength=width, seed=seed).fit(docs)
+        near = model.approxSimilarityJoin(docs, asked, 2.01, "dist")  # no two unit vectors are farther apart
+        scored = near.select(
+            F.col("datasetB.query_id").alias("query_id"), F.col("datasetA.doc").alias("doc"),
+            F.round(1 - F.col("dist") * F.col("dist") / 2, 6).alias("score"),
+        )
+        found = asked.select("query_id").join(scored.groupBy("query_id").agg(F.count("*").alias("n")), "query_id", "left")
+        if width > 4 or found.filter(F.coalesce("n", F.lit(0)) < wanted).isEmpty():
+            break
+        width *= 2
     return top_k(scored, "query_id", [F.col("score").desc(), F.col("doc")], k)

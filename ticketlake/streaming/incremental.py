@@ -23,6 +23,16 @@ def ingest_incremental(spark: SparkSession, source: str, schema, target: str, ch
     query.awaitTermination()
 
 
+#: Step of the row that closes a stream; its own window is never complete, so it never appears in the metrics.
+CLOSING = "__closing__"
+
+
+def closed(events: DataFrame, time: str, step: str, gap: str = "30 days") -> DataFrame:
+    """`events` and one later row that moves the watermark past every window, for streams that end."""
+    late = events.agg((F.max(time) + F.expr(f"INTERVAL {gap}")).alias(time)).withColumn(step, F.lit(CLOSING))
+    return events.unionByName(late, allowMissingColumns=True)
+
+
 def step_metrics(events: DataFrame, time: str, step: str, value: str, window: str = "1 day", lateness: str | None = None) -> DataFrame:
     """Count, mean, p95 and error share per step and tumbling window; batch or stream."""
     source = events.withWatermark(time, lateness) if lateness else events
