@@ -74,7 +74,7 @@ class Search:
         carry = ("ticket_pk", "doc_id", "retrieval_quality_score", "priority_encoded", "urgency_encoded", "impact_encoded")
         C.chunk_rows(feats, carry=carry).write.parquet(f"{folder}/chunks")
         chunks = t.spark.read.parquet(f"{folder}/chunks")
-        index = SP.save_index(SP.build_index(chunks, "chunk_id", "bm25_tokens"), f"{folder}/index", buckets=8)
+        index = SP.save_index(SP.build_index(chunks, "chunk_id", "bm25_tokens"), f"{folder}/index")
         D.embed(chunks.select(F.col("chunk_id").alias("doc"), "chunk_text"), "chunk_text", normalize=False).write.parquet(f"{folder}/vectors")
         return folder, index
 

@@ -35,6 +35,26 @@ def drop_duplicates_ordered(df: DataFrame, keys, order) -> DataFrame:
     return latest_per_key(df, keys, order, 1)
 
 
+def best_by_rules(left: DataFrame, right: DataFrame, rules: list[tuple[list[Column], list[Column]]], order: list[Column], keep: list[str]) -> DataFrame:
+    """Left join to the first row of ``right`` in ``order`` among those that any rule matches.
+
+    Each rule first reduces ``right`` to one row per key (a grouping with partial aggregates), so every
+    join meets a unique side and a key that is frequent on both sides never multiplies. ``order`` holds
+    sortable expressions, smallest first, with a unique last one; a NULL key never matches.
+    """
+    out, found = left, []
+    for i, (lk, rk) in enumerate(rules):
+        keys = [f"_k{i}_{j}" for j in range(len(rk))]
+        best = right.groupBy(*[c.alias(k) for c, k in zip(rk, keys)]).agg(F.min(F.struct(F.struct(*order).alias("o"), F.struct(*keep).alias("r"))).alias(f"_b{i}"))
+        # the left keys are columns of their own, so that names on the two sides cannot be confused
+        out = out.withColumns({f"_l{i}_{j}": c for j, c in enumerate(lk)})
+        out = out.join(best, reduce(lambda a, b: a & b, [F.col(f"_l{i}_{j}") == F.col(k) for j, k in enumerate(keys)]), "left").drop(*keys)
+        found.append(F.col(f"_b{i}"))
+    first = F.array_min(F.filter(F.array(*found), lambda b: b.isNotNull())) if len(found) > 1 else found[0]
+    helpers = [c for c in out.columns if c.startswith(("_l", "_b"))]
+    return out.withColumn("_first", first).drop(*helpers).select(*left.columns, *[F.col("_first.r").getField(c).alias(c) for c in keep])
+
+
 def match_any(
     left: DataFrame,
     right: DataFrame,

@@ -101,14 +101,19 @@ def bm25_search(index: SparseIndex, queries: DataFrame, k: int, query: str = "qu
     return top_k(fill_zero_scores(best, queries, index.docs, query, k), "query_id", order, k)
 
 
-def save_index(index: SparseIndex, folder: str, buckets: int = 32) -> SparseIndex:
-    """Write the index once and read it back: postings bucketed by document, small tables as files."""
+def save_index(index: SparseIndex, folder: str, bucket_rows: int = 1_000_000, least: int = 8) -> SparseIndex:
+    """Write the index once and read it back: postings bucketed by document, small tables as files.
+
+    The number of buckets follows the number of postings, so a bucket stays one task's work at any size.
+    """
     spark = index.postings.sparkSession
     name = "idx_" + uuid.uuid4().hex
-    index.postings.write.bucketBy(buckets, "doc").option("path", f"{folder}/postings").format("parquet").saveAsTable(name)
     for part in ("terms", "docs", "stats"):
         getattr(index, part).write.parquet(f"{folder}/{part}")
     read = {part: spark.read.parquet(f"{folder}/{part}") for part in ("terms", "docs", "stats")}
+    postings = read["terms"].agg(F.sum("df")).first()[0] or 0
+    buckets = max(least, -(-postings // bucket_rows))
+    index.postings.write.bucketBy(buckets, "doc").option("path", f"{folder}/postings").format("parquet").saveAsTable(name)
     return SparseIndex(postings=spark.table(name), **read)
 
 

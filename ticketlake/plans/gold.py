@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ticketlake import rules as R
 from ticketlake.functions import cleanse as X, scores as S
-from ticketlake.operators.relational import latest_per_key, match_any, union_aligned
+from ticketlake.operators.relational import best_by_rules, latest_per_key, union_aligned
 from ticketlake.plans.silver import software_summary
 
 SLA = [
@@ -185,22 +185,22 @@ def computer_infrastructure(computers: DataFrame, hardware: DataFrame, bios: Dat
         "hardware_pk", "hardware_id", F.col("source_year").alias("host_year"), "uuid", "normalized_hostname",
         "os_family", "memory_gb", "cpu_cores", "memory_tier", "last_seen_date",
     )
-    matched = match_any(
+    best = best_by_rules(
         computers.select("unique_id", "computer_id", "computer_uuid", "computer_name", F.col("source_year").alias("computer_year")),
         host,
         [
             ([known], [F.lower("uuid")]),
             ([F.lower("computer_name"), F.col("computer_year")], [F.col("normalized_hostname"), F.col("host_year")]),
         ],
-        "unique_id", "hardware_pk",
+        [F.col("last_seen_date").isNull(), -F.unix_micros(F.col("last_seen_date").cast("timestamp")), F.col("hardware_pk")],
+        ["hardware_pk", "hardware_id", "host_year", "os_family", "memory_gb", "cpu_cores", "memory_tier", "last_seen_date"],
     )
-    best = latest_per_key(matched, "unique_id", [F.col("last_seen_date").desc_nulls_last(), F.col("hardware_pk").asc_nulls_last()])
     firmware = bios.select("hardware_id", F.col("source_year").alias("host_year"), "bios_age_years", "bios_risk_level")
     risk = software_summary(software).select(
         "hardware_id", F.col("source_year").alias("host_year"),
         F.col("software_installed_count").alias("total_software_count"), "high_risk_software_count",
     )
-    return (
+    context = (
         best.join(firmware, ["hardware_id", "host_year"], "left")
         .join(risk, ["hardware_id", "host_year"], "left")
         .select(
@@ -209,6 +209,11 @@ def computer_infrastructure(computers: DataFrame, hardware: DataFrame, bios: Dat
             S.infrastructure_tokens().alias("infra_tokens"),
         )
     )
+    # a ticket's year is the same for all contexts of its computer, so only the best of them can be picked
+    return latest_per_key(
+        context, "computer_id",
+        [F.when(F.col("has_identity"), 0).otherwise(1), F.col("last_seen_date").desc_nulls_last(), F.col("unique_id").asc_nulls_last()],
+    )
 
 
 def ticket_infrastructure(bronze_tickets: DataFrame, context: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ticketlake import rules as R
 from ticketlake.functions import cleanse as X, scores as S
-from ticketlake.operators.relational import latest_per_key, match_any, union_aligned
+from ticketlake.operators.relational import best_by_rules, latest_per_key, union_aligned
 
 TICKET = [
     ("event_pk", "string"), ("source_system", "string"), ("source_id", "string"), ("source_year", "int"),
@@ -189,13 +189,14 @@ def assets(hardware, bios, computers, infocoms, desk, drives, software, as_of: d
         F.col("unique_id").alias("machine_pk"), "computer_id", "computer_uuid", "computer_name",
         F.col("source_year").alias("machine_year"),
     )
-    matched = match_any(
+    # of several matching machines the smallest computer counts
+    matched = best_by_rules(
         base, machines,
         [
             ([F.lower("uuid")], [F.lower("computer_uuid")]),
             ([F.lower("asset_name"), F.col("source_year")], [F.lower("computer_name"), F.col("machine_year")]),
         ],
-        "asset_pk", "machine_pk",
+        [F.col("computer_id").isNull(), F.col("computer_id"), F.col("machine_pk")], ["computer_id"],
     )
     finance = infocoms.filter(F.col("item_type") == "Computer").select(
         F.col("item_id").alias("computer_id"), "has_warranty", "buy_date"

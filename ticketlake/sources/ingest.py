@@ -86,13 +86,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def ingest_csv(spark: SparkSession, path: str, target: str | None = None, schema: str | None = None, transform: Callable[[DataFrame], DataFrame] | None = None, dry_run: bool = False, encoding: str = "UTF-8", dataset: str | None = None, missing_ok: bool = False, mode: str = "overwrite") -> int:
-    """One distributed CSV scan, optional transform hook, optional write; returns the row count."""
+def ingest_csv(spark: SparkSession, path: str, target: str | None = None, schema: str | None = None, transform: Callable[[DataFrame], DataFrame] | None = None, dry_run: bool = False, encoding: str = "UTF-8", dataset: str | None = None, missing_ok: bool = False, mode: str = "overwrite", multi_line: bool = False) -> int:
+    """One distributed CSV scan, optional transform hook, optional write; returns the row count.
+
+    multi_line: quoted fields may hold line breaks. Such a file cannot be split, so each is read by one task.
+    """
     if not path_exists(spark, path):
         if missing_ok:
             return 0
         raise FileNotFoundError(path)
-    reader = spark.read.option("header", True).option("encoding", encoding).option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("encoding", encoding).option("multiLine", multi_line).option("escape", '"')
     df = (reader.schema(schema) if schema else reader).csv(path)
     if dataset:
         df = df.withColumn("source_dataset", F.lit(dataset))
