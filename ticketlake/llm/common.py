@@ -87,16 +87,21 @@ def word_spans(data: np.ndarray, rows: np.ndarray, inside: np.ndarray) -> tuple[
 
 def span_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """64-bit hashes of data[start:stop], A-Z folded; no span may be empty."""
-    if len(start) == 0:
-        return np.zeros(0, np.uint64)
-    length = stop - start
-    first = np.cumsum(length) - length
-    place = np.arange(int(length.sum()), dtype=np.int64) - np.repeat(first, length)
-    value = _MIX[FOLD[data[place + np.repeat(start, length)]]] * _PLACE[place & 4095]
-    value ^= value >> np.uint64(29)
-    if length.max() > 4096:
-        value *= (place >> 12).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    return scramble(np.add.reduceat(value, first) + length.astype(np.uint64))
+    out = np.zeros(len(start), np.uint64)
+    total = np.cumsum(stop - start)
+    at = 0
+    while at < len(start):  # about a megabyte at a time, so that the work arrays stay small
+        end = max(int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 20))), at + 1)
+        length = stop[at:end] - start[at:end]
+        first = np.cumsum(length) - length
+        place = np.arange(int(length.sum()), dtype=np.int64) - np.repeat(first, length)
+        value = _MIX[FOLD[data[place + np.repeat(start[at:end], length)]]] * _PLACE[place & 4095]
+        value ^= value >> np.uint64(29)
+        if length.max() > 4096:
+            value *= (place >> 12).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        out[at:end] = scramble(np.add.reduceat(value, first) + length.astype(np.uint64))
+        at = end
+    return out
 
 
 def words(data: np.ndarray, rows: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

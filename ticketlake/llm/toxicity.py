@@ -20,14 +20,14 @@ from pyspark.sql import types as T
 from ticketlake.llm.common import ALNUM, id_and_text, scramble, shingles, slices, span_hashes, text_bytes, word_spans
 
 #: Labelled documents in the sample for fitting, and the size up to which a document may be in it.
-SAMPLE, SAMPLE_TEXT = 12_000, 1 << 16
+SAMPLE, SAMPLE_TEXT = 6_000, 1 << 16
 #: Hashed feature weights.
 WEIGHTS = 1 << 18
 #: Log-likelihood ratio from which a word, or a stem of 4 to 6 bytes, makes labelled toxic tokens.
 EVIDENCE = 30.0
 #: Clean documents with it, for each toxic one, that such a word may have.
 IMPURE = 0.03
-STEPS = 40
+STEPS = 25
 PREFIXES, SUFFIXES = (4, 5, 6), (4,)
 #: Chain positions that are worked off one after the other, in all blocks at once.
 BLOCK = 512
@@ -217,9 +217,11 @@ def _fit(texts: pa.Array, toxic: np.ndarray) -> np.ndarray:
         turn[0] = 0
         size_m += turn**2
         moves += 0.5 * turn / np.sqrt(size_m)
-    p = _Chain(weights[tokens.features].sum(axis=1)[tokens.code], tokens.opens, moves).toxic()
     model[:WEIGHTS], model[WEIGHTS : WEIGHTS + 5] = weights, moves
-    model[-3:] = _logistic(_document_features(p, tokens.first)[unseen], y[unseen])
+    del own, free, tied
+    fresh = _Tokens(*text_bytes(texts.take(pa.array(np.sort(keep)[unseen]))))
+    p = _Chain(weights[fresh.features].sum(axis=1)[fresh.code], fresh.opens, moves).toxic() if len(fresh.code) else np.zeros(0)
+    model[-3:] = _logistic(_document_features(p, fresh.first), y[unseen])
     return model
 
 
