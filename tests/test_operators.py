@@ -128,3 +128,55 @@ def test_local_outlier_factor_finds_the_outlier(spark):
     rows = [(i, *map(float, rng.normal(size=2))) for i in range(200)] + [(999, 30.0, 30.0)]
     scored = L.local_outlier_factor(spark.createDataFrame(rows, "id bigint, a double, b double"), "id", ["a", "b"])
     assert scored.count() == 201 and scored.orderBy(F.col("lof_score").desc()).first()["id"] == "999"
+
+
+def test_best_by_rules_with_one_hot_key(spark):
+    """Ten thousand rows of one uuid on both sides stay ten thousand rows."""
+    n = 10_000
+    a = spark.range(n).select(F.col("id").alias("aid"), F.lit("hot").alias("u"), F.lit(None).cast("string").alias("h"))
+    b = spark.range(n).select(F.col("id").alias("bid"), F.lit("HOT").alias("bu"), F.col("id").cast("string").alias("bh"))
+    extra = spark.createDataFrame([(-1, None, "7"), (-2, "none", "none"), (-3, "hot", "3")], "aid long, u string, h string")
+    got = J.best_by_rules(a.unionByName(extra), b, [([F.lower("u")], [F.lower("bu")]), ([F.col("h")], [F.col("bh")])], [-F.col("bid")], ["bid"])
+    best = {r.aid: r.bid for r in got.filter("aid < 0").collect()}
+    assert got.count() == n + 3 and best == {-1: 7, -2: None, -3: n - 1}
+    assert got.filter("aid >= 0").agg(F.min("bid"), F.max("bid")).first() == (n - 1, n - 1)
+
+
+def test_csv_files_are_split(spark, tmp_path):
+    from ticketlake.sources import ingest as I
+
+    path = str(tmp_path / "one.csv")
+    with open(path, "w") as f:
+        f.write("id\n" + "".join(f"{i}\n" for i in range(200_000)))
+    seen = []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        n = I.ingest_csv(spark, path, schema="id bigint", transform=lambda d: seen.append(d.rdd.getNumPartitions()) or d, dry_run=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert n == 200_000 and seen[0] > 5
+
+
+def test_ingestion_counts_rows_of_its_own_run(spark, tmp_path):
+    from ticketlake.sources import ingest as I
+
+    for _ in range(2):
+        report = I.ingest_years(spark, lambda table, year: spark.range(10), ("t",), (2020,), "S", str(tmp_path / "out"))
+        assert [r.row_count for r in report.collect()] == [10]
+
+
+def test_vector_table_has_one_current_version(spark, tmp_path):
+    from ticketlake.sources import sinks as K
+
+    for n in (5, 4):
+        K.write_vector_table(spark.range(n).withColumnRenamed("id", "chunk_id"), str(tmp_path / "v"), expected=n)
+    assert K.read_vector_table(spark, str(tmp_path / "v")).count() == 4
+
+
+def test_closed_stream_has_every_window(spark):
+    from ticketlake.streaming import incremental as INC
+
+    events = spark.sql("select timestamp'2024-01-01' + make_interval(0, 0, 0, id) as ts, 'a' as event_type from range(5)")
+    rows = INC.closed(events, "ts", "event_type").collect()
+    assert len(rows) == 6 and max(rows, key=lambda r: r.ts).event_type == INC.CLOSING
