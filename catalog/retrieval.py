@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import cte, query, rnd
 from catalog.texts import sql_raw_words, texts
+from ticketlake import rules as R
 from ticketlake.functions import cleanse as X, text as T, vectors as V
 from ticketlake.operators import context as CX, dense as D, evaluation as E, fusion as FU, sparse as SP
 from ticketlake.operators.ordering import rank_in_buckets, rank_within, top_k
@@ -52,6 +53,29 @@ cte("idx_judged", "SELECT query_id, MIN(h.rank) AS first_rank FROM idx_truth LEF
 cte("idx_bm25s", "SELECT CAST(query_id AS VARCHAR) AS query_id, doc, rank, score FROM idx_bm25")
 
 
+_SIDF = "ln(1 + ((SELECT n_docs FROM idx_stats) - df + 0.5) / (df + 0.5))"
+cte("idx_svec", f"SELECT doc, term, tf / total::DOUBLE * {_SIDF} AS value FROM (SELECT doc, term, tf, SUM(tf) OVER (PARTITION BY doc) AS total FROM idx_posts WHERE length(term) >= 2) JOIN idx_terms USING (term)")
+cte("idx_squery", f"""
+SELECT query_id, term, tf / total::DOUBLE * {_SIDF} AS value FROM (SELECT query_id, len(ts) AS total, term, COUNT(*) AS tf FROM (SELECT *, unnest(ts) AS term FROM (
+  SELECT CAST(item_id AS VARCHAR) AS query_id, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'), lambda x: length(x) >= 2) AS ts FROM benchmark)) GROUP BY query_id, len(ts), term) JOIN idx_terms USING (term)
+""")
+cte("idx_sparse", """
+SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, doc) AS rank FROM (
+  SELECT query_id, doc, round(SUM(d.value * q.value), 8) AS score FROM idx_svec d JOIN idx_squery q USING (term) GROUP BY query_id, doc)) WHERE rank <= 60
+""")
+_DEEP = """
+SELECT * FROM (SELECT query_id, doc, score, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, doc) AS rank FROM (
+  SELECT CAST(b.item_id AS VARCHAR) AS query_id, c.chunk_id AS doc, COALESCE(s.score, 0.0) AS score FROM benchmark b CROSS JOIN (SELECT * FROM corpus_chunks {where}) c
+  LEFT JOIN (SELECT q.id AS qid, d.id AS did, round(SUM(q.x * d.x), 6) AS score FROM idx_qvec q JOIN idx_dvec d USING (dim) GROUP BY ALL) s ON s.qid = b.item_id AND s.did = c.chunk_id))
+WHERE rank <= 60
+"""
+_FUSED = "SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY rrf_score DESC, doc) AS rank FROM (SELECT query_id, doc, round(SUM(1.0::DOUBLE / (60 + rank)), 8) AS rrf_score FROM (SELECT query_id, doc, rank FROM idx_sparse UNION ALL SELECT query_id, doc, rank FROM {dense}) GROUP BY query_id, doc)) WHERE rank <= 60"
+cte("idx_deep", _DEEP.format(where=""))
+cte("idx_deep_some", _DEEP.format(where="WHERE priority_encoded = 2"))
+cte("idx_v2", _FUSED.format(dense="idx_deep"))
+cte("idx_v2_some", _FUSED.format(dense="idx_deep_some"))
+
+
 class Search:
     """Shared inputs of the retrieval queries."""
 
@@ -255,6 +279,32 @@ def _(t):
     return lists.groupBy("query_id", "doc").agg(*[F.max(F.when(F.col("retriever") == r, F.col("rank"))).alias(f"{r}_rank") for r in ("bm25", "dense")])
 
 
+@query("bm3_sparse_queries", f"SELECT query_id, term, {rnd('value', 6)} AS value FROM idx_squery WHERE value > 0")
+def _(t):
+    s = Search(t)
+    return SP.sparse_queries(s.index(), s.queries).select("query_id", "term", X.rounded("value", 6).alias("value"))
+
+
+@query("bm3_sparse_topk", f"SELECT query_id, doc, {rnd('score', 5)} AS score, CAST(rank AS INT) AS rank FROM idx_sparse")
+def _(t):
+    s = Search(t)
+    return SP.sparse_search(s.index(), s.queries, R.BRANCH_K).select("query_id", "doc", X.rounded("score", 5).alias("score"), "rank")
+
+
+@query("rf2_hybrid_v2", f"SELECT query_id, doc, {rnd('rrf_score', 7)} AS rrf_score, CAST(rank AS INT) AS rank FROM idx_v2")
+def _(t):
+    s = Search(t)
+    return FU.hybrid_search_v2(s.index(), s.vectors(), s.queries, s.query_vectors()).select("query_id", "doc", X.rounded("rrf_score", 7).alias("rrf_score"), "rank")
+
+
+@query("fl6_hybrid_v2_filter", f"SELECT query_id, doc, {rnd('rrf_score', 7)} AS rrf_score, CAST(rank AS INT) AS rank FROM idx_v2_some")
+def _(t):
+    """The metadata filter holds for the dense branch only."""
+    s = Search(t)
+    allowed = s.chunks.filter(FU.metadata_filter({"priority_encoded": 2})).select(F.col("chunk_id").alias("doc"))
+    return FU.hybrid_search_v2(s.index(), s.vectors(), s.queries, s.query_vectors(), allowed=allowed).select("query_id", "doc", X.rounded("rrf_score", 7).alias("rrf_score"), "rank")
+
+
 @query("rf2_hybrid_search", "SELECT query_id, doc, round(rrf_score, 7) AS rrf_score, CAST(rank AS INT) AS rank FROM idx_hybrid")
 def _(t):
     return Search(t).hybrid().withColumn("rrf_score", F.round("rrf_score", 7))

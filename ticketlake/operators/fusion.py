@@ -40,6 +40,16 @@ def hybrid_search(index: sparse.SparseIndex, vectors: DataFrame, queries: DataFr
     return top_k(fused, "query_id", [F.col("rrf_score").desc(), F.col("doc")], k)
 
 
+def hybrid_search_v2(index: sparse.SparseIndex, vectors: DataFrame, queries: DataFrame, query_vectors: DataFrame, k: int = R.HYBRID_K, branch_k: int = R.BRANCH_K, allowed: DataFrame | None = None) -> DataFrame:
+    """Sparse dot products and dense scores fused by reciprocal rank.
+
+    ``allowed`` (``doc``) restricts the dense branch only, as the service's metadata filter does.
+    """
+    docs = vectors if allowed is None else vectors.join(allowed.select("doc").distinct(), "doc", "left_semi")
+    fused = rrf(rank_union(sparse=sparse.sparse_search(index, queries, branch_k), dense=dense.dense_search(docs, query_vectors, branch_k)))
+    return top_k(fused, "query_id", [F.col("rrf_score").desc(), F.col("doc")], k)
+
+
 def metadata_filter(conditions: dict) -> Column:
     """Exact match on every given column."""
     return reduce(lambda a, b: a & b, [X.is_true(F.col(c) == F.lit(v)) for c, v in conditions.items()], F.lit(True))

@@ -130,6 +130,27 @@ def sparse_vectors(index: SparseIndex, length_floor: int = 2) -> DataFrame:
     return kept.join(totals, "doc").join(idf, "term").select("doc", "term", value.alias("value")).filter(F.col("value") > 0)
 
 
+def sparse_queries(index: SparseIndex, queries: DataFrame, query: str = "query_id", text: str = "text", length_floor: int = 2) -> DataFrame:
+    """(query_id, term, value) of the query side: share of the query's tokens times the same smoothed idf.
+
+    Tokens that the index does not know count in the share and have no value.
+    """
+    n = index.docs.agg(F.count("*").cast("double")).scalar()
+    tokens = F.filter(T.bm25_tokens(text), lambda x: F.char_length(x) >= length_floor)
+    asked = queries.select(F.col(query).alias("query_id"), tokens.alias("_t")).select("query_id", F.size("_t").alias("total"), F.explode("_t").alias("term"))
+    counts = asked.groupBy("query_id", "term", "total").agg(F.count("*").alias("tf"))
+    idf = index.terms.select("term", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("sidf"))
+    value = F.col("tf") / F.col("total") * F.col("sidf")
+    return counts.join(idf, "term").select("query_id", "term", value.alias("value")).filter(F.col("value") > 0)
+
+
+def sparse_search(index: SparseIndex, queries: DataFrame, k: int, query: str = "query_id", text: str = "text") -> DataFrame:
+    """The k documents with the largest dot product per query; documents that share no term are not returned."""
+    asked = sparse_queries(index, queries, query, text).withColumnRenamed("value", "asked")
+    scored = sparse_vectors(index).join(asked, "term").groupBy("doc", "query_id").agg(F.round(F.sum(F.col("value") * F.col("asked")), 8).alias("score"))
+    return top_k(scored, "query_id", [F.col("score").desc(), F.col("doc")], k)
+
+
 def hashed_vector(df: DataFrame, doc: str, tokens: str, dims: int = 1 << 20) -> DataFrame:
     """(doc, dim, count): one stable hash for index and query side."""
     return (

@@ -270,6 +270,8 @@ MIN_CHARS, MIN_WORDS, MAX_REPETITION = 20, 5, 0.60
 CHUNK_SIZE, CHUNK_OVERLAP, MIN_CHUNK_WORDS = 256, 50, 5
 BM25_K1, BM25_B, BM25_EPSILON = 1.5, 0.75, 0.25
 RRF_K = 60
+# depth of each branch, of the fused list and of the reranked list in the second search service
+BRANCH_K, HYBRID_K, RERANK_K = 60, 60, 10
 CONTEXT_TOKENS = 4096
 QUERY_EXPANSION = [
     ("not working", "not working failure error issue crashed down"),
