@@ -185,13 +185,21 @@ def _(t):
     return t.spark.read.option("header", True).csv(path)
 
 
-@query("snk8_feature_dictionary")
+_DICTIONARY = [
+    k for k in ml_dataset.FEATURE_DICTIONARY
+    if k in C.CLEAN_COLUMNS or k in ("document_id", "avg_word_length", "unique_word_ratio", "uppercase_ratio", "digit_ratio", "special_char_ratio", "text_complexity_score", "retrieval_quality_score")
+]
+
+
+@query("snk8_feature_dictionary", " UNION ALL ".join(
+    "SELECT {} AS feature, {} AS type, {} AS origin, {} AS purpose, {} AS leakage_risk, ".format(*[f"'{x}'" for x in (k, *ml_dataset.FEATURE_DICTIONARY[k])])
+    + f"COUNT({k}) AS filled, COUNT(*) - COUNT({k}) AS missing FROM corpus_features" for k in _DICTIONARY
+))
 def _(t):
     path = fresh(t, "dictionary")
     feats = C.with_features(C.clean(texts(t)), encode=False)
     K.export_json(ml_dataset.feature_dictionary(feats), path)
-    present = feats.agg(F.count("*")).scalar()
-    return t.spark.read.json(path).withColumn("row_count", present)
+    return t.spark.read.schema("feature string, type string, origin string, purpose string, leakage_risk string, filled bigint, missing bigint").json(path)
 
 
 @query("snk9_model_persistence")

@@ -7,31 +7,41 @@ from ticketlake import rules as R
 from ticketlake.functions import scores as S
 from ticketlake.operators.relational import merge_with_coverage
 
+# fixed values: feature name -> (type, origin, purpose, leakage risk)
 FEATURE_DICTIONARY = {
-    # fixed values: feature name -> (type, origin, leakage)
-    "document_id": ("string", "synthetic", "none"),
-    "ticket_pk": ("string", "real", "none"),
-    "priority_encoded": ("float", "real", "target"),
-    "urgency_encoded": ("float", "real", "target"),
-    "impact_encoded": ("float", "real", "target"),
-    "was_sla_breached": ("int", "real", "target"),
-    "priority_score": ("int", "real", "none"),
-    "ticket_age_hours": ("float", "derived", "none"),
-    "resolution_time_hours": ("float", "real", "none"),
-    "followup_count": ("int", "real", "none"),
-    "text_word_count": ("int", "derived", "none"),
-    "text_char_count": ("int", "derived", "none"),
-    "avg_word_length": ("float", "derived", "none"),
-    "unique_word_ratio": ("float", "derived", "none"),
-    "digit_ratio": ("float", "derived", "none"),
-    "special_char_ratio": ("float", "derived", "none"),
-    "repetition_ratio": ("float", "derived", "none"),
-    "text_complexity_score": ("float", "heuristic", "none"),
-    "retrieval_quality_score": ("float", "heuristic", "none"),
-    "escalation_risk_score": ("float", "heuristic", "none"),
-    "is_predicted_high_risk": ("int", "heuristic", "none"),
-    "text_content_density": ("float", "derived", "none"),
-    "text_formatting_ratio": ("float", "derived", "none"),
+    "document_id": ("string", "synthetic", "Unique doc identifier for retrieval", "none"),
+    "ticket_pk": ("string", "real", "Primary key from gold_ticket_similarity", "none"),
+    "retrieval_text_clean": ("string", "real", "Cleaned text corpus for retrieval/embedding", "none"),
+    "source_system_encoded": ("int", "derived", "Label-encoded source system", "none"),
+    "similarity_method_encoded": ("int", "derived", "Label-encoded similarity method", "none"),
+    "priority_encoded": ("float", "real", "Priority level 2-5 from source", "target"),
+    "urgency_encoded": ("float", "real", "Urgency level 2-5 from source", "target"),
+    "impact_encoded": ("float", "real", "Impact level 3-5 from source", "target"),
+    "was_sla_breached": ("int", "real", "SLA breach label from gold SLA dataset", "target"),
+    "priority_score": ("int", "real", "Priority score from gold SLA features", "none (parallel to priority_encoded)"),
+    "ticket_age_hours": ("float", "derived", "Ticket age in hours from gold SLA", "none"),
+    "resolution_time_hours": ("float", "real", "Resolution time from gold SLA", "none"),
+    "followup_count": ("int", "real", "Number of followups from gold SLA", "none"),
+    "avg_followup_content_length": ("float", "real", "Average followup length from gold SLA", "none"),
+    "issue_complexity_score": ("float", "heuristic", "Issue complexity heuristic from gold SLA", "low"),
+    "customer_tenure_months": ("float", "real", "Customer tenure from gold SLA", "none"),
+    "previous_tickets": ("float", "real", "Previous ticket count from gold SLA", "none"),
+    "text_word_count": ("int", "derived", "Word count of retrieval text", "none"),
+    "text_char_count": ("int", "derived", "Character count of retrieval text", "none"),
+    "avg_word_length": ("float", "derived", "Mean word length", "none"),
+    "unique_word_ratio": ("float", "derived", "Unique/total word ratio", "none"),
+    "uppercase_ratio": ("float", "derived", "Uppercase character ratio", "none"),
+    "digit_ratio": ("float", "derived", "Digit character ratio", "none"),
+    "special_char_ratio": ("float", "derived", "Special character ratio", "none"),
+    "repetition_ratio": ("float", "derived", "Text repetition ratio", "none"),
+    "text_complexity_score": ("float", "heuristic", "0.4*avg_wl + 0.4*uniq_ratio + 0.2*wc/100", "none"),
+    "retrieval_quality_score": ("float", "heuristic", "Mean of corpus_quality, similarity_confidence, unique_word_ratio", "none"),
+    "corpus_quality_score": ("float", "real", "Corpus quality score from gold source", "none"),
+    "similarity_confidence": ("float", "real", "Similarity confidence from gold source", "none"),
+    "escalation_risk_score": ("float", "heuristic", "Weighted composite of text-derived quality scores", "none"),
+    "is_predicted_high_risk": ("int", "heuristic", "Binary threshold on escalation_risk_score >= 0.6", "none"),
+    "text_content_density": ("float", "derived", "Information density: word_count / char_count", "none"),
+    "text_formatting_ratio": ("float", "derived", "Aggregate non-standard char ratio", "none"),
 }
 
 
@@ -56,6 +66,9 @@ def build(features: DataFrame, sla: DataFrame, left_key: str = "ticket_pk", righ
 
 
 def feature_dictionary(df: DataFrame) -> DataFrame:
-    """Dictionary rows of the features present in ``df``."""
-    rows = [(k, *v) for k, v in FEATURE_DICTIONARY.items() if k in df.columns]
-    return df.sparkSession.createDataFrame(rows, "feature string, type string, origin string, leakage string")
+    """Dictionary rows of the features present in ``df``, with the rows that have and that lack a value."""
+    present = [k for k in FEATURE_DICTIONARY if k in df.columns]
+    counts = df.agg(F.count("*").alias("_n"), *[F.count(k).alias(k) for k in present])
+    filled = counts.select(F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), F.col(k).alias("filled"), (F.col("_n") - F.col(k)).alias("missing")) for k in present])).alias("x")).select("x.*")
+    rows = [(k, *FEATURE_DICTIONARY[k]) for k in present]
+    return df.sparkSession.createDataFrame(rows, "feature string, type string, origin string, purpose string, leakage_risk string").join(filled, "feature")
