@@ -5,8 +5,8 @@ evaluations serve a signature of the same length; the share of equal values is a
 Bands of the signature propose pairs and the full shingle sets decide.
 
 A bucket is never expanded into its pairs. Equal sets are one node. In a bucket every node meets the smallest one; only
-where nodes of a bucket are still in different components, those are compared block by block, and only pairs whose
-signatures agree well enough leave a block.
+where nodes of a bucket are still in different components, their sets are compared block by block, and only links that
+join components leave a block.
 """
 from __future__ import annotations
 
@@ -22,10 +22,8 @@ from ticketlake.llm.common import UNSPACED, by_key, components, id_and_text, shi
 SHINGLE = 5
 #: 60 permutations give 120 values: 20 bands of 6 find a pair of similarity 0.85 with probability 0.9999.
 BANDS, ROWS = 20, 6
-#: A pair in a block leaves it if this share of its signature agrees (0.85 less seven standard errors).
-LIKELY = 0.6
 #: Nodes of a bucket in one block.
-BLOCK = 512
+BLOCK = 256
 
 _RNG = np.random.Generator(np.random.PCG64(9))
 _TURN = _RNG.integers(1, 2**63, BANDS * ROWS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -86,20 +84,10 @@ def _shingle_sets(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             values, first = _sets(batch)
-            some = np.flatnonzero(np.diff(first))
-            if len(some) == 0:
-                continue
-            starts = np.concatenate([first[some], [len(values)]])
-            signature = _signatures(values, starts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(pa.array(some)), pa.array([s.tobytes() for s in signature], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(values.view(np.int64))),
-                ],
-                ["doc_id", "signature", "shingles"],
-            )
+            sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], ["doc_id", "shingles"])
 
-    return docs.mapInArrow(run, "doc_id bigint, signature binary, shingles array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, shingles array<bigint>").filter(F.size("shingles") > 0)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -121,37 +109,55 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * small >= percent * large).select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
-def _left_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Likely pairs of different components within a bucket. members: bucket, node, part, spread (nodes of the bucket).
-
-    Each block of a bucket meets each block once, in a group of its own of at most 2 * BLOCK nodes.
+def _shared_counts(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Sizes of the intersections of all pairs of n sets, given as shingles and the set of each."""
+    _, code, count = np.unique(values, return_inverse=True, return_counts=True)
+    several = count > 1
+    column = (np.cumsum(several) - 1)[code]
+    keep = several[code]
+    owner, column = owner[keep], column[keep]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((n, n), np.float32)
+    step = 8192
+    for low in range(0, int(several.sum()), step):
+        a, b = np.searchsorted(column, [low, low + step])
+        part = np.zeros((n, step), np.float32)
+        part[owner[a:b], column[a:b] - low] = 1
+        out += part @ part.T
+    return out.astype(np.int64)
+
+
+def _left_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join different components within a bucket. members: bucket, node, part, spread (its nodes).
+
+    Each block of a bucket meets each block once, in a group of its own of at most about 2 * BLOCK nodes, and compares
+    their full sets. Only links that bring components together leave it, fewer than it has nodes.
     """
 
     def run(group: pa.Table) -> pa.Table:
-        nodes, part = np.asarray(group.column("node")), np.asarray(group.column("part"))
-        block = np.asarray(group.column("block"))
-        sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(len(nodes), -1)
-        order = np.lexsort((nodes, block))
-        nodes, part, block, sig = nodes[order], part[order], block[order], sig[order]
-        same_block = block[0] == block[-1]
-        out_a, out_b = [], []
-        for i in range(len(nodes)):
-            if not same_block and block[i] != block[0]:
-                break
-            j = np.arange(i + 1, len(nodes))
-            j = j[part[j] != part[i]]
-            if not same_block:
-                j = j[block[j] != block[i]]
-            j = j[(sig[j] == sig[i]).mean(axis=1) >= LIKELY] if len(j) else j
-            out_a.append(np.minimum(nodes[i], nodes[j]))
-            out_b.append(np.maximum(nodes[i], nodes[j]))
-        return pa.table({"a": np.concatenate([np.zeros(0, np.int64), *out_a]), "b": np.concatenate([np.zeros(0, np.int64), *out_b])})
+        group = group.sort_by("node")
+        nodes, part, block = (np.asarray(group.column(c)) for c in ("node", "part", "block"))
+        sets_ = [x.values.to_numpy() for x in group.column("shingles")]
+        size = np.array([len(x) for x in sets_])
+        both = _shared_counts(np.concatenate(sets_), np.repeat(np.arange(len(sets_)), size), len(sets_))
+        linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+        linked &= part[:, None] != part[None, :]
+        if block.min() != block.max():
+            linked &= block[:, None] != block[None, :]
+        name, a, b = part.copy(), [], []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(linked, 1)))):
+            if name[i] != name[j]:
+                name[name == name[j]] = name[i]
+                a.append(nodes[i])
+                b.append(nodes[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     blocks = F.ceil(F.col("spread") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    spread = members.join(sets.select(F.col("doc_id").alias("node"), "signature"), "node").withColumn("block", own)
+    spread = members.join(by_key(sets.select(F.col("doc_id").alias("node"), "shingles")), "node").withColumn("block", own)
     meeting = spread.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    meeting = meeting.select("bucket", "node", "part", "signature", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    meeting = meeting.select("bucket", "node", "part", "shingles", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     return meeting.groupBy("bucket", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
@@ -189,8 +195,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     # what the smallest node of a bucket did not bring together: nodes besides it, in more than one component
     open_ = shared.filter("spread > 2 and node <> centre").join(parts, "node", "left").select("bucket", "node", "spread", F.coalesce("component", "node").alias("part"))
     several = open_.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("bucket")
-    rest = _left_pairs(open_.join(several, "bucket"), sets)
-    links = links.unionAll(_confirmed(rest, sets, percent)).unionAll(equal)
+    links = links.unionAll(_left_links(open_.join(several, "bucket"), sets, percent)).unionAll(equal)
     final = components(links)
     return base.join(by_key(final.withColumnRenamed("node", "doc_id")), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
