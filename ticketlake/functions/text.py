@@ -43,15 +43,6 @@ def clean_text(col, ascii_only: bool = True) -> Column:
     return F.trim(F.regexp_replace(out, SYMBOLS if ascii_only else SYMBOLS_UNICODE, " "))
 
 
-def clean_text_light(col) -> Column:
-    """Variant that keeps symbols: lower, tags, links, mail addresses, repeated marks, blanks."""
-    out = F.lower(F.coalesce(X._c(col), F.lit("")))
-    for pattern in (HTML_TAG, URL, EMAIL):
-        out = F.regexp_replace(out, pattern, " ")
-    out = F.regexp_replace(out, r"([.!?])\1+", "$1")
-    return F.trim(F.regexp_replace(out, SPACE, " "))
-
-
 def remove_boilerplate(col, phrases=R.NOISE_PHRASES) -> Column:
     """Remove the phrases in their order, then collapse blanks."""
     out = X._c(col)

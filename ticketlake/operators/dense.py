@@ -137,13 +137,6 @@ def embed(df: DataFrame, text: str, encoder: Callable[[list[str]], np.ndarray] =
     return df.mapInPandas(run, f"{fields}, `{output}` array<float>, encoder_id string")
 
 
-def same_encoder(vectors: DataFrame, queries: DataFrame) -> None:
-    """Refuse to compare vectors of different encoders."""
-    ids = {r[0] for d in (vectors, queries) for r in d.select("encoder_id").distinct().limit(2).collect()}
-    if len(ids) > 1:
-        raise ValueError(f"vectors come from different encoders: {sorted(ids)}")
-
-
 def nearest_lsh(vectors: DataFrame, queries: DataFrame, k: int, key="doc", vector="embedding", query="query_id", tables: int = 8, width: float = 0.5, seed: int = 42) -> DataFrame:
     """Approximate variant: random-projection buckets on unit vectors, then exact scores of the bucket mates.
 

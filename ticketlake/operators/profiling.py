@@ -103,7 +103,3 @@ def correlations(df: DataFrame, columns) -> DataFrame:
 def populated(df: DataFrame, a: str, b: str) -> DataFrame:
     left, right = X.has_text(F.col(a).cast("string")), X.has_text(F.col(b).cast("string"))
     return df.agg(F.count_if(left & right).alias("both"), F.count_if(left | right).alias("either"), F.count("*").alias("row_count"))
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

@@ -286,14 +286,18 @@ def user_activity(users: DataFrame, followups: DataFrame, logs: DataFrame, hardw
             F.lit("hostname: "), F.coalesce("hostname", F.lit("unknown")), F.lit(" | os: "), F.coalesce("os_family", F.lit("unknown"))
         ).alias("details"),
     )
-    enriched = union_aligned(ACTIVITY, a, b, c).join(accounts.drop("user_name"), "user_id")
+    # one row per activity before the accounts are joined; ties go to the smallest user, entity and details
+    latest = latest_per_key(
+        union_aligned(ACTIVITY, a, b, c), "activity_pk", [F.col("activity_date").desc_nulls_last(), F.col("user_id"), F.col("entity_id"), F.col("details")]
+    )
+    enriched = latest.join(accounts.drop("user_name"), "user_id")
     flagged = enriched.withColumns(
         {
             "is_suspicious_activity": S.suspicious_activity("is_suspicious_user", "user_type", "contains_url", "has_meaningful_content"),
             "activity_category": S.activity_category("activity_type"),
         }
     )
-    return latest_per_key(flagged, "activity_pk", [F.col("activity_date").desc_nulls_last()]).select(
+    return flagged.select(
         "activity_pk", "user_id", "username", "display_name", "user_type", "is_ldap_user", "is_suspicious_user",
         "activity_date", "activity_type", "activity_category", "entity_id", "entity_type", "visibility",
         "is_suspicious_activity", "details",

@@ -23,10 +23,6 @@ def jdbc_reader(spark: SparkSession, url_for_year: Callable[[int], str], propert
     return read
 
 
-def parquet_reader(spark: SparkSession, root: str) -> Reader:
-    return lambda table, year: spark.read.parquet(f"{root}/{year}/{table}")
-
-
 def with_lineage(df: DataFrame, year: int, system: str) -> DataFrame:
     return df.withColumns({"source_year": F.lit(year), "source_system": F.lit(system)})
 
