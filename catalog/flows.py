@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from catalog.registry import query, rnd
 from catalog.retrieval import Search
 from catalog.texts import texts
-from ticketlake.functions import cleanse as X
 from ticketlake.operators import learning as L, sparse as SP
 from ticketlake.plans import corpus as C, ml_dataset
 from ticketlake.plans.warehouse import Warehouse

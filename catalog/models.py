@@ -1,7 +1,7 @@
 """Domain models and their oracles."""
 from __future__ import annotations
 
-from catalog.registry import blank, classify, codes, cte, fold, has, is_in, leading_int, null_in, one, query, rnd, tier
+from catalog.registry import blank, classify, codes, cte, has, is_in, leading_int, null_in, one, query, rnd, tier
 from ticketlake import rules as R
 from ticketlake.plans.warehouse import Warehouse
 

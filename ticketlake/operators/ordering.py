@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ticketlake.operators.relational import _cols, latest_per_key
+from ticketlake.operators.relational import _cols
 
 
 def rank_within(df: DataFrame, group, order, name: str = "rank") -> DataFrame:
