@@ -256,7 +256,7 @@ def _(t):
 
 @query("tx14_document_ids", "SELECT doc_id, 'doc_' || (ROW_NUMBER() OVER (ORDER BY doc_id) - 1) AS document_id FROM documents")
 def _(t):
-    numbered = number_in_order(t.documents.select("doc_id"), "doc_id", F.floor(F.col("doc_id") / 10_000), "n", start=0)
+    numbered = number_in_order(t.documents.select("doc_id"), "doc_id", "n", start=0)
     return numbered.select("doc_id", F.concat(F.lit("doc_"), F.col("n").cast("string")).alias("document_id"))
 
 

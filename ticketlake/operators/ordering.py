@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ticketlake.operators.relational import _cols
+from ticketlake.session import cut_lineage
 
 
 def rank_within(df: DataFrame, group, order, name: str = "rank") -> DataFrame:
@@ -36,21 +37,20 @@ def head(df: DataFrame, order, n: int) -> DataFrame:
     return df.orderBy(*_cols(order)).limit(n)
 
 
-def number_in_order(df: DataFrame, key: str, bucket, name: str, start: int = 0) -> DataFrame:
-    """Consecutive numbers in ``key`` order.
+def number_in_order(df: DataFrame, key: str, name: str, start: int = 0) -> DataFrame:
+    """Consecutive numbers in ``key`` order; equal keys are numbered in an arbitrary order.
 
-    ``bucket`` is any expression that grows with the key (a quotient, a text prefix). Rows are
-    numbered inside their bucket and shifted by the sizes of the buckets before it, so only the
-    table of bucket sizes is ever in one task.
+    Rows are range-partitioned by sampled bounds and written once, numbered inside their partition and
+    shifted by the sizes of the partitions before it, so only one row per partition is ever in one task.
     """
-    tagged = df.withColumn("_b", bucket)
-    sizes = tagged.groupBy("_b").agg(F.count("*").alias("_n"))
+    placed = cut_lineage(df.repartitionByRange(F.col(key).asc_nulls_first()).withColumn("_b", F.spark_partition_id()))
+    sizes = placed.groupBy("_b").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select(F.col("_b").alias("_sb"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy("_b").orderBy(key)
+    inside = Window.partitionBy("_b").orderBy(F.col(key).asc_nulls_first())
     return (
-        tagged.withColumn("_rn", F.row_number().over(inside))
-        .join(shift, F.col("_b").eqNullSafe(F.col("_sb")))
+        placed.withColumn("_rn", F.row_number().over(inside))
+        .join(shift, F.col("_b") == F.col("_sb"))
         .select(*df.columns, (F.col("_rn") + F.col("_shift") + (start - 1)).cast("bigint").alias(name))
     )
 
@@ -58,7 +58,7 @@ def number_in_order(df: DataFrame, key: str, bucket, name: str, start: int = 0)
 def label_classes(df: DataFrame, column: str) -> DataFrame:
     """Sorted classes with codes 0..n-1; NULL is a class of its own, written as ``None``."""
     classes = df.select(F.coalesce(F.col(column).cast("string"), F.lit("None")).alias("label")).distinct()
-    return number_in_order(classes, "label", F.substring("label", 1, 3), "code")
+    return number_in_order(classes, "label", "code")
 
 
 def label_encode(df: DataFrame, column: str, output: str | None = None) -> DataFrame:

@@ -25,7 +25,7 @@ BROADCAST_QUERY_TERMS = 500_000
 class SparseIndex:
     postings: DataFrame  # doc, term, tf, dl
     terms: DataFrame  # term, df, idf
-    docs: DataFrame  # doc
+    docs: DataFrame  # doc, and pos (its place in id order) once saved
     stats: DataFrame  # one row: n_docs, avgdl
 
 
@@ -80,7 +80,7 @@ def fill_below_zero(scored: DataFrame, queries: DataFrame, docs: DataFrame, quer
     Then k documents without a hit can be needed, and they are among the first k + m ids of a query
     with m hits. Documents are numbered in id order and joined by position.
     """
-    numbered = number_in_order(docs, "doc", F.substring("doc", 1, 8), "pos", start=1)
+    numbered = docs if "pos" in docs.columns else number_in_order(docs, "doc", "pos", start=1)
     hits = scored.groupBy("query_id").agg(F.count("*").alias("m"))
     asked = queries.select(F.col(query).alias("query_id")).join(hits, "query_id", "left")
     wanted = asked.select("query_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k) + F.coalesce("m", F.lit(0)))).alias("pos"))
@@ -108,8 +108,9 @@ def save_index(index: SparseIndex, folder: str, bucket_rows: int = 1_000_000, le
     """
     spark = index.postings.sparkSession
     name = "idx_" + uuid.uuid4().hex
-    for part in ("terms", "docs", "stats"):
+    for part in ("terms", "stats"):
         getattr(index, part).write.parquet(f"{folder}/{part}")
+    number_in_order(index.docs, "doc", "pos", start=1).write.parquet(f"{folder}/docs")
     read = {part: spark.read.parquet(f"{folder}/{part}") for part in ("terms", "docs", "stats")}
     postings = read["terms"].agg(F.sum("df")).first()[0] or 0
     buckets = max(least, -(-postings // bucket_rows))
