@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketlake.llm.common import id_and_text, scramble, slices, text_bytes, written
+from ticketlake.llm.common import by_key, id_and_text, scramble, slices, text_bytes, written
 
 LENGTH = 100
 LEADER = 20
@@ -95,8 +95,8 @@ def _pieces(batch: pa.RecordBatch, length: int):
             yield part, np.array([0, len(part)]), np.array([r]), np.array([s - a])
 
 
-def _listed(docs: DataFrame, length: int, later: bool) -> DataFrame:
-    """Segments: the first of its kind in each slice, or (later) all others, which are repeats already.
+def _listed(docs: DataFrame, length: int) -> DataFrame:
+    """All segments. What a slice has already seen is a repeat and gets a negative number as leader, each its own.
 
     `at` is the version of a doc_id (for ids that occur with several texts) and the start in the text.
     """
@@ -108,17 +108,16 @@ def _listed(docs: DataFrame, length: int, later: bool) -> DataFrame:
                 lead, digest, row, start, count = segments(data, rows, length)
                 doc, at = ids[number[row]], (version[number[row]] << 32) + start + moved[row]
                 order = np.lexsort((at, doc, digest, lead))
-                lead, digest, doc, at, count = (x[order] for x in (lead, digest, doc, at, count))
-                again = np.zeros(len(lead), bool)
+                lead, digest, doc, at, count = (x[order] for x in (lead.view(np.int64), digest.view(np.int64), doc, at, count))
+                again, twice = np.zeros(len(lead), bool), np.zeros(len(lead), bool)
                 again[1:] = (lead[1:] == lead[:-1]) & (digest[1:] == digest[:-1])
-                if later:
-                    yield pa.RecordBatch.from_arrays([pa.array(x[again]) for x in (doc, at, count)], ["doc_id", "at", "windows"])
-                else:
-                    values = (lead.view(np.int64), digest.view(np.int64), doc, at, count)
-                    yield pa.RecordBatch.from_arrays([pa.array(x[~again]) for x in values], ["leader", "digest", "doc_id", "at", "windows"])
+                twice[1:] = again[1:] & (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])  # a repeated row is the same document
+                again, lead, digest, doc, at, count = (x[~twice] for x in (again, lead, digest, doc, at, count))
+                spread = scramble(scramble(doc.view(np.uint64)) ^ at.view(np.uint64)) | np.uint64(1 << 63)
+                lead = np.where(again, spread.view(np.int64), lead)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (lead, digest, doc, at, count)], ["leader", "digest", "doc_id", "at", "windows"])
 
-    kind = "doc_id bigint, at bigint, windows bigint"
-    return docs.mapInArrow(run, kind if later else f"leader bigint, digest bigint, {kind}")
+    return docs.mapInArrow(run, "leader bigint, digest bigint, doc_id bigint, at bigint, windows bigint")
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -262,9 +261,11 @@ def repeated_windows(parts: list[np.ndarray], order: np.ndarray, length: int = L
 def _shard(length: int):
     def run(group: pa.Table) -> pa.Table:
         doc, at = np.asarray(group.column("doc_id")), np.asarray(group.column("at"))
-        order = np.empty(len(doc), np.int64)
-        order[np.lexsort((at, doc))] = np.arange(len(doc))
-        parts = [np.frombuffer(x, np.uint8) for x in group.column("piece").to_pylist()]
+        place = np.lexsort((at, doc))
+        # repeated rows bring their segments once more
+        place = place[np.concatenate([[True], (np.diff(doc[place]) != 0) | (np.diff(at[place]) != 0)])]
+        doc, at, order = doc[place], at[place], np.arange(len(place))
+        parts = [np.frombuffer(x, np.uint8) for x in group.column("piece").take(pa.array(place)).to_pylist()]
         part, start = repeated_windows(parts, order, length)
         where = np.lexsort((start, part))
         part, start = part[where], start[where]
@@ -319,12 +320,13 @@ def _cut_out(joined: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """`doc_id, at, windows`: runs of windows that also start earlier. docs: doc_id (not null), version, text."""
-    firsts = _listed(docs, length, later=False)
     by_leader = Window.partitionBy("leader")
     kinds = by_leader.orderBy("digest", "doc_id", "at")
-    known = firsts.withColumn("n", F.count("*").over(by_leader)).filter("n > 1")
+    known = _listed(docs, length).withColumn("n", F.count("*").over(by_leader)).filter("n > 1 or leader < 0")
     known = known.withColumn("low", F.min("digest").over(by_leader)).withColumn("high", F.max("digest").over(by_leader))
-    known = known.withColumn("before", F.lag("digest").over(kinds)).withColumn("again", F.coalesce(F.col("before") == F.col("digest"), F.lit(False)))
+    known = known.withColumn("before", F.lag("digest").over(kinds)).withColumn("place", F.lag(F.struct("digest", "doc_id", "at")).over(kinds))
+    known = known.filter(F.coalesce(F.col("place") != F.struct("digest", "doc_id", "at"), F.lit(True)))  # repeated rows again
+    known = known.withColumn("again", (F.col("leader") < 0) | F.coalesce(F.col("before") == F.col("digest"), F.lit(False)))
     known = known.withColumn("differing", F.sum(F.when(F.col("again"), 0).otherwise(1)).over(by_leader))
     known = written(known.filter("again or low <> high").select("leader", "doc_id", "at", "windows", "again", "differing"), "repeats")
     wanted = known.filter("not again")
@@ -332,12 +334,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shards = 1 + int(total // SHARD_BYTES)
     shard = F.when(F.col("differing") > SHARD_SEGMENTS, F.lit(-1)).otherwise(F.pmod(F.xxhash64("leader"), F.lit(shards))).cast("bigint")
     per_doc = wanted.withColumn("version", F.shiftright("at", 32)).groupBy("doc_id", "version").agg(F.collect_list(F.struct("leader", shard.alias("shard"), "at", "windows")).alias("wanted"))
-    pieces = written(_cut_out(docs.join(per_doc, ["doc_id", "version"]).select("doc_id", "text", "wanted"), length), "pieces")
+    pieces = written(_cut_out(docs.join(by_key(per_doc), ["doc_id", "version"]).select("doc_id", "text", "wanted"), length), "pieces")
     kind = "doc_id bigint, at bigint, windows bigint"
     sorted_ = pieces.filter("shard >= 0").groupBy("shard").applyInArrow(_shard(length), kind)
     hot = _window_digests(pieces.filter("shard < 0"), length)
-    inside = _listed(docs, length, later=True)
-    return known.filter("again").select("doc_id", "at", "windows").unionAll(inside).unionAll(sorted_).unionAll(hot)
+    return known.filter("again").select("doc_id", "at", "windows").unionAll(sorted_).unionAll(hot)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -375,5 +376,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             columns = [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = base.join(cuts, ["doc_id", "version"], "left").select("doc_id", "text", "cuts")
+    joined = base.join(by_key(cuts), ["doc_id", "version"], "left").select("doc_id", "text", "cuts")
     return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
