@@ -95,6 +95,35 @@ def test_vectors(spark, monkeypatch, k, leaf):
     assert (got[None].n_links, got[None].component_id, got[None].kept) == (0, None, True)
 
 
+@pytest.mark.parametrize("noise", [0.0, 0.02])
+def test_groups_of_more_copies_than_a_list_holds(spark, noise):
+    rng = np.random.default_rng(11)
+    base, side = np.linalg.qr(rng.normal(size=(16, 2)))[0].T
+    rows = []
+    for i in range(40):
+        v = base if i < 20 else 0.95 * base + math.sqrt(1 - 0.95**2) * side
+        v = v + noise * rng.normal(size=16) / 4
+        rows.append((i, [float(x) for x in v], 0))
+    rows += [(40 + i, [float(x) for x in rng.normal(size=16)], 0) for i in range(2000)]
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    links = (x @ x.T >= 0.93).sum(axis=1) - 1
+    assert (links[:40] == 39).all()
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vector_duplicates.linked_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert [got[i] for i in range(40)] == [(39, 0, i == 0) for i in range(40)]
+
+
+def test_audit_counts_no_link_between_components(spark):
+    rows = [(i, [1.0, 0.3 * (i >= 12) + 0.001 * i], 1) for i in range(24)]
+    ready, kind = vector_duplicates._prepared(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    inside = [(a, b) for a in range(24) for b in range(24) if a != b and (a < 12) == (b < 12)]
+    links = spark.createDataFrame(inside, "node long, other long")
+    there, found = vector_duplicates.audit(ready, kind, links)
+    assert (there, found) == (24 * 23, 24 * 11)
+    whole = spark.createDataFrame([(i, 12 * (i >= 12)) for i in range(24)], "node long, component long")
+    assert vector_duplicates.audit(ready, kind, links, whole=whole) == (24 * 23, 24 * 11)
+
+
 def test_audit_sees_missing_links(spark):
     ready, kind = vector_duplicates._prepared(spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [1.0, 0.1], 1), (3, [0.0, 1.0], 1)], "vec_id long, embedding array<double>, label int"))
     none = spark.createDataFrame([], "node long, other long")

@@ -3,8 +3,10 @@
 The neighbour graph starts from leaves of random hyperplane tables and is refined through neighbours of neighbours: every
 vector brings the vectors that list it or that it lists together, and they try each other. Rounds go on until they find
 no new links; an audit then compares a hashed sample of vectors with all rows, and more tables follow while links are
-missing. Lists that hold nothing but links are saturated: their vectors may have more links than the list has room for,
-so those are enlarged to their whole component, which is compared block by block and only counted.
+missing. Equal vectors are one node that counts as often as it occurs. Lists that hold nothing but links are saturated:
+their vectors may have more links than the list has room for. So vectors with saturated lists meet again in leaves of
+further tables, which return only links that join components, until a round joins none; and components with a saturated
+list are compared block by block and only counted.
 """
 from __future__ import annotations
 
@@ -16,13 +18,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketlake.llm.common import components, saved, written
+from ticketlake.llm.common import by_key, components, saved, written
 
 THRESHOLD = 0.93
 #: Neighbours in a list, tables at the start, vectors in a leaf or block, vectors in the audit and recall it asks for.
 NEIGHBOURS, TABLES, LEAF, AUDIT, RECALL = 8, 4, 512, 256, 0.98
 #: Rounds of further tables after failed audits.
 ROUNDS = 6
+#: Number of the first table in which saturated vectors meet again; those before are for lists.
+MEETINGS = 1 << 20
 _BITS = 48
 
 
@@ -72,8 +76,8 @@ def _best(node: np.ndarray, sims: np.ndarray, k: int, above: np.ndarray | None =
 _EDGE = "node bigint, other bigint, sim double"
 
 
-def _from_tables(vectors: DataFrame, kind, tables: range, k: int) -> DataFrame:
-    """Neighbours from leaves: vectors on the same side of as many random hyperplanes as the group's size asks for."""
+def _leaves(vectors: DataFrame, kind, tables: range):
+    """`vectors` grouped by leaves: those on the same side of as many random hyperplanes as the group's size asks for."""
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple[int, int], np.ndarray] = {}
@@ -90,17 +94,45 @@ def _from_tables(vectors: DataFrame, kind, tables: range, k: int) -> DataFrame:
                 table = pa.array(np.full(batch.num_rows, t, np.int32))
                 yield pa.RecordBatch.from_arrays([*batch.columns, table, pa.array(code)], [*batch.schema.names, "table", "code"])
 
+    coded = vectors.mapInArrow(codes, T.StructType([*vectors.schema.fields, T.StructField("table", T.IntegerType()), T.StructField("code", T.LongType())]))
+    sizes = vectors.groupBy("label", "dim").agg(F.greatest(F.ceil(F.log2(F.count("*") / (LEAF / 4))), F.lit(0)).cast("int").alias("depth"))
+    placed = coded.join(sizes, ["label", "dim"]).withColumn("leaf", F.expr(f"shiftright(code, {_BITS} - least(depth, {_BITS}))"))
+    crowd = placed.groupBy("label", "dim", "table", "leaf").agg(F.ceil(F.count("*") / LEAF).alias("parts"))
+    split = placed.join(crowd, ["label", "dim", "table", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node", "table"), "parts"))
+    return split.groupBy("label", "dim", "table", "leaf", "part")
+
+
+def _from_tables(vectors: DataFrame, kind, tables: range, k: int) -> DataFrame:
+    """The best neighbours of each vector in its leaves."""
+
     def leaf(group: pa.Table) -> pa.Table:
         group = group.sort_by("node")
         x = _unit(group.column("vec"), kind)
         return _best(np.asarray(group.column("node")), x @ x.T, k)
 
-    coded = vectors.mapInArrow(codes, "node bigint, label string, dim int, vec binary, table int, code bigint")
-    sizes = vectors.groupBy("label", "dim").agg(F.greatest(F.ceil(F.log2(F.count("*") / (LEAF / 4))), F.lit(0)).cast("int").alias("depth"))
-    placed = coded.join(sizes, ["label", "dim"]).withColumn("leaf", F.expr(f"shiftright(code, {_BITS} - least(depth, {_BITS}))"))
-    crowd = placed.groupBy("label", "dim", "table", "leaf").agg(F.ceil(F.count("*") / LEAF).alias("parts"))
-    split = placed.join(crowd, ["label", "dim", "table", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node", "table"), "parts"))
-    return split.groupBy("label", "dim", "table", "leaf", "part").applyInArrow(leaf, _EDGE)
+    return _leaves(vectors.select("node", "label", "dim", "vec"), kind, tables).applyInArrow(leaf, _EDGE)
+
+
+def _joining(vectors: DataFrame, kind, tables: range, threshold: float) -> DataFrame:
+    """Links between different components that meet in a leaf, fewer than it has vectors. vectors: with `component`."""
+
+    def leaf(group: pa.Table) -> pa.Table:
+        group = group.sort_by("node")
+        node, name = np.asarray(group.column("node")), np.asarray(group.column("component")).copy()
+        a, b = [], []
+        if len(np.unique(name)) > 1:
+            x = _unit(group.column("vec"), kind)
+            for i in range(len(node)):
+                # the components that this vector links to: one link for each is enough
+                near = np.flatnonzero((x @ x[i] >= threshold) & (name != name[i]))
+                _, first = np.unique(name[near], return_index=True)
+                for j in near[first].tolist():
+                    a.append(node[i])
+                    b.append(node[j])
+                    name[name == name[j]] = name[i]
+        return pa.table({"node": pa.array(a, pa.int64()), "other": pa.array(b, pa.int64())})
+
+    return _leaves(vectors.select("node", "label", "dim", "vec", "component"), kind, tables).applyInArrow(leaf, "node bigint, other bigint")
 
 
 def _lists(edges: DataFrame, k: int) -> DataFrame:
@@ -134,8 +166,12 @@ def _refined(graph: DataFrame, vectors: DataFrame, kind, k: int, turn: int) -> D
     return _lists(old.unionByName(met.distinct().withColumn("fresh", F.lit(True))), k)
 
 
-def audit(vectors: DataFrame, kind, links: DataFrame, threshold: float = THRESHOLD, sample: int = AUDIT) -> tuple[int, int]:
-    """Links that a hashed sample of vectors has, and how many of them (up to a list's length) `links` (node, other) has."""
+def audit(vectors: DataFrame, kind, links: DataFrame, threshold: float = THRESHOLD, sample: int = AUDIT, whole: DataFrame | None = None) -> tuple[int, int]:
+    """Links that a hashed sample of vectors has, and how many of them are found.
+
+    Found are those in `links` (node, other), and those whose ends are in one component of `whole` (node, component): its
+    components are compared in full.
+    """
     chosen = vectors.orderBy(F.xxhash64("node"), "node").limit(sample).collect()  # bounded by the sample
     if not chosen:
         return 0, 0
@@ -155,30 +191,33 @@ def audit(vectors: DataFrame, kind, links: DataFrame, threshold: float = THRESHO
                     yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(other[j])], ["node", "other"])
 
     true = vectors.mapInArrow(run, "node bigint, other bigint")
+    hit = F.col("hit").isNotNull()
     found = true.join(links.select("node", "other", F.lit(1).alias("hit")), ["node", "other"], "left")
-    # a link of a saturated list counts as found: the list is enlarged to all of its component
-    per = found.groupBy("node").agg(F.count("*").alias("n"), F.count("hit").alias("hits"))
-    row = per.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("hits") >= NEIGHBOURS, F.col("n")).otherwise(F.col("hits"))), F.lit(0))).first()
-    return row[0], row[1]
+    if whole is not None:
+        found = found.join(whole.select("node", F.col("component").alias("own")), "node", "left")
+        found = found.join(whole.select(F.col("node").alias("other"), F.col("component").alias("its")), "other", "left")
+        hit = hit | F.coalesce(F.col("own") == F.col("its"), F.lit(False))
+    return tuple(found.agg(F.count("*"), F.count(F.when(hit, 1))).first())
 
 
 def _counted(members: DataFrame, kind, threshold: float) -> DataFrame:
-    """`node, n_links` within components (node, component, vec), block by block; pairs are counted, not returned."""
+    """`node, n_links` within components (node, component, vec, copies), block by block; pairs are counted, not returned."""
 
     def run(group: pa.Table) -> pa.Table:
         node, block = np.asarray(group.column("node")), np.asarray(group.column("block"))
-        x = _unit(group.column("vec"), kind)
+        x, copies = _unit(group.column("vec"), kind), np.asarray(group.column("copies"))
         low = block == block.min()
         if low.all():
-            n = (x @ x.T >= threshold).sum(axis=1) - 1
-            return pa.table({"node": node, "n": n})
+            hits = x @ x.T >= threshold
+            np.fill_diagonal(hits, False)
+            return pa.table({"node": node, "n": hits @ copies})
         hits = x[low] @ x[~low].T >= threshold
-        return pa.table({"node": np.concatenate([node[low], node[~low]]), "n": np.concatenate([hits.sum(axis=1), hits.sum(axis=0)])})
+        return pa.table({"node": np.concatenate([node[low], node[~low]]), "n": np.concatenate([hits @ copies[~low], copies[low] @ hits])})
 
     blocks = members.groupBy("component").agg(F.ceil(F.count("*") / LEAF).cast("int").alias("blocks"))
     placed = members.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("component", "node", "vec", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+    placed = placed.select("component", "node", "vec", "copies", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
     return placed.groupBy("component", "i", "j").applyInArrow(run, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n_links"))
 
 
@@ -190,9 +229,11 @@ def linked_vectors(vectors: DataFrame, threshold: float = THRESHOLD, k: int = NE
     Rows that repeat a vec_id are one vector (the smallest label and components count). Rows without vec_id have no
     links, no component and are kept.
     """
-    ready, kind = _prepared(vectors)
-    ready = written(ready, "vectors")
-    graph, tables = None, 0
+    given, kind = _prepared(vectors)
+    given = written(given, "vectors")
+    same = ["label", "dim", "vec"]
+    ready = written(given.groupBy(*same).agg(F.min("node").alias("node"), F.count("*").alias("copies")).select("node", *same, "copies"), "different-vectors")
+    graph, tables, meetings = None, 0, MEETINGS
     for turn in range(ROUNDS):
         more = range(tables, tables + TABLES * (turn + 1))
         tables = more.stop
@@ -205,19 +246,30 @@ def linked_vectors(vectors: DataFrame, threshold: float = THRESHOLD, k: int = NE
             new, all_ = graph.filter(F.col("sim") >= threshold).agg(F.count(F.when(F.col("fresh"), 1)), F.count("*")).first()
             if new <= 0.001 * all_:
                 break
-        links = graph.filter(F.col("sim") >= threshold).select("node", "other")
+        listed = graph.filter(F.col("sim") >= threshold)
+        full = saved(listed.groupBy("node").agg(F.count("*").alias("n")).filter(F.col("n") >= k).select("node"))
+        crowded = saved(ready.join(full, "node", "left_semi"))
+        links = listed.select("node", "other") if turn == 0 else links.unionAll(listed.select("node", "other"))
         links = saved(links.unionAll(links.select("other", "node")).distinct())
-        there, found = audit(ready, kind, links, threshold)
+        while True:
+            parts = saved(components(links, "node", "other"))
+            joins = saved(_joining(crowded.join(parts, "node"), kind, range(meetings, meetings + TABLES * (turn + 1)), threshold))
+            meetings += TABLES * (turn + 1)
+            if joins.isEmpty():
+                break
+            links = saved(links.unionAll(joins).unionAll(joins.select("other", "node")).distinct())
+        whole = saved(parts.join(parts.join(full, "node", "left_semi").select("component").distinct(), "component", "left_semi").select("node", "component"))
+        there, found = audit(ready, kind, links, threshold, whole=whole)
         if found >= RECALL * there:
             break
-    parts = saved(components(links, "node", "other"))
-    listed = links.groupBy("node").agg(F.count("*").alias("n_links"))
-    full = graph.filter(F.col("sim") >= threshold).groupBy("node").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
-    saturated = parts.join(full.select("node"), "node", "left_semi").select("component").distinct()
-    enlarged = _counted(parts.join(saturated, "component").join(ready.select("node", "vec"), "node"), kind, threshold)
-    counts = listed.join(enlarged.withColumnRenamed("n_links", "all_links"), "node", "left").select("node", F.coalesce("all_links", "n_links").alias("n_links"))
+    copies = ready.select(F.col("node").alias("other"), "copies")
+    counted = links.join(copies, "other").groupBy("node").agg(F.sum("copies").alias("n_links"))
+    enlarged = _counted(whole.join(ready.select("node", "vec", "copies"), "node"), kind, threshold).withColumnRenamed("n_links", "all_links")
+    counts = ready.join(counted, "node", "left").join(enlarged, "node", "left").join(parts, "node", "left").select(
+        *same, (F.coalesce("all_links", "n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"),
+    )
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
-    found = parts.join(counts, "node").withColumnRenamed("node", "vec_id")
+    found = given.join(by_key(counts), same).select(F.col("node").alias("vec_id"), "n_links", "component")
     component = F.coalesce("component", "vec_id")
     return rows.join(found, "vec_id", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
