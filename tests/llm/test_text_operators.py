@@ -252,6 +252,35 @@ def test_loss_differences(spark):
         assert r.loss_difference == pytest.approx(sum(each) / max(len(each), 1), abs=1e-5)
 
 
+def test_word_loss_differences(spark):
+    rows = [(1, "the cat sat"), (2, "the  dog\nSAT the cat"), (3, None), (4, " "), (None, "the cat"), (5, "sat cat the"), (1, "the cat sat"), (6, "dog dog dog dog")]
+    target = spark.createDataFrame([(1,), (1,), (None,), (77,)], "doc_id long")
+    tokens = [[None, *(t or "").lower().split()] for _, t in rows]
+    vocabulary = len({w for t in tokens for w in t[1:]})
+
+    def model(texts):
+        two = Counter(g for t in texts for g in zip(t, t[1:]))
+        one = Counter(w for t in texts for w in t[1:])
+        before = Counter(v for t in texts for v in t[:-1])
+        return lambda v, w: (two[v, w] + 8 * (one[w] + 1) / (sum(one.values()) + vocabulary)) / (before[v] + 8)
+
+    good, all_ = model([t for (i, _), t in zip(rows, tokens) if i == 1]), model(tokens)
+    expected = []
+    for (i, _), t in zip(rows, tokens):
+        each = [math.log(all_(v, w) / good(v, w)) for v, w in zip(t, t[1:])]
+        expected.append((i, len(each), sum(each) / max(len(each), 1)))
+    got = pairs(lm_scoring.word_score(frame(spark, rows), target), "doc_id", "n_tokens", "loss_difference")
+    for (i, n, x), (j, m, y) in zip(got, sorted(expected, key=str), strict=True):
+        assert (i, n) == (j, m) and x == pytest.approx(y, abs=1e-9)
+
+
+def test_lm_query_counts_words(spark, folder):
+    from ticketlake.llm.queries import QUERIES
+
+    lengths = {r.doc_id: len(words(r.text, lambda c: c not in " \t\n\x0b\x0c\r")) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert {r.doc_id: r.n_tokens for r in QUERIES["op1_lm_scoring"](spark, folder).collect()} == lengths
+
+
 def test_toxicity_learns_words_and_stems(spark):
     rng = random.Random(6)
     plain = ["w%s" % "".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(300)]

@@ -1,11 +1,12 @@
 """LM scoring by cross-entropy difference of two matched n-gram models.
 
-Both models are trigram models over one vocabulary, the 256 byte values, with the same smoothing; one is trained on the
+Both models are n-gram models over one vocabulary with the same smoothing; one is trained on the
 target documents, the other on all documents. A token's loss difference is its loss under the target model less its loss
 under the background model, and a document's score is the mean over its tokens: the lower, the more it is like the target.
 
-Bytes as tokens bound the models: there are at most 2^24 trigrams however large the corpus, so exact counts of every
-document fit into a table that can go to every task, without a cut-off or a hash.
+`word_score` has bigram models over words, whose counts grow with the corpus: they stay tables, are joined by word and
+by bigram, and only sums for each text come back. `score` has trigram models over the 256 byte values; there are at most
+2^24 trigrams however large the corpus, so their counts can go to every task.
 """
 from __future__ import annotations
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.common import by_key, id_and_text, slices, text_bytes
+from ticketlake.llm.common import UNSPACED, by_key, id_and_text, slices, text_bytes, words, written
 
 #: What stands before the first byte of a text.
 BEFORE = 0x0A
@@ -107,3 +108,61 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(mean)], ["doc_id", "n_tokens", "loss_difference"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id bigint, n_tokens bigint, loss_difference double")
+
+
+def _bigrams(texts: DataFrame) -> DataFrame:
+    """`key, chosen, before, word, n`: how often each word follows each in each text; `before` is null at the start."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            word, first = words(*text_bytes(batch.column("text")), UNSPACED)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(first))
+            before = np.zeros(len(word), np.uint64)
+            before[1:] = word[:-1]
+            start = np.ones(len(word), bool)
+            start[1:] = row[1:] != row[:-1]
+            order = np.lexsort((word, before, start, row))
+            row, start, before, word = row[order], start[order], before[order], word[order]
+            new = np.ones(len(word), bool)
+            new[1:] = (row[1:] != row[:-1]) | start[1:] | start[:-1] | (before[1:] != before[:-1]) | (word[1:] != word[:-1])
+            at = np.flatnonzero(new)
+            n = np.diff(np.append(at, len(word)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key").take(pa.array(row[at])), batch.column("chosen").take(pa.array(row[at])), pa.array(before[at].view(np.int64), mask=start[at]), pa.array(word[at].view(np.int64)), pa.array(n, pa.int64())],
+                ["key", "chosen", "before", "word", "n"],
+            )
+
+    return texts.mapInArrow(run, "key bigint, chosen boolean, before bigint, word bigint, n bigint")
+
+
+def word_score(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """`doc_id, n_tokens, loss_difference` for every row of `docs`, under bigram models of words.
+
+    Words are runs without ASCII white space, A-Z folded. `target`, nulls, repeats and empty texts are as in `score`.
+    """
+    marked = target.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct().withColumn("chosen", F.lit(True))
+    rows = id_and_text(docs).withColumn("key", F.xxhash64("text"))
+    grams = _bigrams(rows.join(by_key(marked), "doc_id", "left").select("key", "text", F.coalesce("chosen", F.lit(False)).alias("chosen")))
+    pairs = written(grams.groupBy("before", "word").agg(F.sum(F.when(F.col("chosen"), F.col("n")).otherwise(0)).alias("t2"), F.sum("n").alias("b2")), "bigrams")
+    ones = written(pairs.groupBy("word").agg(F.sum("t2").alias("t1"), F.sum("b2").alias("b1")), "words")
+    size = ones.agg(F.count("*").alias("v"), F.sum("t1").alias("t"), F.sum("b1").alias("b")).first()
+    context = pairs.groupBy("before").agg(F.sum("t2").alias("t0"), F.sum("b2").alias("b0"))
+
+    def p(two: str, one: str, whole: str, total: int | None):
+        alone = (F.col(one) + 1) / ((total or 0) + size.v)
+        return (F.col(two) + BLEND * alone) / (F.col(whole) + BLEND)
+
+    same = pairs["before"].eqNullSafe(context["before"])
+    model = pairs.join(context, same).drop(context["before"]).join(by_key(ones), "word")
+    model = written(model.select("before", "word", (F.log(p("b2", "b1", "b0", size.b)) - F.log(p("t2", "t1", "t0", size.t))).alias("difference")), "differences")
+    scored = grams.select("key", F.col("before").alias("v"), F.col("word").alias("w"), "n").join(by_key(model), F.col("v").eqNullSafe(F.col("before")) & (F.col("w") == F.col("word")))
+    # a text that occurs several times has the same mean
+    means = scored.groupBy("key").agg((F.sum(F.col("n") * F.col("difference")) / F.sum("n")).alias("mean"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            n = np.diff(words(*text_bytes(batch.column("text")), UNSPACED)[1])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(n, pa.int64())], ["doc_id", "key", "n_tokens"])
+
+    counted = rows.mapInArrow(count, "doc_id bigint, key bigint, n_tokens bigint")
+    return counted.join(by_key(means), "key", "left").select("doc_id", "n_tokens", F.coalesce("mean", F.lit(0.0)).alias("loss_difference"))

@@ -186,10 +186,10 @@ def op6_toxicity(spark, folder):
 @query
 def op1_lm_scoring(spark, folder):
     """Loss difference of every document between a model of the good documents and one of all documents."""
-    from ticketlake.llm.lm_scoring import score
+    from ticketlake.llm.lm_scoring import word_score
 
     good = table(spark, folder, "labels").filter("quality = 1")
-    return score(table(spark, folder, "documents"), good).withColumn("loss_difference", F.round("loss_difference", 9))
+    return word_score(table(spark, folder, "documents"), good).withColumn("loss_difference", F.round("loss_difference", 9))
 
 
 @query
