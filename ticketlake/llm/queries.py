@@ -198,3 +198,35 @@ def op7_vector_duplicates(spark, folder):
     from ticketlake.llm.vector_duplicates import linked_vectors
 
     return linked_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op11_importance_resampling(spark, folder):
+    """Weight and score of every document against the benchmark, and its rank in the draw."""
+    from ticketlake.llm.importance_resampling import resample
+
+    drawn = resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: The CRC table follows from its rule; a word's CRC goes over its bytes, and only distinct words are hashed.
+ORACLES["op11_importance_resampling"] = r"""
+with steps as (select b, list_reduce(list_prepend(b::bigint, range(8)), lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end) as t from (select unnest(range(256)) as b)),
+tab as (select list(t order by b) as t from steps),
+dw as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+bw as (select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as x from benchmark),
+each as (select doc_id, unnest(w) as x from dw),
+vocabulary as (select x, hex(encode(x)) as h from (select x from each union select x from bw)),
+coded as (select x, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, len(h), 2), lambda i: ('0x' || h[i:i + 1])::bigint)),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::bigint) % 10000 as bucket from vocabulary, tab),
+source as (select bucket, count(*) as s from each join coded using (x) group by bucket),
+target as (select bucket, count(*) as t from bw join coded using (x) group by bucket),
+totals as (select (select count(*) from each)::double as sa, (select count(*) from bw)::double as ta),
+gain as (select bucket, floor(1000 * ln((coalesce(t, 0)::double + 1) * (sa + 10000) / ((s::double + 1) * (ta + 10000))))::bigint as g from source left join target using (bucket), totals),
+weights as (select doc_id, sum(g)::bigint as weight from each join coded using (x) join gain using (bucket) group by doc_id),
+scored as (select doc_id, len(w)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+  coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+  from dw left join weights using (doc_id)),
+placed as (select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from scored where n_features >= 20)
+select scored.*, case when place <= 10 * n // 100 then place end::bigint as rank from scored left join placed using (doc_id)
+"""
