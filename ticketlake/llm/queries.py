@@ -230,3 +230,70 @@ scored as (select doc_id, len(w)::bigint as n_features, coalesce(weight, 0)::big
 placed as (select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from scored where n_features >= 20)
 select scored.*, case when place <= 10 * n // 100 then place end::bigint as rank from scored left join placed using (doc_id)
 """
+
+
+@query
+def op12_license_scans(spark, folder):
+    """License phrases and notices in every document, as labels."""
+    from ticketlake.llm.license_scans import report, scan_licenses
+
+    return report(scan_licenses(table(spark, folder, "documents")))
+
+
+def _license_oracle() -> str:
+    """SQL over the fixed phrases and templates: every block's distinct template words, counted."""
+    from ticketlake.llm.license_scans import PERCENT, PHRASES, TEMPLATES
+
+    split = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    phrases = ", ".join(f"('{p}', '{label}')" for p, label in PHRASES)
+    templates = ", ".join(f"({k}, '{label}', '{t}')" for k, (label, t) in enumerate(TEMPLATES))
+    return rf"""
+with dw as (select row_number() over () as r, doc_id, {split.format("text")} as w from documents),
+phrases(p, label) as (values {phrases}),
+said as (select r, label, unnest(range(0, len(w) - len(g) + 1)) as s, w, g from dw, (select label, string_split(p, ' ') as g from phrases)),
+places as (select r, label, s from said where w[s + 1:s + len(g)] = g),
+templates(k, label, t) as (values {templates}),
+tw as (select k, label, {split.format("t")} as v from templates),
+need as (select k, label, len(v) as m, len(list_distinct(v)) as size, ceil({PERCENT} * len(list_distinct(v)) / 100)::bigint as need from tw),
+tokens as (select k, unnest(list_distinct(v)) as x from tw),
+pos as (select r, len(w) as n, unnest(w) as x, unnest(range(0, len(w))) as p from dw),
+met as (select r, n, k, p, coalesce(lag(p) over (partition by r, k, x order by p), -1) as prev from pos join tokens using (x)),
+covered as (select r, k, unnest(range(greatest(p - m, prev, -1) + 1, least(p, greatest(n - m, 0)) + 1)) as s from met join need using (k)),
+blocks as (select r, k, s, count(*) as there from covered group by r, k, s),
+fits as (select r, label, max(there::double / size) as share from blocks join need using (k) where there >= need group by r, label),
+base as (select r, count(*) as n_base, min(s) as first_word, max(s) as last_word, string_agg(distinct label, ',' order by label) as base_labels from places group by r),
+every as (select r, string_agg(distinct label, ',' order by label) as labels, max(share) as share from (select r, label, share from fits union all select r, label, 1.0::double from places) group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(share, 0)::double as score
+from dw left join base using (r) left join every using (r)
+"""
+
+
+ORACLES["op12_license_scans"] = _license_oracle()
+
+
+@query
+def op13_phrase_mining(spark, folder):
+    """The best phrases of two to four words of each language."""
+    from ticketlake.llm.phrase_mining import mine_phrases
+
+    return mine_phrases(table(spark, folder, "documents"))
+
+
+ORACLES["op13_phrase_mining"] = r"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as t from documents),
+ws as (select lang, regexp_extract_all(t, '[^\x20\x09]+') as w from pieces),
+at as (select lang, w, unnest(range(1, len(w) + 1)) as s from ws),
+grams as (select lang, w[s:s + k - 1] as g, k, count(*) as f from at, (select unnest([1, 2, 3, 4]) as k) where s + k - 1 <= len(w) group by lang, g, k),
+cand as (select lang, g, k, f from grams where k > 1 and f >= 30),
+cuts as (select c.lang, c.g, c.k, c.f as a, unnest(range(1, c.k)) as cut from cand c),
+valued as (select cuts.lang, cuts.g, cuts.k, a, cut, x.f as l, y.f as r, 2000000::hugeint * a // (x.f + y.f) as score
+  from cuts join grams x on x.lang = cuts.lang and x.g = cuts.g[1:cut] join grams y on y.lang = cuts.lang and y.g = cuts.g[cut + 1:]),
+scored as (select *, row_number() over (partition by lang, g order by score, cut) as c from valued),
+inner_ as (select lang, f, k, unnest(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda i: g[i:i + m - 1]))) as parts from cand where k > 2),
+absorbed as (select distinct p.lang, p.g from (select lang, f, unnest(parts) as g from inner_) p join cand on cand.lang = p.lang and cand.g = p.g where 100 * p.f >= 80 * cand.f),
+kept as (select lang, array_to_string(g, ' ') as phrase, a, l, r, score::bigint as score from scored where c = 1 and not exists (select 1 from absorbed where absorbed.lang = scored.lang and absorbed.g = scored.g)),
+total as (select lang, sum(f)::bigint as n from grams where k = 1 group by lang),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join total using (lang) where rank <= 2000
+"""
