@@ -283,8 +283,8 @@ def op13_phrase_mining(spark, folder):
 ORACLES["op13_phrase_mining"] = r"""
 with pieces as (select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as t from documents),
 ws as (select lang, regexp_extract_all(t, '[^\x20\x09]+') as w from pieces),
-at as (select lang, w, unnest(range(1, len(w) + 1)) as s from ws),
-grams as (select lang, w[s:s + k - 1] as g, k, count(*) as f from at, (select unnest([1, 2, 3, 4]) as k) where s + k - 1 <= len(w) group by lang, g, k),
+spots as (select lang, w, unnest(range(1, len(w) + 1)) as s from ws),
+grams as (select lang, w[s:s + k - 1] as g, k, count(*) as f from spots, (select unnest([1, 2, 3, 4]) as k) where s + k - 1 <= len(w) group by lang, g, k),
 cand as (select lang, g, k, f from grams where k > 1 and f >= 30),
 cuts as (select c.lang, c.g, c.k, c.f as a, unnest(range(1, c.k)) as cut from cand c),
 valued as (select cuts.lang, cuts.g, cuts.k, a, cut, x.f as l, y.f as r, 2000000::hugeint * a // (x.f + y.f) as score
