@@ -6,6 +6,8 @@ import random
 from collections import Counter
 
 import numpy as np
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,3 +182,25 @@ def test_closed_stream_has_every_window(spark):
     events = spark.sql("select timestamp'2024-01-01' + make_interval(0, 0, 0, id) as ts, 'a' as event_type from range(5)")
     rows = INC.closed(events, "ts", "event_type").collect()
     assert len(rows) == 6 and max(rows, key=lambda r: r.ts).event_type == INC.CLOSING
+
+
+def test_checkpoint_folder_without_the_setting(spark, monkeypatch):
+    from ticketlake import session
+
+    class Settings:
+        def get(self, key, default=None):
+            return {"spark.master": master}.get(key, default)
+
+        def set(self, *_):
+            raise AssertionError("static settings cannot be set")
+
+    class Bare:
+        conf, sparkContext = Settings(), spark.sparkContext
+
+    monkeypatch.setattr(session, "_LOCAL", {})
+    master = "local[2]"
+    folder = session.checkpoint_dir(Bare())
+    assert os.path.isdir(folder) and session.checkpoint_dir(Bare()) == folder
+    master = "spark://host:7077"
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Bare())

@@ -29,20 +29,24 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, **conf) -> S
     return spark
 
 
+#: Temporary folders of local sessions without the setting, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) a temporary folder is used.
+    Only where the setting is absent (local tests) a temporary folder is used, one for each application.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
-    folder = tempfile.mkdtemp(prefix="ticketlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="ticketlake-")
+    return _LOCAL[application]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
