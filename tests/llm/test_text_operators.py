@@ -159,9 +159,9 @@ def test_line_dedup(spark, min_words, min_lines):
         lines = t.split("\n")
         gone = set()
         for s in range(len(lines)):
-            m = next((m for m in range(min_lines, len(lines) - s + 1) if sum(len(x.split()) for x in lines[s : s + m]) >= min_words), None)
-            if m and seen.setdefault(tuple(lines[s : s + m]), (i, s)) != (i, s):
-                gone |= set(range(s, s + m))
+            for m in range(min_lines, len(lines) - s + 1):  # runs of every length, so the maximal ones too
+                if sum(len(x.split()) for x in lines[s : s + m]) >= min_words and seen.setdefault(tuple(lines[s : s + m]), (i, s)) != (i, s):
+                    gone |= set(range(s, s + m))
         cut[i] = gone
     expected = []
     for i, t in rows:
@@ -172,6 +172,15 @@ def test_line_dedup(spark, min_words, min_lines):
     assert pairs(got, "doc_id", "text", "n_lines", "n_removed", "n_runs") == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("share", [4096, 2])
+def test_repeated_runs_go_to_their_end(spark, monkeypatch, share):
+    monkeypatch.setattr(line_dedup, "SHARE", share)
+    a, b, c = (" ".join(f"{x}{k}" for k in range(n)) for x, n in (("a", 60), ("b", 20), ("c", 20)))
+    rows = [(1, "\n".join(["own", a, b, c, "one"])), (2, "\n".join([b, c, a, b, c, "two"])), (3, "\n".join(["x", b, c])), (4, "\n".join([b, c, c, a, ""]))]
+    got = line_dedup.drop_repeated_lines(frame(spark, rows))
+    assert pairs(got, "doc_id", "n_removed", "n_runs") == [(1, 0, 0), (2, 3, 1), (3, 0, 0), (4, 2, 1)]
+
+
 @pytest.mark.parametrize("segments, piece", [(4000, 1 << 22), (0, 1 << 22), (4000, 64)])
 def test_suffix_dedup(spark, monkeypatch, segments, piece):
     monkeypatch.setattr(suffix_array, "SHARD_SEGMENTS", segments)

@@ -20,14 +20,15 @@ from pyspark.sql import functions as F
 from ticketlake.llm.common import UNSPACED, by_key, components, id_and_text, shingles, slices, text_bytes, words, written
 
 SHINGLE = 5
-#: 60 permutations give 120 values: 20 bands of 6 find a pair of similarity 0.85 with probability 0.9999.
-BANDS, ROWS = 20, 6
+#: 60 permutations give 120 values: 20 bands of 6 find a pair of similarity 0.85 with probability 0.9999; for a similarity of
+#: 0.80, 24 bands of 5 do.
+VALUES, ROWS = 120, 6
 #: Nodes of a bucket in one block.
 BLOCK = 256
 
 _RNG = np.random.Generator(np.random.PCG64(9))
-_TURN = _RNG.integers(1, 2**63, BANDS * ROWS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_FLIP = _RNG.integers(1, 2**63, BANDS * ROWS // 2, dtype=np.uint64)
+_TURN = _RNG.integers(1, 2**63, VALUES // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FLIP = _RNG.integers(1, 2**63, VALUES // 2, dtype=np.uint64)
 
 
 def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -39,7 +40,7 @@ def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _signatures(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """min, max, min, max, ... of each row under each permutation; rows must not be empty."""
-    out = np.empty((len(first) - 1, BANDS * ROWS), np.uint32)
+    out = np.empty((len(first) - 1, VALUES), np.uint32)
     for k, (turn, flip) in enumerate(zip(_TURN, _FLIP)):
         v = (values ^ flip) * turn
         out[:, 2 * k] = np.minimum.reduceat(v, first[:-1]) >> np.uint64(32)
@@ -47,16 +48,20 @@ def _signatures(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _band_keys(signature: np.ndarray) -> np.ndarray:
-    keys = np.zeros((len(signature), BANDS), np.uint64)
-    for r in range(ROWS):
-        keys = (keys ^ signature[:, r::ROWS].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+def _band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
+    keys = np.zeros((len(signature), VALUES // rows), np.uint64)
+    for r in range(rows):
+        keys = (keys ^ signature[:, r::rows].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         keys ^= keys >> np.uint64(29)
     return keys.view(np.int64)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """`doc_id, n_shingles, set_sum, set_mix, bands` of every row; the two digests name the set; no bands for empty sets."""
+def signatures(docs: DataFrame, rows: int = ROWS) -> DataFrame:
+    """`doc_id, n_shingles, set_sum, set_mix, bands` of every row; the two digests name the set; no bands for empty sets.
+
+    `rows` values make a band; it divides `VALUES`.
+    """
+    count = VALUES // rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -64,13 +69,13 @@ def signatures(docs: DataFrame) -> DataFrame:
             n = np.diff(first)
             some = np.flatnonzero(n)
             total, mix = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
-            keys = np.zeros((0, BANDS), np.int64)
+            keys = np.zeros((0, count), np.int64)
             if len(some):
                 starts = np.concatenate([first[some], [len(values)]])
                 total[some] = np.add.reduceat(values, starts[:-1])
                 mix[some] = np.add.reduceat((values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93), starts[:-1])
-                keys = _band_keys(_signatures(values, starts))
-            offsets = np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)
+                keys = _band_keys(_signatures(values, starts), rows)
+            offsets = np.concatenate([[0], np.cumsum(np.where(n > 0, count, 0))]).astype(np.int32)
             bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n), pa.array(total.view(np.int64)), pa.array(mix.view(np.int64)), bands],
@@ -161,15 +166,15 @@ def _left_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return meeting.groupBy("bucket", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS) -> DataFrame:
     """`doc_id, n_shingles, component_id, kept` for every row.
 
     Words are runs without ASCII white space, A-Z folded; a set holds the distinct runs of five words, or the whole text
     if it has fewer. Documents are linked if 100 * intersection >= percent * union; a component is named by its smallest
-    doc_id. Texts that are null or without words have an empty set and link with nothing. Rows that repeat a doc_id are
+    doc_id. `rows` values of the signature make a band, fewer for a lower `percent`. Texts that are null or without words have an empty set and link with nothing. Rows that repeat a doc_id are
     one node with all their links; rows without doc_id link with nothing, have no component and are kept.
     """
-    base = written(signatures(docs), "signatures")
+    base = written(signatures(docs, rows), "signatures")
     named = base.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     group = F.struct("n_shingles", "set_sum", "set_mix")
     first = named.groupBy(group.alias("g")).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.count("*").alias("n"))

@@ -110,23 +110,23 @@ def op10_suffix_array(spark, folder):
 
 @query
 def op3_line_dedup(spark, folder):
-    """Lines of every document, those in repeated runs of fifty words or more, and what is left."""
+    """Lines of every document, those in maximal repeated runs of fifty words or more, and what is left."""
     from ticketlake.llm.line_dedup import drop_repeated_lines
 
     found = drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+#: Common runs of each two texts, as far as they go: equal lines that stay the same number of lines apart.
 #: What is left of every document, as a view `kept_lines (doc_id, n_lines, n_removed, n_runs, text)` over a view `{docs}`.
 KEPT_LINES = r"""
 ls as (select doc_id, text, string_split(text, chr(10)) as a from {docs}),
 pos as (select doc_id, a, unnest(range(1, len(a) + 1)) as p from ls),
-wc as (select doc_id, p, a[p] as line, a, len(regexp_extract_all(a[p], '[^\x20\x09-\x0D]+')) as n from pos),
-cum as (select *, sum(n) over (partition by doc_id order by p) as c from wc),
-needs as (select x.doc_id, x.p, any_value(x.a) as a, min(y.p) - x.p + 1 as m from cum x join cum y on x.doc_id = y.doc_id and y.p >= x.p and y.c - x.c + x.n >= 50 group by x.doc_id, x.p),
-runs as (select doc_id, p, m, array_to_string(a[p:p + m - 1], chr(10)) as g from needs),
-ranked as (select *, row_number() over (partition by g order by doc_id, p) as k from runs),
-gone as (select distinct doc_id, unnest(range(p, p + m)) as p from ranked where k > 1),
+wc as (select doc_id, p, a[p] as line, len(regexp_extract_all(a[p], '[^\x20\x09-\x0D]+')) as n from pos),
+same as (select x.doc_id as d, y.doc_id, y.p, y.p - x.p as shift, y.n from wc x join wc y on x.line = y.line and (x.doc_id < y.doc_id or (x.doc_id = y.doc_id and x.p < y.p))),
+island as (select *, p - row_number() over (partition by d, doc_id, shift order by p) as i from same),
+runs as (select doc_id, min(p) as p, max(p) as q from island group by d, doc_id, shift, i having sum(n) >= 50),
+gone as (select distinct doc_id, unnest(range(p, q + 1)) as p from (select distinct * from runs)),
 marked as (select wc.doc_id, wc.p, wc.line, gone.p is not null as cut, lag(gone.p is not null, 1, false) over (partition by wc.doc_id order by wc.p) as before from wc left join gone on gone.doc_id = wc.doc_id and gone.p = wc.p),
 cut as (select doc_id, count(*) as n_lines, count(*) filter (cut) as n_removed, count(*) filter (cut and not before) as n_runs, coalesce(string_agg(line, chr(10) order by p) filter (not cut), '') as kept from marked group by doc_id),
 kept_lines as (select d.doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_runs, 0)::bigint as n_runs, kept as text from {docs} d left join cut using (doc_id))
