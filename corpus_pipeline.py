@@ -17,33 +17,63 @@ from ticketlake.llm.sentencepiece_codec import round_trip
 from ticketlake.llm.toxicity import fit, tag
 
 
+#: Percent of the union that the shingle sets of near-duplicates share, and values in a band of the signature for it.
+SIMILAR, BAND_ROWS = 80, 5
+
+
+def _renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` under names that clash with nothing an operator adds, and the new name of each column."""
+    names = {c: c if c in ("doc_id", "text") else f"column {k}" for k, c in enumerate(docs.columns)}
+    return docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())), names
+
+
+def _restored(rows: DataFrame, names: dict[str, str], **new) -> DataFrame:
+    return rows.select(*(new.get(c, F.col(f"`{n}`")).alias(c) for c, n in names.items()))
+
+
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows of `docs` whose doc_id is not in `rejected`; rows without doc_id stay."""
+    rows, names = _renamed(docs)
     gone = rejected.select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(by_key(gone), docs["doc_id"] == F.col("gone"), "left_anti")
+    return _restored(rows.join(by_key(gone), F.col("doc_id") == F.col("gone"), "left_anti"), names)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the tagger rejects go."""
-    model = fit(docs, table(spark, sf_dir, "labels"))
-    return tag(docs, model).filter("predicted = 0").select(docs.columns)
+    """Documents that the tagger rejects go.
+
+    A null text is scored as an empty one. Repeated rows and copies are judged alike; further columns stay as they are.
+    """
+    rows, names = _renamed(docs)
+    return _restored(tag(rows, fit(rows, table(spark, sf_dir, "labels"))).filter("predicted = 0"), names)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of line runs of fifty words or more are cut; documents of which nothing is left go."""
-    cut = drop_repeated_lines(docs)
-    emptied = (F.col("n_removed") > 0) & (F.trim(F.translate("text", "\n\r\t", "   ")) == "")
-    size = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return cut.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", size).select(docs.columns)
+    """Later copies of line runs of fifty words or more are cut; documents of which nothing is left go.
+
+    The copy in the smallest doc_id stays. Repeated rows are one document and are cut alike; null texts and rows without
+    doc_id lose nothing. `n_chars` follows a text that was cut; further columns stay as they are.
+    """
+    rows, names = _renamed(docs)
+    removed = F.col("n_removed") > 0
+    emptied = removed & (F.trim(F.translate("text", "\n\r\t", "   ")) == "")
+    size = F.when(removed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col(f"`{names['n_chars']}`"))
+    return _restored(drop_repeated_lines(rows).filter(~F.coalesce(emptied, F.lit(False))), names, n_chars=size)
 
 
 def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return _without(docs, near_duplicates(docs).filter("not kept"))
+    """One document of each group of near-duplicates (five-word shingles, similarity of 0.8 or more) stays: the smallest doc_id.
+
+    Repeated rows are one document, and all of them stay or go. Documents without words, null texts and rows without doc_id
+    are linked with nothing and stay.
+    """
+    return _without(docs, near_duplicates(docs, SIMILAR, BAND_ROWS).filter("not kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a ten-word window of a benchmark item go."""
+    """Documents with a ten-word window of a benchmark item go.
+
+    Null texts have no words and stay, and so do rows without doc_id; repeated rows stay or go together.
+    """
     return _without(docs, report(matches(docs, table(spark, sf_dir, "benchmark"))).filter("contaminated"))
 
 
