@@ -206,7 +206,7 @@ def _(t):
     from pyspark.ml import PipelineModel
 
     data = t.labels.join(t.documents.select("doc_id", "n_chars"), "doc_id")
-    model, path = L.train_triage(data, "quality", features=("n_chars",), trees=5, depth=3), fresh(t, "model")
+    model, path = L.train_classifier(data, "quality", ("n_chars",), trees=20, depth=5), fresh(t, "model")
     K.save_model(model, path)
     known = data.withColumn("n_chars", F.col("n_chars").cast("double"))
     return PipelineModel.load(path).transform(known).select("doc_id", "prediction")

@@ -9,7 +9,7 @@ from catalog.registry import cte, query, rnd
 from catalog.texts import texts
 from ticketlake import rules as R
 from ticketlake.functions import cleanse as X, scores as S
-from ticketlake.operators import learning as L, profiling as P, quality as Q, relational as J
+from ticketlake.operators import boosting as B, learning as L, profiling as P, quality as Q, relational as J
 from ticketlake.plans import corpus as C, ml_dataset
 from ticketlake.plans.warehouse import Warehouse
 from ticketlake.session import AS_OF, checkpoint_dir
@@ -241,26 +241,75 @@ def _labelled(t):
     return C.with_features(C.clean(texts(t)), encode=False)
 
 
-def _triage_models(t, trees=20):
-    data = _labelled(t).select("ticket_pk", *R.TRIAGE_FEATURES, *R.TRIAGE_TARGETS)
-    return data, {target: L.train_triage(data, target, trees=trees) for target in R.TRIAGE_TARGETS}
+class Triage:
+    """Splits, models and scores of the three targets, trained once per session and folder and stored."""
+
+    _saved: dict = {}
+
+    def __init__(self, t):
+        self.t = t
+        key = (t.spark.sparkContext.applicationId, t.folder)
+        if key not in self._saved:
+            self._saved[key] = self._train(t)
+        self.model, self.folder = self._saved[key]
+        self.scores = t.spark.read.parquet(f"{self.folder}/scores")
+
+    @staticmethod
+    def data(t):
+        """Rows with all targets, each target with its own stratified quarter for testing."""
+        rows = _labelled(t).select("ticket_pk", *R.TRIAGE_FEATURES, *R.TRIAGE_TARGETS).dropna(subset=list(R.TRIAGE_TARGETS))
+        for target in R.TRIAGE_TARGETS:
+            rows = L.stratified_split(rows, target, "ticket_pk").withColumn(f"train_{target}", ~F.col("is_test")).drop("is_test")
+        return rows
+
+    @classmethod
+    def _train(cls, t):
+        folder = f"{checkpoint_dir(t.spark)}/triage-{uuid.uuid4().hex}"
+        cls.data(t).write.parquet(f"{folder}/data")
+        data = t.spark.read.parquet(f"{folder}/data")
+        model = B.fit(data, "ticket_pk", R.TRIAGE_FEATURES, R.TRIAGE_TARGETS, {x: f"train_{x}" for x in R.TRIAGE_TARGETS})
+        each = F.array(*[
+            F.struct(
+                F.lit(x).alias("target"), F.col(x).cast("int").alias("actual"), F.col(f"{x}_pred").alias("predicted"),
+                F.col(f"{x}_share").alias("share"), (~F.col(f"train_{x}")).alias("is_test"),
+            ) for x in R.TRIAGE_TARGETS
+        ])
+        B.predict(data, model).select("ticket_pk", F.inline(each)).write.parquet(f"{folder}/scores")
+        return model, folder
+
+
+_TRIAGE_ROWS = " UNION ALL ".join(
+    f"SELECT ticket_pk, '{x}' AS target, CAST({x} AS INT) AS actual, ROW_NUMBER() OVER (PARTITION BY {x} ORDER BY md5('42|' || ticket_pk), ticket_pk) <= round(COUNT(*) OVER (PARTITION BY {x}) * 0.25) AS is_test "
+    f"FROM corpus_features WHERE {' AND '.join(f'{y} IS NOT NULL' for y in R.TRIAGE_TARGETS)}" for x in R.TRIAGE_TARGETS
+)
+
+
+@query("ml3_triage_splits", f"SELECT ticket_pk, target, actual, is_test FROM ({_TRIAGE_ROWS})")
+def _(t):
+    """Split and encoding of every row for every target, from the stored score table."""
+    return Triage(t).scores.select("ticket_pk", "target", "actual", "is_test")
+
+
+@query("ml4_triage_supports", f"SELECT target, actual, COUNT(*) FILTER (NOT is_test) AS n_train, COUNT(*) FILTER (is_test) AS n_test FROM ({_TRIAGE_ROWS}) GROUP BY target, actual")
+def _(t):
+    return Triage(t).scores.groupBy("target", "actual").agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"))
 
 
 @query("ml4_triage_training")
 def _(t):
-    """Boosted trees on the quality label of the labelled documents; test metrics."""
-    data = _labelled(t).join(t.labels, "doc_id").select("doc_id", "quality", *R.TRIAGE_FEATURES)
-    split = L.stratified_split(data, "quality", "doc_id")
-    model = L.train_triage(split.filter(~F.col("is_test")), "quality", trees=10, depth=4, boosted=True)
-    test = split.filter("is_test").withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in R.TRIAGE_FEATURES})
-    return L.summary_metrics(L.confusion(model.transform(test), "label", "prediction"))
+    """Held-out metrics of the three boosted models (200 rounds of depth 6)."""
+    scores = Triage(t).scores.filter("is_test")
+    parts = [L.summary_metrics(L.confusion(scores.filter(F.col("target") == x), "actual", "predicted")).select(F.lit(x).alias("target"), "*") for x in R.TRIAGE_TARGETS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("ml5_triage_prediction")
 def _(t):
-    data, models = _triage_models(t)
-    cols = ["ticket_pk"] + [f"{n}_{k}" for n in ("priority", "urgency", "impact") for k in ("pred", "label")] + ["escalation_risk", "should_escalate"]
-    return L.predict_triage(data, models).select(*cols)
+    names = [x.replace("_encoded", "") for x in R.TRIAGE_TARGETS]
+    level = F.map_from_entries(F.collect_list(F.struct("target", "predicted")))
+    wide = Triage(t).scores.groupBy("ticket_pk").agg(level.alias("m")).select("ticket_pk", *[F.col("m")[x].alias(f"{n}_pred") for x, n in zip(R.TRIAGE_TARGETS, names)])
+    risk, escalate = S.triage_escalation(*[f"{n}_pred" for n in names])
+    return wide.withColumns({**{f"{n}_label": X.map_codes(f"{n}_pred", R.TRIAGE_NAMES, None) for n in names}, "escalation_risk": risk, "should_escalate": escalate})
 
 
 _CM = "SELECT quality AS actual, toxic AS predicted, COUNT(*) AS n FROM labels GROUP BY ALL"
@@ -288,26 +337,63 @@ def _(t):
 
 @query("ml7_feature_importance")
 def _(t):
-    return L.feature_importance(_triage_models(t)[1], spark=t.spark)
+    return B.importance(Triage(t).model, t.spark)
 
 
 _IF = ("followup_count", "log_action_count", "ocs_inventory_count", "private_followup_ratio", "avg_followup_length", "write_action_ratio", "activity_density")
+#: What the asset forest sees: every number of the risk rows but ids, years and the scores it is validated against.
+_ASSET = (
+    "asset_age_years", "bios_risk_encoded", "drive_health_encoded", "storage_capacity_gb", "drive_count", "memory_gb", "cpu_cores",
+    "high_risk_software_count", "risk_software_ratio", "software_installed_count", "incident_count", "hardware_incident_count",
+    "days_since_last_inventory", "has_warranty", "glpi_failure_proxy",
+)
+
+
+class Assets:
+    """Risk rows with the forest's score in `anomaly_score` and `is_anomaly`, written once per session and folder."""
+
+    _saved: dict = {}
+
+    def __init__(self, t):
+        key = (t.spark.sparkContext.applicationId, t.folder)
+        if key not in self._saved:
+            folder = f"{checkpoint_dir(t.spark)}/assets-{uuid.uuid4().hex}"
+            Warehouse(t).gold_risk.drop("anomaly_score", "is_anomaly").write.parquet(f"{folder}/risk")
+            risk = t.spark.read.parquet(f"{folder}/risk")
+            scored = L.isolation_forest(risk.dropDuplicates(["asset_pk"]), "asset_pk", _ASSET)
+            risk.join(scored, "asset_pk", "left").write.parquet(f"{folder}/scored")
+            self._saved[key] = folder
+        self.rows = t.spark.read.parquet(f"{self._saved[key]}/scored")
 
 
 @query("ml8_isolation_forest")
 def _(t):
-    return L.isolation_forest(Warehouse(t).gold_anomalies, "user_pk", _IF, trees=100)
+    """Asset risk rows, with 200 trees; anomaly_score and is_anomaly are filled."""
+    return Assets(t).rows.select("asset_pk", "rule_based_risk_score", "risk_tier", "anomaly_score", "is_anomaly")
+
+
+@query("ml8_user_forest")
+def _(t):
+    return L.isolation_forest(Warehouse(t).gold_anomalies, "user_pk", _IF)
+
+
+@query("ml9_anomaly_validation")
+def _(t):
+    """The forest's score against the rule score, and the share of flagged assets."""
+    return Assets(t).rows.agg(
+        F.round(F.corr("rule_based_risk_score", "anomaly_score"), 4).alias("corr"), F.count("*").alias("assets"), F.sum("is_anomaly").alias("flagged"),
+        F.round(F.avg("anomaly_score"), 4).alias("avg_score"),
+    )
 
 
-@query("ml9_anomaly_validation", f"SELECT round(corr(total_activity_count, activity_density), 5) AS corr FROM gold_anomalies")
+@query("ml9_activity_correlation", f"SELECT round(corr(total_activity_count, activity_density), 5) AS corr FROM gold_anomalies")
 def _(t):
     return Warehouse(t).gold_anomalies.agg(F.round(F.corr("total_activity_count", "activity_density"), 5).alias("corr"))
 
 
 @query("ml9_anomaly_contrast")
 def _(t):
-    g = Warehouse(t).gold_anomalies
-    return J.group_contrast(g.join(L.isolation_forest(g, "user_pk", _IF, trees=50).select("user_pk", F.col("is_anomaly").alias("flag")), "user_pk"), "flag", list(_IF))
+    return J.group_contrast(Assets(t).rows.withColumnRenamed("is_anomaly", "flag"), "flag", list(_ASSET))
 
 
 @query("ml10_local_outliers")
@@ -315,13 +401,31 @@ def _(t):
     return L.local_outlier_factor(Warehouse(t).gold_anomalies, "user_pk", _IF)
 
 
+_BREACH = ("priority_score", "urgency_score", "impact_score", "waiting_duration", "followup_count", "ticket_age_hours", "resolution_time_hours")
+
+
+def _breach_rows(t):
+    sla = Warehouse(t).gold_sla.filter(F.col("source_system") == "GLPI").select("sla_feature_pk", "was_sla_breached", *_BREACH)
+    return L.stratified_split(sla, "was_sla_breached", "sla_feature_pk")
+
+
+@query(
+    "ml11_breach_split",
+    "SELECT was_sla_breached, COUNT(*) FILTER (NOT is_test) AS n_train, COUNT(*) FILTER (is_test) AS n_test FROM (SELECT was_sla_breached, ROW_NUMBER() OVER (PARTITION BY was_sla_breached ORDER BY md5('42|' || sla_feature_pk), sla_feature_pk) <= round(COUNT(*) OVER (PARTITION BY was_sla_breached) * 0.25) AS is_test FROM gold_sla WHERE source_system = 'GLPI') GROUP BY 1",
+)
+def _(t):
+    return _breach_rows(t).groupBy("was_sla_breached").agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"))
+
+
 @query("ml11_breach_classifier")
 def _(t):
-    sla = Warehouse(t).gold_sla.filter(F.col("source_system") == "GLPI")
-    features = ("priority_score", "urgency_score", "impact_score", "waiting_duration", "followup_count", "ticket_age_hours", "resolution_time_hours")
-    model = L.train_breach(sla, features, trees=10)
-    scored = model.transform(L.impute(sla, features).withColumn("label", F.col("was_sla_breached").cast("double")))
-    return L.summary_metrics(L.confusion(scored, "label", "prediction"))
+    """Metrics on the held-out quarter."""
+    folder = f"{checkpoint_dir(t.spark)}/breach-{uuid.uuid4().hex}"
+    _breach_rows(t).write.parquet(folder)
+    rows = t.spark.read.parquet(folder)
+    model = L.train_breach(rows.filter(~F.col("is_test")), _BREACH)
+    test = L.as_doubles(rows.filter("is_test"), _BREACH).withColumn("actual", F.col("was_sla_breached").cast("double"))
+    return L.summary_metrics(L.confusion(model.transform(test), "actual", "prediction"))
 
 
 @query("ml12_imputation", "SELECT id, COALESCE(solve_delay_stat, 0) AS z FROM (SELECT ticket_id AS id, solve_delay_stat FROM stg_tickets)")

@@ -6,12 +6,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ticketlake import rules as R
-from ticketlake.functions import cleanse as X, scores as S
+from ticketlake.functions import cleanse as X
 from ticketlake.operators.ordering import top_k
 
 
@@ -50,55 +49,29 @@ def impute(df: DataFrame, columns, strategy: str = "median") -> DataFrame:
 
 
 # ---- triage --------------------------------------------------------------------------------------
-def train_triage(df: DataFrame, target: str, features=R.TRIAGE_FEATURES, trees: int = 200, depth: int = 6, boosted: bool = False, seed: int = 42) -> PipelineModel:
-    """Multiclass model for one target; boosted trees run one-vs-rest because they are binary."""
-    index = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="skip")
+def train_classifier(df: DataFrame, target: str, features, trees: int = 200, depth: int = 6, seed: int = 42) -> PipelineModel:
+    """Random forest as a storable pipeline; labels it has not seen are a class of their own."""
+    index = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep")
     assemble = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    if boosted:
-        gbt = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.1, subsamplingRate=0.8, seed=seed)
-        model = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label")
-    else:
-        model = RandomForestClassifier(numTrees=trees, maxDepth=depth, subsamplingRate=0.8, seed=seed)
+    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, subsamplingRate=0.8, seed=seed)
     known = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
     return Pipeline(stages=[index, assemble, model]).fit(known.filter(F.col(target).isNotNull()))
 
 
-def predict_triage(df: DataFrame, models: dict[str, PipelineModel], features=R.TRIAGE_FEATURES) -> DataFrame:
-    """Decoded level per target, level names, escalation risk and decision."""
-    out = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
-    for target, model in models.items():
-        stages = model.stages
-        labels = F.array(*[F.lit(x) for x in stages[0].labels])
-        scored = stages[2].transform(stages[1].transform(out))
-        level = F.element_at(labels, F.col("prediction").cast("int") + 1).cast("double").cast("int")
-        name = target.replace("_encoded", "")
-        out = scored.withColumn(f"{name}_pred", level).drop("features", "prediction", "rawPrediction", "probability")
-    names = [t.replace("_encoded", "") for t in models]
-    risk, escalate = S.triage_escalation(*[f"{n}_pred" for n in names])
-    return out.withColumns(
-        {**{f"{n}_label": X.map_codes(f"{n}_pred", R.TRIAGE_NAMES, None) for n in names}, "escalation_risk": risk, "should_escalate": escalate}
-    )
-
-
-def train_breach(sla: DataFrame, features, trees: int = 20, seed: int = 42) -> PipelineModel:
-    """SLA-breach classifier; the rare class is weighted by its inverse share."""
+def train_breach(sla: DataFrame, features, rounds: int = 100, depth: int = 5, seed: int = 42) -> PipelineModel:
+    """SLA-breach classifier: medians of the training rows fill gaps inside the pipeline; the rare class weighs its inverse share."""
     share = sla.agg(F.avg(F.col("was_sla_breached").cast("double"))).first()[0] or 0.5
     weight = F.when(F.col("was_sla_breached") == 1, 0.5 / max(share, 1e-9)).otherwise(0.5 / max(1 - share, 1e-9))
-    data = impute(sla, features).withColumns({"weight": weight, "label": F.col("was_sla_breached").cast("double")})
-    assemble = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(maxIter=trees, maxDepth=5, weightCol="weight", seed=seed)
-    return Pipeline(stages=[assemble, gbt]).fit(data)
-
-
-def feature_importance(models: dict[str, PipelineModel], features=R.TRIAGE_FEATURES, spark=None) -> DataFrame:
-    """Importance per target and feature with the mean over targets and its rank."""
-    rows = []
-    for target, model in models.items():
-        values = model.stages[-1].featureImportances.toArray()
-        rows += [(target, f, float(v)) for f, v in zip(features, values)]
-    df = spark.createDataFrame(rows, "target string, feature string, importance double")
-    mean = df.groupBy("feature").agg(F.avg("importance").alias("mean_importance"))
-    return df.join(mean, "feature").withColumn("rank", F.row_number().over(Window.partitionBy("target").orderBy(F.col("importance").desc(), "feature")))
+    data = as_doubles(sla, features).withColumns({"weight": weight, "label": F.col("was_sla_breached").cast("double")})
+    filled = [f"{c}_filled" for c in features]
+    fill = Imputer(inputCols=list(features), outputCols=filled, strategy="median", relativeError=1e-6)
+    assemble = VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep")
+    gbt = GBTClassifier(maxIter=rounds, maxDepth=depth, weightCol="weight", seed=seed)
+    return Pipeline(stages=[fill, assemble, gbt]).fit(data)
+
+
+def as_doubles(df: DataFrame, features) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in features})
 
 
 # ---- metrics -------------------------------------------------------------------------------------
