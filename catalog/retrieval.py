@@ -9,7 +9,7 @@ from catalog.registry import cte, query, rnd
 from catalog.texts import sql_raw_words, texts
 from ticketlake import rules as R
 from ticketlake.functions import cleanse as X, text as T, vectors as V
-from ticketlake.operators import blocks as BL, context as CX, dense as D, evaluation as E, fusion as FU, sparse as SP
+from ticketlake.operators import blocks as BL, context as CX, dense as D, evaluation as E, fusion as FU, inverted_vectors as IV, sparse as SP
 from ticketlake.operators.ordering import rank_in_buckets, rank_within, top_k
 from ticketlake.operators.relational import fetch_by_rank
 from ticketlake.plans import corpus as C
@@ -75,6 +75,22 @@ cte("idx_deep_some", _DEEP.format(where="WHERE priority_encoded = 2"))
 cte("idx_v2", _FUSED.format(dense="idx_deep"))
 cte("idx_v2_some", _FUSED.format(dense="idx_deep_some"))
 
+cte("idx_wide", """
+SELECT h.query_id, h.doc, h.rank, h.rrf_score, c.chunk_text AS text, b.text AS query_text
+FROM idx_v2 h JOIN corpus_chunks c ON c.chunk_id = h.doc JOIN benchmark b ON CAST(b.item_id AS VARCHAR) = h.query_id
+""")
+_SET = "list_distinct(list_filter(regexp_split_to_array(lower({}), '\\s+'), lambda x: x <> ''))"
+_OVERLAP = rnd("len(list_intersect(qw, tw)) / len(list_distinct(list_concat(qw, tw)))::DOUBLE", 6)
+
+
+def _reranked(candidates: str, k: int) -> str:
+    words = f"SELECT *, {_SET.format('query_text')} AS qw, {_SET.format('text')} AS tw FROM {candidates}"
+    scored = f"SELECT query_id, doc, rank, text, COALESCE({_OVERLAP}, 0) AS rerank_score FROM ({words})"
+    return f"SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, doc) AS INT) AS rerank_rank FROM ({scored})) WHERE rerank_rank <= {k}"
+
+
+cte("idx_reranked", _reranked("idx_wide", R.RERANK_K))
+
 
 class Search:
     """Shared inputs of the retrieval queries."""
@@ -131,22 +147,19 @@ class Search:
         body = self.chunks.select(F.col("chunk_id").alias("doc"), F.col("chunk_text").alias("text"), "ticket_pk", "retrieval_quality_score")
         return self.hybrid().join(body, "doc").join(self.queries.withColumnRenamed("text", "query_text"), "query_id")
 
+    def wide(self):
+        """The fused 60 of both branches with their texts."""
+        fused = FU.hybrid_search_v2(self.index(), self.vectors(), self.queries, self.query_vectors())
+        body = self.chunks.select(F.col("chunk_id").alias("doc"), F.col("chunk_text").alias("text"))
+        return fused.join(body, "doc").join(self.queries.withColumnRenamed("text", "query_text"), "query_id")
+
+    def reranked(self):
+        """60 sparse and 60 dense hits, fused to 60, reranked to 10."""
+        return FU.rerank_by(self.wide(), R.RERANK_K, FU.overlap_score("query_text", "text"))
+
     def truth(self):
-        """Chunks of the documents that hold the passage verbatim.
-
-        A passage inside a document shares its inner words, so three consecutive inner words are the
-        join key and only the partners are compared as text. Passages of under five words have too few inner
-        words; those few are looked up in every document.
-        """
-        three = F.array_join(F.slice("w", 2, 3), " ")
-        asked = self.queries.withColumn("w", T.words("text")).filter(F.size("w") >= 5).select("query_id", F.col("text").alias("passage"), three.alias("gram"))
-        d = self.t.documents.select("doc_id", "text", T.words("text").alias("w"))
-        starts = F.when(F.size("w") >= 3, F.sequence(F.lit(1), F.size("w") - 2)).otherwise(F.array().cast("array<int>"))
-        grams = d.select("doc_id", F.explode(F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.lit(3)), " ")))).alias("gram"))
-        short = self.queries.filter(F.size(T.words("text")).between(1, 4)).select("query_id", F.col("text").alias("passage"))
-        inside = self.t.documents.join(short, F.contains("text", "passage")).select("query_id", "doc_id", "passage")
-        pairs = grams.join(asked, "gram").select("query_id", "doc_id", "passage").unionByName(inside)
-        held = pairs.join(self.t.documents.select("doc_id", "text"), "doc_id").filter(F.contains("text", "passage"))
+        """Chunks of the documents that hold the passage verbatim."""
+        held = E.holding(self.t.documents, self.queries)
         return held.join(self.chunks.select("doc_id", F.col("chunk_id").alias("doc")), "doc_id").select("query_id", "doc").distinct()
 
 
@@ -244,6 +257,22 @@ def _centroid_search(t, k, max_broadcast=D.BROADCAST_QUERIES, cond=None):
     return D.dense_search(vectors, D.label_centroids(t.embeddings), k, key="vec_id", max_broadcast=max_broadcast)
 
 
+_FUSED_DOCS = f"SELECT CAST(vec_id AS VARCHAR) AS doc, list_concat(embedding::DOUBLE[], {_LEVELS_SQL}) AS v FROM embeddings"
+_FUSED_ASKED = "SELECT CAST(label AS VARCHAR) AS query_id, list_concat(list_transform(c, lambda x: x / sqrt(list_dot_product(c, c))), [CAST(label % 5 AS DOUBLE) / 5, 0, 0]) AS q FROM idx_cent"
+
+
+@query(
+    "em2_level_search",
+    f"SELECT * FROM (SELECT query_id, doc, score, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, doc) AS INT) AS rank FROM (SELECT query_id, doc, round(list_cosine_similarity(v, q), 6) AS score FROM ({_FUSED_ASKED}) CROSS JOIN ({_FUSED_DOCS}))) WHERE rank <= 10",
+)
+def _(t):
+    """Search among fused vectors with query vectors that ask for a priority."""
+    docs = t.embeddings.select("vec_id", V.fuse_levels("embedding", F.col("label") % 5, F.col("vec_id") % 5, F.col("vec_id") % 3).alias("embedding"))
+    asked = D.label_centroids(t.embeddings)
+    asked = asked.withColumn("embedding", V.fuse_query("embedding", F.col("query_id").cast("int") % 5))
+    return D.dense_search(docs, asked, 10, key="vec_id")
+
+
 @query("kn1_dense_topk", _KNN.format(where="", k=20))
 def _(t):
     return _centroid_search(t, 20)
@@ -269,6 +298,20 @@ def _(t):
     return D.nearest_lsh(t.embeddings, D.label_centroids(t.embeddings), 10, key="vec_id")
 
 
+@query("kn3_inverted_lists", _KNN.format(where="", k=10))
+def _(t):
+    """Exact: lists beyond the first probes are met where their bound reaches the k-th score."""
+    return IV.search_lists(IV.build_lists(t.embeddings, "vec_id"), D.label_centroids(t.embeddings), 10)
+
+
+@query("kn3_probe_recall")
+def _(t):
+    """Share of the exact neighbours that a fixed number of probes finds; every hundredth vector is a query."""
+    asked = t.embeddings.filter("vec_id % 100 = 0").select(F.col("vec_id").cast("string").alias("query_id"), "embedding")
+    index = IV.build_lists(t.embeddings, "vec_id")
+    return IV.recall(IV.search_lists(index, asked, 10, probes=12, exact=False), D.dense_search(t.embeddings, asked, 10, key="vec_id"))
+
+
 @query("f10_vector_functions", "SELECT vec_id, round(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 5) AS length, round(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]), 5) AS self_product FROM embeddings")
 def _(t):
     return t.embeddings.select("vec_id", F.round(V.norm("embedding"), 5).alias("length"), F.round(V.dot("embedding", "embedding"), 5).alias("self_product"))
@@ -332,9 +375,15 @@ def _(t):
     return FU.rrf(FU.rank_union(bm25=bm25, dense=bm25.filter(F.lit(False)))).withColumn("rrf_score", F.round("rrf_score", 7))
 
 
-@query("rr1_rerank")
+@query("rr1_rerank", f"SELECT query_id, doc, CAST(rank AS INT) AS rank, rerank_score, rerank_rank FROM ({_reranked('idx_candidates', 5)})")
 def _(t):
-    return FU.rerank(Search(t).candidates(), 5).select("query_id", "doc", "rank", "rerank_score", "rerank_rank")
+    return FU.rerank_by(Search(t).candidates(), 5, FU.overlap_score("query_text", "text")).select("query_id", "doc", "rank", "rerank_score", "rerank_rank")
+
+
+@query("rf2_search_chain", "SELECT query_id, doc, CAST(rank AS INT) AS rank, rerank_score, rerank_rank FROM idx_reranked")
+def _(t):
+    """The whole chain of the second service: 60 + 60, fused to 60, reranked to 10."""
+    return Search(t).reranked().select("query_id", "doc", "rank", "rerank_score", "rerank_rank")
 
 
 @query("rr2_rerank_fallback", "SELECT query_id, doc, round(rrf_score, 7) AS rerank_score, CAST(rank AS INT) AS rerank_rank FROM idx_hybrid WHERE rank <= 5")
@@ -404,21 +453,36 @@ def _(t):
 
 
 # ---- context -------------------------------------------------------------------------------------
-_BUDGET = 900
+_HEADED = "string_agg('[Document] (ID: ' || doc || ')' || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank)"
 cte("idx_packed", f"""
 SELECT query_id, doc, rank, text, tokens FROM (SELECT *, SUM(tokens) OVER (PARTITION BY query_id ORDER BY rank) AS running FROM (
-  SELECT query_id, doc, rank, text, CAST(length(text) // 4 AS BIGINT) AS tokens FROM idx_candidates WHERE TRIM(text) <> '')) WHERE running <= {_BUDGET}
+  SELECT query_id, doc, rank, text, CAST(length(text) // 4 AS BIGINT) AS tokens FROM idx_wide WHERE TRIM(text) <> '')) WHERE running <= {R.CONTEXT_TOKENS}
+""")
+cte("idx_packed_ten", f"""
+SELECT query_id, doc, rank, text, tokens FROM (SELECT *, SUM(tokens) OVER (PARTITION BY query_id ORDER BY rank) AS running FROM (
+  SELECT query_id, doc, rerank_rank AS rank, text, CAST(length(text) // 4 AS BIGINT) AS tokens FROM idx_reranked WHERE TRIM(text) <> '')) WHERE running <= {R.CONTEXT_TOKENS}
 """)
 
 
-@query("cx1_context_packing", "SELECT query_id, string_agg('[Document] (ID: ' || doc || ')' || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS context, COUNT(*) AS n_chunks, CAST(SUM(tokens) AS BIGINT) AS tokens FROM idx_packed GROUP BY query_id")
+@query("cx1_context_packing", f"SELECT query_id, {_HEADED} AS context, COUNT(*) AS n_chunks, CAST(SUM(tokens) AS BIGINT) AS tokens FROM idx_packed GROUP BY query_id")
+def _(t):
+    """Contexts of 4,096 tokens from the fused 60."""
+    return CX.pack_context(Search(t).wide())
+
+
+def _answer_context(t):
+    return CX.pack_context(Search(t).reranked().withColumn("rank", F.col("rerank_rank")))
+
+
+@query("cx1_context_reranked", f"SELECT query_id, {_HEADED} AS context, COUNT(*) AS n_chunks, CAST(SUM(tokens) AS BIGINT) AS tokens FROM idx_packed_ten GROUP BY query_id")
 def _(t):
-    return CX.pack_context(Search(t).candidates(), _BUDGET)
+    """Contexts from the reranked ten."""
+    return _answer_context(t)
 
 
 @query("t4_budget_prefix", "SELECT query_id, doc, CAST(rank AS INT) AS rank, tokens FROM idx_packed")
 def _(t):
-    return CX.select_within_budget(Search(t).candidates(), _BUDGET).select("query_id", "doc", "rank", "tokens")
+    return CX.select_within_budget(Search(t).wide()).select("query_id", "doc", "rank", "tokens")
 
 
 _BLOCK = "'--- Source ' || rank || ' (score: ' || printf('%.2f', rrf_score) || ') ---' || chr(10) || text || chr(10)"
@@ -429,11 +493,16 @@ def _(t):
     return CX.pack_scored_sources(Search(t).candidates(), 1024, "rrf_score")
 
 
-@query("cx2_prompts")
+_SYSTEM = R.SYSTEM_PROMPT.replace("'", "''")
+
+
+@query(
+    "cx2_prompts",
+    f"SELECT query_id, CAST(to_json([{{'role': 'system', 'content': '{_SYSTEM}'}}, {{'role': 'user', 'content': 'Context:' || chr(10) || context || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'User Question: ' || b.text}}]) AS VARCHAR) AS messages "
+    f"FROM (SELECT query_id, {_HEADED} AS context FROM idx_packed_ten GROUP BY query_id) JOIN benchmark b ON CAST(b.item_id AS VARCHAR) = query_id",
+)
 def _(t):
-    s = Search(t)
-    packed = CX.pack_context(s.candidates(), _BUDGET)
-    return packed.join(s.queries, "query_id").select("query_id", CX.prompt("context", "text").alias("messages"))
+    return _answer_context(t).join(Search(t).queries, "query_id").select("query_id", CX.prompt("context", "text").alias("messages"))
 
 
 _ANSWER = "CASE WHEN event_id % 3 = 0 THEN '{\"solution\": \"restart ' || event_type || '\", \"confidence\": ' || (event_id % 15) / 10.0 || '}' WHEN event_id % 3 = 1 THEN '{\"solution\": \"reset\"}' ELSE 'plain ' || event_type END"

@@ -204,3 +204,22 @@ def test_checkpoint_folder_without_the_setting(spark, monkeypatch):
     master = "spark://host:7077"
     with pytest.raises(RuntimeError):
         session.checkpoint_dir(Bare())
+
+
+@pytest.mark.parametrize("round_bytes", [2 << 20, 80])
+def test_holding_equals_contains(spark, round_bytes):
+    from ticketlake.operators.evaluation import holding
+
+    texts = [(1, "the cat sat on the mat"), (2, "concatenate"), (3, None), (4, ""), (1, "cat"), (5, "Größe der Welt\nneu"), (6, "x" * 50_000 + "cat sat")]
+    asked = [("a", "cat"), ("b", "cat sat"), ("c", "at"), ("d", ""), ("e", None), ("f", "öße der Welt\n"), ("g", "cat"), ("h", "never")]
+    got = holding(spark.createDataFrame(texts, "doc_id int, text string"), spark.createDataFrame(asked, "query_id string, text string"), round_bytes=round_bytes)
+    expected = [(q, i) for i, t in texts for q, p in asked if t and p and p in t]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(expected) and "NestedLoop" not in plan(got)
+
+
+def test_overlap_score(spark):
+    rows = [("a b c", "B c  d", 0.5), ("", None, 0.0), ("x x", "X", 1.0), (None, "a", 0.0)]
+    df = spark.createDataFrame(rows, "q string, t string, s double")
+    assert all(r.got == r.s for r in df.withColumn("got", FU.overlap_score("q", "t")).collect())
+    best = FU.rerank_by(spark.createDataFrame([("1", "d", 0.5), ("1", "b", 0.9), ("1", "a", 0.9)], "query_id string, doc string, s double"), 2, F.col("s"))
+    assert [(r.doc, r.rerank_rank) for r in best.orderBy("rerank_rank").collect()] == [("a", 1), ("b", 2)]

@@ -28,3 +28,8 @@ def fuse_levels(vector, priority, urgency, impact, scale: float = 5.0) -> Column
     """Append level features divided by ``scale`` (missing as zero) and renormalise."""
     extra = F.array(*[F.coalesce(X._c(c).cast("double"), F.lit(0.0)) / scale for c in (priority, urgency, impact)])
     return l2_normalize(F.concat(as_double(vector), extra))
+
+
+def fuse_query(vector, priority=0.0, urgency=0.0, impact=0.0, scale: float = 5.0) -> Column:
+    """The query side of `fuse_levels`: the asked levels, or zero, behind the unit query vector, renormalised."""
+    return fuse_levels(l2_normalize(vector), *(x if isinstance(x, Column) else F.lit(float(x)) for x in (priority, urgency, impact)), scale)

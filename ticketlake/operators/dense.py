@@ -36,18 +36,24 @@ def _stack(column: pd.Series) -> np.ndarray:
 def _best(ids: np.ndarray, vectors: np.ndarray, qids: np.ndarray, queries: np.ndarray, k: int) -> pd.DataFrame:
     """k best rows per query; ties at the cut are all kept so that the final order decides."""
     scores = np.round(_unit(queries) @ _unit(vectors).T, 6)
-    rows = []
-    for i, line in enumerate(scores):
+    picked = []
+    for line in scores:
         if len(line) > k:
             cut = np.partition(line, len(line) - k)[len(line) - k]
             pick = np.flatnonzero(line >= cut)
         else:
             pick = np.arange(len(line))
         if len(pick) > k:  # many equal scores: smallest ids win
-            order = np.lexsort((ids[pick], -line[pick]))[:k]
-            pick = pick[order]
-        rows.append(pd.DataFrame({"query_id": qids[i], "doc": ids[pick], "score": line[pick]}))
-    return pd.concat(rows, ignore_index=True) if rows else pd.DataFrame({"query_id": [], "doc": [], "score": []})
+            pick = pick[np.lexsort((ids[pick], -line[pick]))[:k]]
+        picked.append(pick)
+    owner = np.repeat(np.arange(len(picked)), [len(p) for p in picked])
+    column = np.concatenate([np.zeros(0, np.int64), *picked])
+    return pd.DataFrame({"query_id": qids[owner], "doc": ids[column], "score": scores[owner, column]})
+
+
+def no_scores() -> pd.DataFrame:
+    """An empty result with the types of a filled one."""
+    return pd.DataFrame({"query_id": np.zeros(0, object), "doc": np.zeros(0, object), "score": np.zeros(0)})
 
 
 def _prepared(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -90,7 +96,7 @@ def _in_blocks(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
 
     def score(block: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
         if not len(block) or not len(batch):
-            return pd.DataFrame({"query_id": [], "doc": [], "score": []})
+            return no_scores()
         return _best(block["id"].to_numpy(dtype=object), _stack(block["v"]), batch["id"].to_numpy(dtype=object), _stack(batch["v"]), k)
 
     return left.groupBy("db", "qb").cogroup(right.groupBy("db", "qb")).applyInPandas(score, SCORED)

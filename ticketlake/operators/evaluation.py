@@ -1,6 +1,11 @@
 """Retrieval evaluation as aggregations over ranked lists."""
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ticketlake.functions import cleanse as X, text as T
@@ -13,6 +18,47 @@ def judged(ranked: DataFrame, truth: DataFrame) -> DataFrame:
     return truth.select("query_id").distinct().join(first, "query_id", "left")
 
 
+#: Bytes of passages that one pass over the texts looks for.
+PASSAGE_BYTES = 2 << 20
+
+
+def holding(texts: DataFrame, passages: DataFrame, text_id: str = "doc_id", round_bytes: int = PASSAGE_BYTES) -> DataFrame:
+    """(query_id, `text_id`) of every text that holds a passage verbatim.
+
+    All passages of a round are looked for at once by an automaton in one pass over each text, so texts are neither cut
+    into grams nor paired with passages. A larger batch goes in rounds of bounded size, each over all texts. Null and empty
+    passages are in no text.
+    """
+    asked = passages.select(F.col("query_id").cast("string").alias("query_id"), "text").filter("text <> ''").distinct()
+    size = asked.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    rounds = 1 + 2 * int(size // round_bytes)
+    kind = f"query_id string, `{text_id}` {dict(texts.dtypes)[text_id]}"
+    parts = [_found(texts, asked.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k), text_id, kind) for k in range(rounds)]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _found(texts: DataFrame, asked: DataFrame, text_id: str, kind: str) -> DataFrame:
+    owners: dict[str, list[str]] = {}
+    for r in asked.collect():  # bounded by the round
+        owners.setdefault(r.text, []).append(r.query_id)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = ahocorasick.Automaton()
+        for passage, ids in owners.items():
+            automaton.add_word(passage, (passage, ids))
+        automaton.make_automaton()
+        for batch in batches:
+            at, found = [], []
+            for k, text in enumerate(batch.column("text")):
+                held = {passage: ids for _, (passage, ids) in automaton.iter(text.as_py() or "")} if owners else {}
+                for ids in held.values():
+                    at += [k] * len(ids)
+                    found += ids
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), batch.column(text_id).take(pa.array(at, pa.int64()))], ["query_id", text_id])
+
+    return texts.select(text_id, "text").mapInArrow(run, kind)
+
+
 def recall_at(ranked: DataFrame, truth: DataFrame, k: int) -> DataFrame:
     hit = X.is_true(F.col("first_rank") <= k)
     return judged(ranked, truth).agg(

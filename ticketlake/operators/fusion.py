@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ticketlake import rules as R
-from ticketlake.functions import cleanse as X
+from ticketlake.functions import cleanse as X, text as T
 from ticketlake.operators import dense, sparse
 from ticketlake.operators.ordering import top_k
 from ticketlake.operators.relational import drop_duplicates_ordered, fetch_by_rank
@@ -65,6 +65,18 @@ def overlap_scorer(queries: pd.Series, texts: pd.Series) -> list[float]:
     return out
 
 
+def overlap_score(a, b) -> Column:
+    """The same score as an expression: distinct words of both texts over all distinct words."""
+    one, other = (F.array_distinct(T.words(F.lower(X._c(x)))) for x in (a, b))
+    both = F.size(F.array_union(one, other))
+    return X.rounded(F.coalesce(F.size(F.array_intersect(one, other)) / F.nullif(both.cast("double"), F.lit(0.0)), F.lit(0.0)), 6)
+
+
+def rerank_by(candidates: DataFrame, k: int, score: Column) -> DataFrame:
+    """The k best candidates of each query by an expression, ties by document id."""
+    return top_k(candidates.withColumn("rerank_score", score), "query_id", [F.col("rerank_score").desc(), F.col("doc")], k, "rerank_rank")
+
+
 def rerank(candidates: DataFrame, k: int, scorer: Callable[[pd.Series, pd.Series], list[float]] | None = overlap_scorer, fallback: str = "rrf_score") -> DataFrame:
     """Score (query_text, text) pairs in batches and keep the k best; without a scorer use ``fallback``."""
     if scorer is None:
