@@ -36,7 +36,7 @@ def test_mined_rules(spark):
     labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string")
     rules = {(tuple(r.antecedent), r.verdict): (r.support, r.confidence) for r in url_rules.mine(labelled, 0.02, 0.75).collect()}
     every = {}
-    for size in (1, 2, 3):
+    for size in range(1, len(names) + 1):
         for s in itertools.combinations(names, size):
             hit = [v for t, v in rows if set(s) <= set(t)]
             for v in ("allow", "block"):
@@ -52,6 +52,14 @@ def test_mined_rules(spark):
         assert got.get(r.url) == (best and (best[4], best[3]))
 
 
+def test_rules_of_many_tokens(spark):
+    """Only four tokens together mean block; a page with all of them gets it, and not the verdict of a part."""
+    rows = [(["a", "b", "c", "d"], "block")] * 50 + [(list(s), "allow") for s in itertools.combinations("abcd", 3)] * 150 + [(["z"], "allow")] * 94 + [(["z"], "block")] * 6
+    urls = spark.createDataFrame([("all", ["a", "b", "c", "d", "z"]), ("three", ["a", "b", "c"])], "url string, tokens array<string>")
+    got = {r.url: r.mined for r in url_rules.best_rules(urls, url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"))).collect()}
+    assert (got["all"].verdict, got["all"].rule) == ("block", "a b c d") and got["three"].verdict == "allow"
+
+
 def test_no_labels_and_no_pages(spark):
     rows = url_rules.judge(pages(spark, ["http://a.org/x", None])).collect()
     assert [r.verdict for r in rows] == ["allow", "allow"]

@@ -143,7 +143,7 @@ def op2_url_rules(spark, folder):
 
 
 ORACLES["op2_url_rules"] = r"""
-with rest as (select page_id, url, case when strpos(url, '://') > 0 then url[strpos(url, '://') + 3:] end as r from pages),
+with recursive rest as (select page_id, url, case when strpos(url, '://') > 0 then url[strpos(url, '://') + 3:] end as r from pages),
 parsed as (select page_id, url, coalesce(translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
   coalesce(regexp_extract(r, '^[^/?#]*([^?#]*)', 1), '') as path from rest),
 listed(verdict, rule, h, p) as (values ('allow', 'com/', 'com', '/'), ('block', 'example.com/en/', 'example.com', '/en/'), ('allow', 'www.example.com/en/', 'www.example.com', '/en/'),
@@ -159,9 +159,7 @@ tok as (select row_number() over () as id, * from lab),
 one as (select id, verdict, unnest(t) as a from tok),
 freq as (select a from one group by a having count(*) >= (select least from need)),
 f as (select one.* from one join freq using (a)),
-sets as (select id, verdict, [a] as s from f union all
-  select x.id, x.verdict, [x.a, y.a] from f x join f y on x.id = y.id and x.a < y.a union all
-  select x.id, x.verdict, [x.a, y.a, z.a] from f x join f y on x.id = y.id and x.a < y.a join f z on z.id = x.id and y.a < z.a),
+sets as (select id, verdict, [a] as s from f union all select sets.id, sets.verdict, list_append(s, f.a) from sets join f on f.id = sets.id and f.a > s[-1]),
 total as (select s, count(*) as total from sets group by s),
 per as (select s, verdict, count(*) as support from sets group by s, verdict),
 mined as (select s, verdict, support, support::double / total as confidence from per join total using (s) where support >= (select least from need) and support::double / total >= 0.8::double),

@@ -19,8 +19,8 @@ LISTED = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-#: Share of the labelled pages that a mined token set needs, share of those with its verdict, and its largest size.
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.01, 0.8, 3
+#: Share of the labelled pages that a mined token set needs, and share of those with its verdict. Sets may have any size.
+MIN_SUPPORT, MIN_CONFIDENCE = 0.01, 0.8
 #: The verdict where neither a listed nor a mined rule fits.
 OTHERWISE = "allow"
 _VERDICT = "verdict="
@@ -61,18 +61,17 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     """`antecedent, verdict, support, confidence, rarest` from `tokens, verdict`; rules that never win are left out."""
     rows = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(_VERDICT), "verdict"))).alias("items"))
     found = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(rows).freqItemsets
-    found = found.filter(F.size("items") <= MAX_TOKENS + 1).select(
+    found = found.select(
         F.array_sort(F.filter("items", lambda x: ~x.startswith(_VERDICT))).alias("antecedent"),
         F.get(F.filter("items", lambda x: x.startswith(_VERDICT)), F.lit(0)).alias("label"), "freq",
-    ).filter(F.size("antecedent").between(1, MAX_TOKENS))
+    ).filter(F.size("antecedent") > 0)
     base = found.filter("label is null").select("antecedent", F.col("freq").alias("total"))
     rules = found.filter("label is not null").join(base, "antecedent").select(
         "antecedent", F.substring("label", len(_VERDICT) + 1, 100).alias("verdict"), F.col("freq").alias("support"), (F.col("freq") / F.col("total")).alias("confidence"),
     ).filter(F.col("confidence") >= min_confidence)
-    # a rule never wins against one with fewer of its tokens and no less confidence: that one fits too, with no less support
-    smaller = rules.select("antecedent", "verdict", "confidence", F.explode(F.expr(
-        "concat(transform(antecedent, x -> array(x)), flatten(transform(antecedent, (x, i) -> transform(slice(antecedent, i + 2, 9), y -> array(x, y)))))"
-    )).alias("part")).filter(F.size("part") < F.size("antecedent"))
+    # a rule never wins against one with a token less and no less confidence: that one fits too, with no less support
+    part = F.explode(F.transform("antecedent", lambda x: F.array_remove("antecedent", x)))
+    smaller = rules.filter(F.size("antecedent") > 1).select("antecedent", "verdict", "confidence", part.alias("part"))
     other = rules.select(F.col("antecedent").alias("part"), F.col("confidence").alias("other"))
     beaten = smaller.join(other, "part").filter("other >= confidence").select("antecedent", "verdict").distinct()
     rules = rules.join(beaten, ["antecedent", "verdict"], "left_anti")
