@@ -229,38 +229,6 @@ def test_suffix_array_and_prefixes():
             assert shared[b] == n
 
 
-def test_loss_differences(spark):
-    rows = [(1, "abcabc"), (2, "xyz xyz"), (3, None), (4, ""), (None, "abc"), (5, "é" * 30), (1, "abcabc")]
-    target = spark.createDataFrame([(1,), (1,), (None,), (77,)], "doc_id long")
-
-    def model(texts):
-        grams = Counter()
-        for t in texts:
-            t = b"\n\n" + t
-            grams.update(t[k - 2 : k + 1] for k in range(2, len(t)))
-        two, one = Counter(), Counter()
-        for g, n in grams.items():
-            two[g[1:]] += n
-            one[g[2:]] += n
-        total = sum(grams.values())
-
-        def p(g):
-            p1 = (one[g[2:]] + 1) / (total + 256)
-            p2 = (two[g[1:]] + 8 * p1) / (sum(n for h, n in two.items() if h[:1] == g[1:2]) + 8)
-            return (grams[g] + 8 * p2) / (sum(n for h, n in grams.items() if h[:2] == g[:2]) + 8)
-
-        return p
-
-    good, all_ = model([b"abcabc"] * 2), model([(t or "").encode() for _, t in rows])
-    got = lm_scoring.score(frame(spark, rows), target).collect()
-    assert sorted((str(r.doc_id), r.n_tokens) for r in got) == sorted((str(i), len((t or "").encode())) for i, t in rows)
-    by_id = {i: (t or "").encode() for i, t in rows}
-    for r in got:
-        t = b"\n\n" + by_id[r.doc_id]
-        each = [math.log(all_(t[k - 2 : k + 1]) / good(t[k - 2 : k + 1])) for k in range(2, len(t))]
-        assert r.loss_difference == pytest.approx(sum(each) / max(len(each), 1), abs=1e-5)
-
-
 def test_word_loss_differences(spark):
     rows = [(1, "the cat sat"), (2, "the  dog\nSAT the cat"), (3, None), (4, " "), (None, "the cat"), (5, "sat cat the"), (1, "the cat sat"), (6, "dog dog dog dog")]
     target = spark.createDataFrame([(1,), (1,), (None,), (77,)], "doc_id long")
@@ -283,6 +251,12 @@ def test_word_loss_differences(spark):
         assert (i, n) == (j, m) and x == pytest.approx(y, abs=1e-9)
 
 
+def test_word_scores_without_target(spark):
+    rows = [(1, "a b c"), (2, "a b " * 30_000)]
+    got = {r.doc_id: r for r in lm_scoring.word_score(frame(spark, rows), spark.createDataFrame([(9,)], "doc_id long")).collect()}
+    assert (got[1].n_tokens, got[2].n_tokens) == (3, 60_000) and all(math.isfinite(r.loss_difference) for r in got.values())
+
+
 def test_lm_query_counts_words(spark, folder):
     from ticketlake.llm.queries import QUERIES
 
@@ -346,7 +320,7 @@ def test_empty_tables(spark, name):
         "near": lambda: near_duplicates.near_duplicates(docs),
         "lines": lambda: line_dedup.drop_repeated_lines(docs),
         "suffix": lambda: suffix_array.remove_repeats(docs),
-        "lm": lambda: lm_scoring.score(docs, spark.createDataFrame([], "doc_id long")),
+        "lm": lambda: lm_scoring.word_score(docs, spark.createDataFrame([], "doc_id long")),
         "toxicity": lambda: toxicity.score(docs, toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))),
     }
     assert run[name]().count() == 0

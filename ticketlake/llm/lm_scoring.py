@@ -4,9 +4,8 @@ Both models are n-gram models over one vocabulary with the same smoothing; one i
 target documents, the other on all documents. A token's loss difference is its loss under the target model less its loss
 under the background model, and a document's score is the mean over its tokens: the lower, the more it is like the target.
 
-`word_score` has bigram models over words, whose counts grow with the corpus: they stay tables, are joined by word and
-by bigram, and only sums for each text come back. `score` has trigram models over the 256 byte values; there are at most
-2^24 trigrams however large the corpus, so their counts can go to every task.
+The models are bigram models over words, whose counts grow with the corpus: they stay tables, are joined by word and by
+bigram, and only sums for each text come back.
 """
 from __future__ import annotations
 
@@ -19,97 +18,10 @@ from pyspark.sql import functions as F
 
 from ticketlake.llm.common import UNSPACED, by_key, id_and_text, slices, text_bytes, words, written
 
-#: What stands before the first byte of a text.
-BEFORE = 0x0A
 #: Weight of the shorter context in a longer one.
 BLEND = 8.0
 
 
-def _trigrams(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Each byte with the two before it, as one number."""
-    d = data.astype(np.uint32)
-    one, two = np.full(len(d), BEFORE, np.uint32), np.full(len(d), BEFORE, np.uint32)
-    one[1:], two[2:] = d[:-1], d[:-2]
-    start = rows[:-1][np.diff(rows) > 0]
-    one[start], two[start] = BEFORE, BEFORE
-    second = start + 1
-    two[second[second < len(d)]] = BEFORE  # the start of a following row gets it anyway
-    return two << np.uint32(16) | one << np.uint32(8) | d
-
-
-def trigram_counts(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """`gram, target, background`: counts of every trigram in the documents whose doc_id is in `target`, and in all."""
-    marked = target.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct().withColumn("chosen", F.lit(True))
-    rows = id_and_text(docs).join(by_key(marked), "doc_id", "left").select("text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            data, rows = text_bytes(batch.column("text"))
-            gram = _trigrams(data, rows)
-            value, count = np.unique(gram, return_counts=True)
-            chosen = np.repeat(np.asarray(batch.column("chosen").to_numpy(zero_copy_only=False), bool), np.diff(rows))
-            own, n = np.unique(gram[chosen], return_counts=True)
-            there = np.zeros(len(value), np.int64)
-            there[np.searchsorted(value, own)] = n
-            yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int32)), pa.array(there), pa.array(count)], ["gram", "target", "background"])
-
-    return rows.mapInArrow(run, "gram int, target bigint, background bigint").groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def _log_probabilities(gram: np.ndarray, count: np.ndarray):
-    """A function that gives log p(c | a b) of all 65,536 (b, c) after one byte a."""
-    first, rest = gram >> 16, gram & 0xFFFF
-    pairs = np.bincount(rest, count, minlength=1 << 16).reshape(256, 256)
-    ones = pairs.sum(axis=0)
-    p1 = (ones + 1) / (ones.sum() + 256)
-    p2 = (pairs + BLEND * p1) / (pairs.sum(axis=1, keepdims=True) + BLEND)
-
-    def after(a: int) -> np.ndarray:
-        lo, hi = np.searchsorted(first, [a, a + 1])
-        own = np.zeros(1 << 16)
-        own[rest[lo:hi]] = count[lo:hi]
-        own = own.reshape(256, 256)
-        return np.log((own + BLEND * p2) / (own.sum(axis=1, keepdims=True) + BLEND)).ravel()
-
-    return after
-
-
-def loss_differences(counts: DataFrame) -> np.ndarray:
-    """The loss difference of each of the 2^24 trigrams. `counts` has at most 2^24 short rows."""
-    table = counts.select("gram", "target", "background").toArrow()
-    gram = np.asarray(table.column("gram")).astype(np.int64)
-    order = np.argsort(gram)
-    gram = gram[order]
-    target = _log_probabilities(gram, np.asarray(table.column("target"))[order].astype(np.float64))
-    background = _log_probabilities(gram, np.asarray(table.column("background"))[order].astype(np.float64))
-    out = np.empty((256, 1 << 16), np.float32)
-    for a in range(256):
-        out[a] = background(a) - target(a)
-    return out.ravel()
-
-
-def score(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """`doc_id, n_tokens, loss_difference` for every row of `docs`.
-
-    target: `doc_id` of the target documents; nulls and repeats in it do not matter. If it names none, the target model
-    is the uniform one. A null or empty text has 0 tokens and a difference of 0. Repeated rows and null ids come back as they
-    are; a repeated target row counts as often as it occurs.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(loss_differences(trigram_counts(docs, target)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            data, rows = text_bytes(batch.column("text"))
-            n = np.diff(rows)
-            some = np.flatnonzero(n)
-            mean = np.zeros(len(n))
-            if len(some):
-                mean[some] = np.add.reduceat(shared.value[_trigrams(data, rows)].astype(np.float64), rows[:-1][some]) / n[some]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(mean)], ["doc_id", "n_tokens", "loss_difference"])
-
-    return id_and_text(docs).mapInArrow(run, "doc_id bigint, n_tokens bigint, loss_difference double")
-
-
 def _bigrams(texts: DataFrame) -> DataFrame:
     """`key, chosen, before, word, n`: how often each word follows each in each text; `before` is null at the start."""
 
@@ -138,7 +50,9 @@ def _bigrams(texts: DataFrame) -> DataFrame:
 def word_score(docs: DataFrame, target: DataFrame) -> DataFrame:
     """`doc_id, n_tokens, loss_difference` for every row of `docs`, under bigram models of words.
 
-    Words are runs without ASCII white space, A-Z folded. `target`, nulls, repeats and empty texts are as in `score`.
+    Words are runs without ASCII white space, A-Z folded. target: `doc_id` of the target documents; nulls and repeats in it
+    do not matter. If it names none, the target model knows the vocabulary only. A null or empty text has 0 tokens and a
+    difference of 0. Repeated rows and null ids come back as they are; a repeated target row counts as often as it occurs.
     """
     marked = target.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct().withColumn("chosen", F.lit(True))
     rows = id_and_text(docs).withColumn("key", F.xxhash64("text"))
