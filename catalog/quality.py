@@ -434,7 +434,10 @@ def _(t):
     return L.impute(d, ["z"], "zero")
 
 
-@query("ml12_median_imputation")
+_MEDIAN = "COALESCE({c}::DOUBLE, (SELECT quantile_cont({c}::DOUBLE, 0.5) FROM stg_tickets)) AS {c}"
+
+
+@query("ml12_median_imputation", f"SELECT ticket_id, {_MEDIAN.format(c='resolution_time_hours')}, {_MEDIAN.format(c='waiting_duration')} FROM stg_tickets")
 def _(t):
     d = Warehouse(t).stg_tickets.select("ticket_id", "resolution_time_hours", "waiting_duration")
     return L.impute(d, ["resolution_time_hours", "waiting_duration"])

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ticketlake.functions import cleanse as X
 from ticketlake.operators.ordering import top_k
+from ticketlake.operators.selection import exact_quantiles
 
 
 # ---- preparation ---------------------------------------------------------------------------------
@@ -42,10 +43,11 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.
 
 
 def impute(df: DataFrame, columns, strategy: str = "median") -> DataFrame:
+    """Missing values (null or NaN) as zero or as the exact median; a column without values stays as it is."""
     if strategy == "zero":
         return df.fillna(0, subset=list(columns))
-    doubles = df.withColumns({c: F.col(c).cast("double") for c in columns})
-    return Imputer(inputCols=list(columns), outputCols=list(columns), strategy=strategy, relativeError=1e-6).fit(doubles).transform(doubles)
+    medians = exact_quantiles(df, columns, (0.5,))
+    return as_doubles(df, columns).fillna({c: m[0] for c, m in medians.items() if m[0] is not None})
 
 
 # ---- triage --------------------------------------------------------------------------------------

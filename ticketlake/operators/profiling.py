@@ -1,12 +1,12 @@
 """Profiling operators; every report is one aggregation turned into rows."""
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ticketlake.functions import cleanse as X
+from ticketlake.operators.selection import exact_quantiles
 
 QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
@@ -36,35 +36,6 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return groups.agg(F.sum("n").alias("row_count"), (F.sum("n") - F.count("*")).alias("duplicates"))
 
 
-def exact_quantiles(df: DataFrame, column: str, quantiles=QUANTILES, buckets: int = 1000) -> DataFrame:
-    """(column_name, p25, ...): exact linear quantiles without gathering the values.
-
-    Values are counted, laid out in ``buckets`` equal ranges and summed up inside each range, shifted
-    by the sizes of the ranges before it; only the rows that hold a wanted position remain.
-    """
-    v = F.col(column).cast("double")
-    low, high, n = df.agg(F.min(v)).scalar(), df.agg(F.max(v)).scalar(), df.agg(F.count(v)).scalar()
-    slot = F.coalesce(F.floor((F.col("v") - low) / F.nullif(high - low, F.lit(0.0)) * buckets), F.lit(0))
-    counts = df.filter(v.isNotNull()).groupBy(v.alias("v")).agg(F.count("*").alias("c")).withColumn("b", slot)
-    before = Window.orderBy("sb").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.groupBy(F.col("b").alias("sb")).agg(F.sum("c").alias("s")).select("sb", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("shift"))
-    inside = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counts.withColumn("upto", F.sum("c").over(inside)).join(shifts, F.col("b") == F.col("sb")).select(
-        "v", (F.col("shift") + F.col("upto")).alias("end"), (F.col("shift") + F.col("upto") - F.col("c")).alias("begin"), n.alias("n")
-    )
-
-    def value_at(index):
-        return F.max(F.when((F.col("begin") <= index) & (index < F.col("end")), F.col("v")))
-
-    out = []
-    for q in quantiles:
-        position = F.lit(float(q)) * (F.col("n") - 1)
-        lo, hi = value_at(F.floor(position)), value_at(F.ceil(position))
-        share = F.max(position - F.floor(position))
-        out.append(X.rounded(lo + (hi - lo) * share, 4).alias(f"p{int(q * 100)}"))
-    return placed.agg(*out).select(F.lit(column).alias("column_name"), *[f"p{int(q * 100)}" for q in quantiles])
-
-
 def describe(df: DataFrame, columns, quantiles=QUANTILES) -> DataFrame:
     """count, mean, std, min, exact quantiles (linear), max per column."""
     aggs = []
@@ -77,7 +48,10 @@ def describe(df: DataFrame, columns, quantiles=QUANTILES) -> DataFrame:
     rows = F.array(
         *[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{k}").alias(k) for k in ("count", "mean", "std", "min", "max")]) for c in columns]
     )
-    shares = reduce(DataFrame.unionByName, [exact_quantiles(df, c, quantiles) for c in columns])
+    exact = exact_quantiles(df, columns, quantiles)
+    names = [f"p{int(q * 100)}" for q in quantiles]
+    shares = df.sparkSession.createDataFrame([(c, *exact[c]) for c in columns], "column_name string, " + ", ".join(f"{n} double" for n in names))
+    shares = shares.select("column_name", *[X.rounded(n, 4).alias(n) for n in names])
     return df.agg(*aggs).select(F.inline(rows)).join(shares, "column_name")
 
 
