@@ -13,6 +13,7 @@ from ticketlake.plans import corpus as C, ml_dataset
 from ticketlake.plans.warehouse import Warehouse
 from ticketlake.session import AS_OF, checkpoint_dir
 from ticketlake.sources import ingest as I, sinks as K
+from ticketlake.sources.keyed_table import KeyedTable
 from ticketlake.streaming import incremental as INC, ratelimit as RL
 
 YEARS = (2013, 2014, 2015)
@@ -124,18 +125,22 @@ def _(t):
     base = t.embeddings.select("vec_id", F.size("embedding").alias("dims"), "label")
     old = base.withColumn("refreshed", F.lit(False))
     new = base.filter(F.col("vec_id") % 2 == 0).withColumn("refreshed", F.lit(True))
-    table, path = K.upsert(old, new, "vec_id"), fresh(t, "vectors")
-    K.write_vector_table(table, path, "vec_id", expected=base.count())
-    return K.read_vector_table(t.spark, path)
+    table = KeyedTable(t.spark, fresh(t, "vectors"))
+    table.create(old, "vec_id")
+    table.upsert(new)
+    return table.read()
 
 
-@query("src13_dense_sparse_payload", "SELECT chunk_id, TRUE AS has_dense, TRUE AS has_sparse FROM corpus_chunks")
+@query("src13_dense_sparse_payload", "SELECT chunk_id, TRUE AS has_dense, COALESCE(n, 0) AS n_terms FROM corpus_chunks LEFT JOIN (SELECT doc AS chunk_id, COUNT(*) AS n FROM idx_svec WHERE value > 0 GROUP BY 1) USING (chunk_id)")
 def _(t):
+    """Payload, dense vector and TF-IDF vector of every chunk, stored by key."""
     s = Search(t)
-    sparse = SP.hashed_vector(s.chunks, "chunk_id", "bm25_tokens").withColumnRenamed("doc", "chunk_id")
+    sparse = SP.sparse_vectors(s.index()).withColumnRenamed("doc", "chunk_id")
     dense = s.vectors().select(F.col("doc").alias("chunk_id"), "embedding")
     table = K.build_vector_table(s.chunks.select("chunk_id", "ticket_pk"), dense, sparse)
-    return table.select("chunk_id", (F.size("embedding") > 0).alias("has_dense"), (F.size("sparse") > 0).alias("has_sparse"))
+    stored = KeyedTable(t.spark, fresh(t, "payload"))
+    stored.create(table, "chunk_id")
+    return stored.read().select("chunk_id", (F.size("embedding") > 0).alias("has_dense"), F.coalesce(F.size("sparse"), F.lit(0)).cast("long").alias("n_terms"))
 
 
 @query("snk1_gold_export", "SELECT risk_tier, COUNT(*) AS n FROM gold_risk GROUP BY 1")

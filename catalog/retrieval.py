@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalog.registry import cte, query, rnd
 from catalog.texts import sql_raw_words, texts
 from ticketlake import rules as R
-from ticketlake.functions import cleanse as X, text as T, vectors as V
+from ticketlake.functions import cleanse as X, vectors as V
 from ticketlake.operators import blocks as BL, context as CX, dense as D, evaluation as E, fusion as FU, inverted_vectors as IV, sparse as SP
 from ticketlake.operators.ordering import rank_in_buckets, rank_within, top_k
 from ticketlake.operators.relational import fetch_by_rank

@@ -168,14 +168,6 @@ def test_ingestion_counts_rows_of_its_own_run(spark, tmp_path):
         assert [r.row_count for r in report.collect()] == [10]
 
 
-def test_vector_table_has_one_current_version(spark, tmp_path):
-    from ticketlake.sources import sinks as K
-
-    for n in (5, 4):
-        K.write_vector_table(spark.range(n).withColumnRenamed("id", "chunk_id"), str(tmp_path / "v"), expected=n)
-    assert K.read_vector_table(spark, str(tmp_path / "v")).count() == 4
-
-
 def test_closed_stream_has_every_window(spark):
     from ticketlake.streaming import incremental as INC
 
