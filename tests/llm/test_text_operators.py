@@ -251,6 +251,17 @@ def test_word_loss_differences(spark):
         assert (i, n) == (j, m) and x == pytest.approx(y, abs=1e-9)
 
 
+def test_word_scores_do_not_depend_on_slices(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i if i % 9 else None, " ".join(rng.choice(["a", "b", "c", "dd", "é"]) for _ in range(rng.randint(0, 30)))) for i in range(40)]
+    target = spark.createDataFrame([(i,) for i in range(0, 40, 3)], "doc_id long")
+    whole = pairs(lm_scoring.word_score(frame(spark, rows), target), "doc_id", "n_tokens", "loss_difference")
+    monkeypatch.setattr(lm_scoring, "SLICE", 300)
+    monkeypatch.setattr(lm_scoring, "PART", 400)
+    for (i, n, x), (j, m, y) in zip(pairs(lm_scoring.word_score(frame(spark, rows), target), "doc_id", "n_tokens", "loss_difference"), whole, strict=True):
+        assert (i, n) == (j, m) and x == pytest.approx(y, abs=1e-9)
+
+
 def test_word_scores_without_target(spark):
     rows = [(1, "a b c"), (2, "a b " * 30_000)]
     got = {r.doc_id: r for r in lm_scoring.word_score(frame(spark, rows), spark.createDataFrame([(9,)], "doc_id long")).collect()}
