@@ -87,6 +87,29 @@ def test_bm25_matches_brute_force(spark, vocabulary):
         assert np.allclose([s for s, _ in mine], [s for s, _ in want], atol=2e-6)
 
 
+def test_search_in_place_equals_the_joined_one(spark, monkeypatch):
+    rng = random.Random(3)
+    corpus = [(f"d{i:03d}" if i else None, [f"term{min(rng.randint(0, 400), rng.randint(0, 400))}" for _ in range(rng.randint(0, 20))]) for i in range(300)]
+    corpus += [(f"e{i}", ["term1", "term2"]) for i in range(50)]  # more equal scores than are kept
+    asked = spark.createDataFrame([(f"q{i}" if i else None, " ".join(f"term{rng.randint(0, 450)}" for _ in range(8))) for i in range(9)] + [("copies", "term2 term1")], "query_id string, text string")
+    index = SP.build_index(spark.createDataFrame(corpus, "doc string, tokens array<string>"), "doc", "tokens")
+    order = ["query_id", "rank", "doc", "score"]
+
+    def found():
+        return [SP.bm25_search(index, asked, 7).select(order).sort(order).collect(), SP.sparse_search(index, asked, 7).select(order).sort(order).collect()]
+
+    monkeypatch.setattr(SP, "BATCH_QUERIES", 4)
+    monkeypatch.setattr(SP, "BLOCK_CELLS", 600)
+    monkeypatch.setattr(SP, "KEPT_ROWS", 30)
+    near = found()
+    plan = SP.sparse_search(index, asked, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" in plan  # no row for each document and query
+    monkeypatch.setattr(SP, "BROADCAST_QUERY_TERMS", 0)
+    for a, b in zip(near, found(), strict=True):
+        assert [(r.query_id, r["rank"], r.doc) for r in a] == [(r.query_id, r["rank"], r.doc) for r in b]
+        assert np.allclose([r.score for r in a], [r.score for r in b], atol=2e-8)
+
+
 def test_dense_paths_agree(spark, monkeypatch):
     monkeypatch.setattr(D, "VECTORS_PER_BLOCK", 100)
     monkeypatch.setattr(D, "BROADCAST_QUERIES", 7)
