@@ -85,3 +85,8 @@ def test_nothing_to_learn(spark):
     assert model.classes == [[], [3]]
     assert {(r.y_pred, r.z_pred) for r in B.predict(df, model).collect()} == {(None, 3)}
     assert B.predict(df.limit(0), B.fit(df.limit(0), "id", ["a"], ["y"], rounds=1)).count() == 0
+
+
+def test_all_cores_share_the_rows_of_a_level():
+    assert B.partitions(72 << 20, 12) == 12 and B.partitions(100, 12) == 1 and B.partitions(3 << 20, 12) == 3
+    assert B.partitions(32 << 30, 12) == 1024

@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ticketlake.session import checkpoint_dir
 
-#: Bins of a feature, rounds whose trees are evaluated on the fly before the rows' scores are written, and bytes of a partition.
-BINS, CHUNK, PART_BYTES = 64, 10, 32 << 20
+#: Bins of a feature, rounds whose trees are evaluated on the fly before the rows' scores are written, bytes of a partition, and
+#: bytes from which a partition is worth a core of its own.
+BINS, CHUNK, PART_BYTES, LEAST_BYTES = 64, 4, 32 << 20, 1 << 20
 #: Penalty on squared leaf values, least curvature of a child, and scale of the fixed-point sums.
 PENALTY, LEAST_CHILD, SCALE = 1.0, 1.0, float(1 << 24)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -63,11 +64,15 @@ def _lists(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
 def route(tree: Round, k: int, bins: np.ndarray, levels: int) -> np.ndarray:
     """Node of each row in the tree of class k after so many levels."""
     node = np.ones(len(bins), np.int64)
-    rows = np.arange(len(bins))
+    flat, row = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+    feature, cut = np.maximum(tree.feature[k], 0).astype(np.int64), tree.cut[k]
+    inner = tree.feature[k] >= 0
     for _ in range(levels):
-        f = tree.feature[k][node]
-        right = bins[rows, np.maximum(f, 0)] > tree.cut[k][node]
-        node = np.where(f >= 0, 2 * node + right, node)
+        on = inner[node]
+        if not on.any():
+            break
+        right = flat[row + feature[node]] > cut[node]
+        node = np.where(on, 2 * node + right, node)
     return node
 
 
@@ -195,6 +200,14 @@ def _stored(rows: DataFrame, folder: str, parts: int | None = None) -> DataFrame
     return stored.coalesce(1) if parts == 1 else stored  # one partition needs no shuffle to be added up
 
 
+def partitions(size: int, cores: int) -> int:
+    """Every level waits for its slowest task, so all cores share the rows as soon as there are enough of them.
+
+    More partitions than that only when they get too large: each sends sums as large as a tree level.
+    """
+    return max(1, size // PART_BYTES, min(cores, size // LEAST_BYTES))
+
+
 def fit(
     df: DataFrame, key: str, features, targets, train: dict[str, str] | None = None,
     rounds: int = 200, depth: int = 6, rate: float = 0.1, subsample: float = 0.8, columns: float = 0.8, seed: int = 42,
@@ -210,7 +223,7 @@ def fit(
         return model
     folder = f"{checkpoint_dir(df.sparkSession)}/boosting-{uuid.uuid4().hex}"
     first = _stored(rows, folder)
-    parts = max(1, first.count() * (8 * len(owner) + 4 * (width + len(targets)) + 8) // PART_BYTES)
+    parts = partitions(first.count() * (8 * len(owner) + 4 * (width + len(targets)) + 8), df.sparkSession.sparkContext.defaultParallelism)
     rows = _stored(first, folder, parts)
     rng = np.random.default_rng(seed)
     pending: list[Round] = []
