@@ -148,6 +148,18 @@ def test_isolation_forest_finds_the_outlier(spark):
     assert scored.orderBy(F.col("anomaly_score").desc()).first()["id"] == 999
 
 
+@pytest.mark.parametrize("n, scale, copies", [(900, 1, False), (8, 1, False), (900, 1000, True), (300, 0, False)])
+def test_nearest_points_equal_all_distances(n, scale, copies):
+    v = np.random.default_rng(n).normal(size=(n, 7)) * scale
+    if copies:
+        v[::2] = v[0]
+    u, same = v[:64], np.eye(min(64, n), n, dtype=bool)
+    d = np.sqrt(((u[:, None, :] - v[None, :, :]) ** 2).sum(axis=2))
+    d[same] = np.inf
+    want = [(i, j, d[i, j]) for i in range(len(d)) for j in np.argsort(d[i], kind="stable")[:10] if np.isfinite(d[i, j])]
+    assert list(zip(*L._nearest(u, v, same, 10))) == want
+
+
 def test_local_outlier_factor_finds_the_outlier(spark):
     rng = np.random.default_rng(2)
     rows = [(i, *map(float, rng.normal(size=2))) for i in range(200)] + [(999, 30.0, 30.0)]

@@ -198,6 +198,31 @@ def isolation_forest(df: DataFrame, key: str, features, trees: int = 200, sample
 
 
 # ---- local outlier factor ------------------------------------------------------------------------
+#: Rows of a block of points that is compared with another one.
+LOF_BLOCK = 20_000
+
+
+def _nearest(u: np.ndarray, v: np.ndarray, same: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row in u, row in v and distance of the k nearest rows of v to each row of u, ties by place; `same` pairs are left out.
+
+    A matrix product finds all pairs that can be among them, with room for its rounding; only those are measured exactly.
+    """
+    near = u @ (-2 * v.T)
+    uu, vv = (u**2).sum(axis=1), (v**2).sum(axis=1)
+    near += uu[:, None]
+    near += vv
+    near[same | np.isnan(near)] = np.inf
+    cut = np.partition(near, k - 1, axis=1)[:, k - 1] if near.shape[1] > k else np.full(len(u), np.inf)
+    room = 1e-10 * (uu + (vv[np.isfinite(vv)].max() if np.isfinite(vv).any() else 0.0) + 1)
+    rows, at = np.nonzero((near <= (cut + room)[:, None]) & np.isfinite(near))
+    dist = np.sqrt(((u[rows] - v[at]) ** 2).sum(axis=1))
+    order = np.lexsort((at, dist, rows))
+    first = np.flatnonzero(np.diff(rows[order], prepend=-1))
+    within = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    keep = order[within < k]
+    return rows[keep], at[keep], dist[keep]
+
+
 def local_outlier_factor(df: DataFrame, key: str, features, k: int = 10) -> DataFrame:
     """Local outlier factor from exact nearest neighbours.
 
@@ -207,7 +232,7 @@ def local_outlier_factor(df: DataFrame, key: str, features, k: int = 10) -> Data
     stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(features)], *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(features)]).first()
     x = F.array(*[(F.coalesce(F.col(c).cast("double"), F.lit(stats[f"m{i}"] or 0.0)) - (stats[f"m{i}"] or 0.0)) / (stats[f"s{i}"] or 1.0) for i, c in enumerate(features)])
     points = df.select(F.col(key).cast("string").alias("id"), x.alias("x"))
-    blocks = max(1, -(-df.count() // 5_000))
+    blocks = max(1, -(-df.count() // LOF_BLOCK))
     own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = points.withColumn("a", own).withColumn("b", all_blocks)
@@ -218,16 +243,12 @@ def local_outlier_factor(df: DataFrame, key: str, features, k: int = 10) -> Data
             return pd.DataFrame({"id": [], "other": [], "dist": []})
         u, v = np.stack(p["x"].to_numpy()), np.stack(q["x_"].to_numpy())
         ids, others = p["id"].to_numpy(dtype=object), q["id_"].to_numpy(dtype=object)
+        codes = pd.factorize(np.concatenate([ids, others]))[0]
         out = []
-        for i in range(0, len(u), 512):
-            d = np.sqrt(np.maximum(((u[i : i + 512, None, :] - v[None, :, :]) ** 2).sum(axis=2), 0.0))
-            d[ids[i : i + 512, None] == others[None, :]] = np.inf
-            pick = np.argsort(d, axis=1, kind="stable")[:, :k]
-            rows = np.repeat(np.arange(len(d)), pick.shape[1])
-            flat = pick.ravel()
-            out.append(pd.DataFrame({"id": ids[i : i + 512][rows], "other": others[flat], "dist": d[rows, flat]}))
-        both = pd.concat(out, ignore_index=True)
-        return both[np.isfinite(both["dist"])]
+        for i in range(0, len(u), 256):
+            rows, at, dist = _nearest(u[i : i + 256], v, codes[i : min(i + 256, len(u)), None] == codes[None, len(u) :], k)
+            out.append(pd.DataFrame({"id": ids[i : i + 256][rows], "other": others[at], "dist": dist}))
+        return pd.concat(out, ignore_index=True)
 
     pairs = left.groupBy("a", "b").cogroup(right.groupBy("a_", "b_")).applyInPandas(near, "id string, other string, dist double")
     knn = top_k(pairs, "id", [F.col("dist"), F.col("other")], k, "_r").drop("_r")
