@@ -110,6 +110,50 @@ def test_search_in_place_equals_the_joined_one(spark, monkeypatch):
         assert np.allclose([r.score for r in a], [r.score for r in b], atol=2e-8)
 
 
+def _saved(spark, tmp_path, rows, **sizes):
+    index = SP.build_index(spark.createDataFrame(rows, "doc string, tokens array<string>"), "doc", "tokens")
+    return index, SP.save_index(index, str(tmp_path / "index"), **sizes)
+
+
+def test_a_saved_index_has_one_file_for_each_bucket_and_the_same_rows(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(f"d{i:04d}", [f"t{rng.randint(0, 99)}" for _ in range(rng.randint(0, 30))]) for i in range(600)]
+    rows += [rows[3], (None, ["t1", "t1", "t2"]), (None, ["t1", "t3"]), ("empty", []), ("none", None)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index, saved = _saved(spark, tmp_path, rows, least=7)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "index" / "postings").glob("*.parquet"))) <= 7
+
+    def content(x):
+        return [sorted((tuple(r) for r in df.collect()), key=str) for df in (x.postings.select("doc", "term", "tf", "dl"), x.terms, x.docs.select("doc"), x.stats)]
+
+    assert content(saved) == content(index)
+    grown = SP.save_index(index, str(tmp_path / "more"), bucket_rows=400)
+    assert len(list((tmp_path / "more" / "postings").glob("*.parquet"))) > 15 and content(grown) == content(index)
+
+
+def test_sparse_vectors_shuffle_only_rare_terms(spark, tmp_path, monkeypatch):
+    rng = random.Random(6)
+    rows = [(f"d{i:03d}" if i else None, [f"term{int(rng.paretovariate(0.8)) % 200}" for _ in range(rng.randint(0, 20))]) for i in range(300)]
+    _, saved = _saved(spark, tmp_path, rows)
+    before = sorted(map(tuple, SP.sparse_vectors(saved).collect()))
+    monkeypatch.setattr(SP, "BROADCAST_TERMS", 12)
+    split = SP.sparse_vectors(saved)
+    assert "LeftAnti" in split._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, split.collect())) == before
+    tf, df = {}, {}
+    for doc, terms in rows:
+        for x in terms:
+            tf.setdefault(doc, {})[x] = tf.get(doc, {}).get(x, 0) + 1
+    for terms in tf.values():
+        for x in terms:
+            df[x] = df.get(x, 0) + 1
+    want = {(d, x): c / sum(terms.values()) * math.log(1 + (len(rows) - df[x] + 0.5) / (df[x] + 0.5)) for d, terms in tf.items() if d for x, c in terms.items()}
+    assert {(d, x): pytest.approx(v) for d, x, v in before} == want
+
+
 def test_dense_paths_agree(spark, monkeypatch):
     monkeypatch.setattr(D, "VECTORS_PER_BLOCK", 100)
     monkeypatch.setattr(D, "BROADCAST_QUERIES", 7)
