@@ -61,6 +61,16 @@ def test_terms_reach_the_scan(spark, tmp_path, asked):
     assert "pos:array" not in plan.split("ReadSchema", 1)[1].split("\n")[0]
 
 
+def test_tasks_stay_small(spark, tmp_path, asked):
+    """Partitions follow the postings, in order of term and range, and the blocks are the same."""
+    index, blocks = built(spark, tmp_path, corpus(spark, 4, 2000), 16)
+    cut = B.save_blocks(index, str(tmp_path / "cut"), 16, part_rows=500)
+    rows = cut.blocks.groupBy(F.input_file_name()).agg(F.sum("n").alias("n"), F.min(F.struct("term", "block")).alias("a"), F.max(F.struct("term", "block")).alias("z")).sort("a").collect()
+    assert len(rows) > 20 and max(r.n for r in rows) < 2000
+    assert all(x.z < y.a for x, y in zip(rows, rows[1:]))
+    assert sorted(map(str, cut.blocks.collect())) == sorted(map(str, blocks.blocks.collect()))
+
+
 def test_empty_index(spark, tmp_path, asked):
     _, blocks = built(spark, tmp_path, corpus(spark, 3, 0), 16)
     assert B.pruned_search(blocks, asked, 5).count() == 0
