@@ -7,6 +7,7 @@ from ticketlake import rules as R
 from ticketlake.functions import cleanse as X, scores as S, text as T
 from ticketlake.operators.ordering import label_encode
 from ticketlake.operators.relational import drop_duplicates_ordered, evaluate_once
+from ticketlake.session import written_once
 
 TEXT = "retrieval_text_clean"
 CLEAN_COLUMNS = (
@@ -92,6 +93,8 @@ def with_features(clean_df: DataFrame, encode: bool = True) -> DataFrame:
         }
     )
     if encode:
+        # the classes of each column are read from the rows first, and cleaning is the costly part
+        df = written_once(df, "features")
         for column in ("source_system", "similarity_method"):
             df = label_encode(df, column)
     return df
@@ -198,7 +201,7 @@ def pair_features(clean_df: DataFrame) -> DataFrame:
             },
         ).drop("_w")
         df = df.withColumn(f"{s}_complexity_score", T.complexity(f"{s}_avg_word_length", f"{s}_unique_word_ratio", f"{s}_word_count"))
-    df = label_encode(df, "priority")
+    df = label_encode(written_once(df, "pairs"), "priority")
     return df.withColumns(
         {
             "retrieval_quality_score": T.row_mean(

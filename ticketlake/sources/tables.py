@@ -9,6 +9,8 @@ NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
+#: Bytes of a text table's files that make one partition.
+PART_BYTES = 16 << 20
 TEXTS = ("documents", "pages", "conversations")
 
 
@@ -24,8 +26,9 @@ class Tables:
             raise AttributeError(name)
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         if name in TEXTS and len(df.inputFiles()) < self.spark.sparkContext.defaultParallelism:
-            # fewer files than cores: text work is CPU-bound, so spread the rows first
-            return df.repartition(self.spark.sparkContext.defaultParallelism)
+            # fewer files than cores: text work is CPU-bound, so spread the rows first, in partitions that do not grow with the table
+            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+            return df.repartition(max(self.spark.sparkContext.defaultParallelism, -(-size // PART_BYTES)))
         return df
 
     def bronze(self, name: str) -> DataFrame:
