@@ -1,7 +1,9 @@
 """Text operators against plain Python on small inputs."""
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -79,3 +81,16 @@ def test_query_expansion_key_case(spark):
     df = spark.createDataFrame([("my VPN is slow",), ("vpn",), ("nothing",)], "c string")
     assert [r[0] for r in df.select(T.expand_query("c")).collect()] == ["my VPN is slow slow sluggish performance timeout latency delay", "vpn", "nothing"]
     assert df.select(T.expand_query("c", fix_case=True)).collect()[1][0] == "vpn VPN remote access tunnel connection network"
+
+
+def test_few_texts_of_a_batch_are_python_objects_at_a_time():
+    texts = pa.array([f"text {k} " + "x" * 20_000 for k in range(1000)] + [None, "a b a b a b c"])
+    tracemalloc.start()
+    try:
+        got = T.collapse_batch(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8_000_000  # the batch has 20 MB
+    assert got.to_pylist() == [None if t is None else T.collapse_repeats(t).strip() for t in texts.to_pylist()]
+    assert T.collapse_batch(pa.array([], pa.string())).to_pylist() == []

@@ -5,7 +5,7 @@ All patterns are linear on whole texts. Whitespace follows the Unicode definitio
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
 from ticketlake import rules as R
@@ -284,9 +284,16 @@ def collapse_repeats(s: str) -> str:
     return "".join(out)
 
 
-@F.pandas_udf(T.StringType())
-def remove_repeated_phrases(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else collapse_repeats(t).strip())
+def collapse_batch(texts: pa.Array, rows: int = 64) -> pa.Array:
+    """`collapse_repeats` of every text; only ``rows`` of a batch are Python objects at a time."""
+    parts = (texts.slice(k, rows).to_pylist() for k in range(0, len(texts), rows))
+    done = [pa.array([None if t is None else collapse_repeats(t).strip() for t in part], pa.string()) for part in parts]
+    return pa.concat_arrays(done) if done else pa.array([], pa.string())
+
+
+@F.arrow_udf(T.StringType())
+def remove_repeated_phrases(texts: pa.Array) -> pa.Array:
+    return collapse_batch(texts)
 
 
 def spaced_words(col) -> Column:
