@@ -149,7 +149,11 @@ def networks(bronze: DataFrame) -> DataFrame:
 
 
 def software(bronze: DataFrame) -> DataFrame:
-    """One row per distinct installation; hot and worth materialising (``sinks.materialize``)."""
+    """One row per distinct installation; hot and worth materialising (``sinks.materialize``).
+
+    Few rows repeat, so the raw columns move once, by installation, and equal rows are told where they meet; the derived
+    ones, several times as wide, are neither hashed before a shuffle nor shuffled.
+    """
     key = F.md5(
         F.concat(
             X.composite_key("source_year", "HARDWARE_ID", "ID"),
@@ -159,7 +163,7 @@ def software(bronze: DataFrame) -> DataFrame:
             F.coalesce("VERSION", F.lit("")),
         )
     )
-    return bronze.select(
+    return bronze.repartition("source_year", "HARDWARE_ID", "ID").select(
         key.alias("software_pk"),
         F.col("ID").alias("software_id"),
         F.col("HARDWARE_ID").alias("hardware_id"),
