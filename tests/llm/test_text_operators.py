@@ -304,6 +304,42 @@ def test_toxicity_reads_no_held_out_label(spark):
     assert (toxicity.fit(docs, labels) == toxicity.fit(docs, turned)).all()
 
 
+def test_toxicity_fits_in_parts(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    plain = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(2000)]
+    texts, toxic = [], []
+    for i in range(400):
+        w = [rng.choice(plain) for _ in range(400)]
+        w[7:7] = ["scoundrel"] * (i % 4 == 0)
+        texts += [" ".join(w)] * (1 + i % 2)  # copies count once
+        toxic += [int(i % 4 == 0)] * (1 + i % 2)
+    texts[5] = None
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(toxic)], ["text", "toxic"])
+    whole = toxicity._fit(iter([batch]))
+    monkeypatch.setattr(toxicity, "STEP_BYTES", 1 << 15)
+    monkeypatch.setattr(toxicity, "FIT_TOKENS", 1 << 12)
+    tracemalloc.start()
+    parts = toxicity._fit(iter([batch.slice(0, 100), batch.slice(100)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(whole, parts, atol=1e-9) and np.abs(whole).max() > 0.5
+    assert peak < 48 << 20  # the weights take 2 MB an array, whatever the sample is; all tokens and chains at once took 79 MB
+
+
+def test_toxicity_tags_rows_whatever_their_columns(spark):
+    docs = frame(spark, NASTY).select(F.struct("key").alias("text 2"), "text", "doc_id")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, toxic int"))
+    as_bytes = docs.withColumn("text", F.col("text").cast("binary"))
+    got = [toxicity.tag(d, model) for d in (docs, as_bytes)]
+    assert pairs(got[0], "doc_id", "score", "spans") == pairs(got[1], "doc_id", "score", "spans")
+    assert pairs(got[0].select("doc_id", "text", F.col("`text 2`.key").alias("key")), "doc_id", "text", "key") == pairs(frame(spark, NASTY), "doc_id", "text", "key")
+
+
 def test_marginals_equal_enumeration():
     import itertools
 

@@ -5,7 +5,8 @@ tokens of toxic documents that no clean document has are left open, all others a
 partly labelled chains. Forward-backward marginals of each token give the spans and, through a logistic calibration on
 documents that the field has not seen, the score of a document.
 
-Fitting uses a bounded sample of labelled documents, in one task; scoring visits every document where it lies.
+Fitting uses a bounded sample of labelled documents, in one task, which holds them as codes of their words and works on some of them
+at a time; scoring visits every document where it lies.
 """
 from __future__ import annotations
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketlake.llm.common import ALNUM, id_and_text, scramble, shingles, slices, span_hashes, text_bytes, word_spans
+from ticketlake.llm.common import ALNUM, id_and_text, scramble, shingles, slices, span_hashes, text_bytes, word_spans, words
 
 #: Labelled documents in the sample for fitting, and the size up to which a document may be in it.
 SAMPLE, SAMPLE_TEXT = 6_000, 1 << 16
@@ -31,6 +32,8 @@ STEPS = 25
 PREFIXES, SUFFIXES = (4, 5, 6), (4,)
 #: Chain positions that are worked off one after the other, in all blocks at once.
 BLOCK = 512
+#: Text bytes that are tokenized or scored, and tokens of the sample that are fitted on, at a time.
+STEP_BYTES, FIT_TOKENS = 1 << 20, 1 << 18
 
 
 def held_out(doc_id: Column) -> Column:
@@ -123,23 +126,67 @@ class _Chain:
         return np.concatenate([pairs.sum(axis=0).ravel(), [self.toxic()[opens].sum()]])
 
 
-def _evidence(tokens: _Tokens, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each distinct word: whether it or its stem marks toxic documents, and how many clean documents have the word."""
-    n = len(toxic)
-    row = np.repeat(np.arange(n), np.diff(tokens.first))
-    p = min(max(toxic.mean(), 1e-9), 1 - 1e-9)
-    marks = np.zeros(len(tokens.distinct), bool)
+class _Sample:
+    """Documents as codes of their words: 4 bytes a token, whatever the work arrays of tokenizing or fitting take.
+
+    Batches of text and toxic come in order. Copies and near copies would count one document's words many times, so only the
+    first document of each pair of smallest shingles is kept.
+    """
+
+    def __init__(self, batches: Iterator[pa.RecordBatch]):
+        met: set[tuple[int, int]] = set()
+        pieces, toxic = [], []
+        for batch in slices(batches, limit=STEP_BYTES):
+            hashes, first = words(*text_bytes(batch.column("text")), ALNUM)
+            runs, first = shingles(hashes, first, 5)
+            low = [tuple(int(scramble(runs[a:b] ^ np.uint64(k)).min()) if b > a else 0 for k in (1, 2)) for a, b in zip(first[:-1], first[1:])]
+            keep = pa.array([i for i, pair in enumerate(low) if not (pair in met or met.add(pair))], pa.int64())
+            tokens = _Tokens(*text_bytes(batch.column("text").take(keep)))
+            pieces.append((tokens.distinct, tokens.table, tokens.features, tokens.code.astype(np.int32), np.diff(tokens.first)))
+            toxic.append(np.asarray(batch.column("toxic").take(keep)).astype(np.int64))
+        self.toxic = np.concatenate([np.zeros(0, np.int64), *toxic])
+        if not pieces:
+            return
+        self.distinct, example = np.unique(np.concatenate([p[0] for p in pieces]), return_index=True)
+        self.table, self.features = (np.concatenate([p[k] for p in pieces])[example] for k in (1, 2))
+        self.code = np.concatenate([np.searchsorted(self.distinct, p[0]).astype(np.int32)[p[3]] for p in pieces])
+        self.size = np.concatenate([p[4] for p in pieces])
+        self.first = np.cumsum(self.size) - self.size
+
+    def parts(self, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """`rows` in groups of about `FIT_TOKENS` tokens: the rows, the code of each token and the first token of each row (one more)."""
+        size = self.size[rows]
+        piece = (np.cumsum(size) - size) // FIT_TOKENS
+        for some in np.split(rows, np.flatnonzero(np.diff(piece)) + 1):
+            first = np.concatenate([[0], np.cumsum(self.size[some])])
+            at = np.arange(first[-1]) + np.repeat(self.first[some] - first[:-1], self.size[some])
+            yield some, self.code[at], first
+
+
+def _opens(first: np.ndarray) -> np.ndarray:
+    opens = np.zeros(first[-1], bool)
+    opens[first[:-1][np.diff(first) > 0]] = True
+    return opens
+
+
+def _evidence(sample: _Sample, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each distinct word: whether it or its stem marks toxic documents among `rows`, and how many clean ones have the word."""
+    p = min(max(sample.toxic[rows].mean(), 1e-9), 1 - 1e-9)
+    marks = np.zeros(len(sample.distinct), bool)
     clean = None
-    for column in tokens.table.T[: 1 + len(PREFIXES)]:
-        value, code = np.unique(column, return_inverse=True)
-        pair = np.unique(code[tokens.code] * n + row)
-        feature, bad = pair // n, toxic[pair % n] == 1
-        a = np.bincount(feature[bad], minlength=len(value)).astype(float)
-        b = np.bincount(feature[~bad], minlength=len(value)).astype(float)
+    for column in sample.table.T[: 1 + len(PREFIXES)]:
+        value, kind = np.unique(column, return_inverse=True)
+        a, b = np.zeros(len(value)), np.zeros(len(value))
+        for some, code, first in sample.parts(rows):
+            n = len(some)
+            pair = np.unique(kind[code] * n + np.repeat(np.arange(n), np.diff(first)))
+            feature, bad = pair // n, sample.toxic[some[pair % n]] == 1
+            a += np.bincount(feature[bad], minlength=len(value))
+            b += np.bincount(feature[~bad], minlength=len(value))
         with np.errstate(divide="ignore", invalid="ignore"):
             ratio = 2 * (np.where(a > 0, a * np.log(a / (a + b) / p), 0) + np.where(b > 0, b * np.log(b / (a + b) / (1 - p)), 0))
-        marks |= ((ratio >= EVIDENCE) & (b <= IMPURE * a) & (value != 0))[code]
-        clean = b[code] if clean is None else clean
+        marks |= ((ratio >= EVIDENCE) & (b <= IMPURE * a) & (value != 0))[kind]
+        clean = b[kind] if clean is None else clean
     return marks, clean
 
 
@@ -163,65 +210,52 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _fit(texts: pa.Array, toxic: np.ndarray) -> np.ndarray:
+def _fit(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
     """Feature weights, four moves and start, and calibration, end to end."""
-    tokens = _Tokens(*text_bytes(texts))
-    # copies and near copies would count one document's words many times: one document for each pair of smallest shingles
-    runs, first = shingles(tokens.hashes, tokens.first, 5)
-    low = [[(scramble(runs[a:b] ^ np.uint64(k))).min() if b > a else 0 for a, b in zip(first[:-1], first[1:])] for k in (1, 2)]
-    keep = np.unique(np.array(low, np.uint64), axis=1, return_index=True)[1] if len(toxic) else np.zeros(0, np.int64)
+    sample = _Sample(batches)
     model = np.zeros(WEIGHTS + 8)
-    y = toxic[keep]
+    y = sample.toxic
     if len(y) == 0 or y.min() == y.max():
         model[-3] = 0 if len(y) == 0 else (12.0 if y.min() == 1 else -12.0)
         model[-3] = model[-3] or -12.0
         return model
-    tokens = _Tokens(*text_bytes(texts.take(pa.array(np.sort(keep)))))
-    y = toxic[np.sort(keep)]
-    unseen = np.arange(len(y)) % 4 == 3
-    seen_rows = np.where(unseen, -1, y)
-    part = np.repeat(seen_rows, np.diff(tokens.first))
     # documents for the calibration count as clean ones nowhere: their tokens are left out of the evidence
-    own = _Tokens(*text_bytes(texts.take(pa.array(np.sort(keep)[~unseen]))))
-    marks, clean = _evidence(own, y[~unseen])
-    where = np.minimum(np.searchsorted(own.distinct, tokens.distinct), len(own.distinct) - 1)
-    known = own.distinct[where] == tokens.distinct
-    marks, clean = known & marks[where], np.where(known, clean[where], 1)
-    label = np.where(marks, 1, np.where(clean > 0, 0, -1))[tokens.code]
-    label = np.where(part == 1, label, 0)
+    unseen = np.arange(len(y)) % 4 == 3
+    marks, clean = _evidence(sample, np.flatnonzero(~unseen))
+    label = np.where(marks, 1, np.where(clean > 0, 0, -1))
     # the chains to fit on: toxic documents, and two clean ones for each
-    bad = np.flatnonzero(seen_rows == 1)
-    good = np.flatnonzero(seen_rows == 0)
+    bad = np.flatnonzero(~unseen & (y == 1))
+    good = np.flatnonzero(~unseen & (y == 0))
     rows = np.sort(np.concatenate([bad, good[:: max(1, len(good) // (2 * len(bad) + 1))]]))
-    use = np.zeros(len(y), bool)
-    use[rows] = True
-    at = np.flatnonzero(np.repeat(use, np.diff(tokens.first)))
-    code, opens, label = tokens.code[at], tokens.opens[at], label[at]
-    allowed = np.ones((len(at), 2))
-    allowed[label == 0, 1] = 0
-    allowed[label == 1, 0] = 0
     weights, moves = np.zeros(WEIGHTS), np.array([0.0, -4.0, -1.0, -1.0, -4.0])
-    size_w, size_m, bias = np.full(WEIGHTS, 1e-3), np.full(5, 1e-3), 0.0
+    size_w, size_m = np.full(WEIGHTS, 1e-3), np.full(5, 1e-3)
     for step in range(STEPS):
-        score = weights[tokens.features].sum(axis=1)[code]
-        free, tied = _Chain(score, opens, moves), _Chain(score, opens, moves, allowed)
-        per_word = np.bincount(code, tied.toxic() - free.toxic(), minlength=len(tokens.distinct))
+        score = weights[sample.features].sum(axis=1)
+        per_word, turn = np.zeros(len(sample.distinct)), np.zeros(5)
+        for some, code, first in sample.parts(rows):
+            opens = _opens(first)
+            own = np.where(np.repeat(y[some], np.diff(first)) == 1, label[code], 0)
+            chain = _Chain(score[code], opens, moves, np.stack([own != 1, own != 0], axis=1))
+            toxic, counts = chain.toxic(), chain.moves(opens)
+            chain = _Chain(score[code], opens, moves)
+            per_word += np.bincount(code, toxic - chain.toxic(), minlength=len(sample.distinct))
+            turn += counts - chain.moves(opens)
+            del chain
         slope = np.zeros(WEIGHTS)
-        for f in tokens.features.T:
+        for f in sample.features.T:
             slope += np.bincount(f, per_word, minlength=WEIGHTS)
         slope -= 0.01 * weights
         slope[0] = 0
         size_w += slope**2
         weights += 1.0 * slope / np.sqrt(size_w)
-        turn = tied.moves(opens) - free.moves(opens)
         turn[0] = 0
         size_m += turn**2
         moves += 0.5 * turn / np.sqrt(size_m)
     model[:WEIGHTS], model[WEIGHTS : WEIGHTS + 5] = weights, moves
-    del own, free, tied
-    fresh = _Tokens(*text_bytes(texts.take(pa.array(np.sort(keep)[unseen]))))
-    p = _Chain(weights[fresh.features].sum(axis=1)[fresh.code], fresh.opens, moves).toxic() if len(fresh.code) else np.zeros(0)
-    model[-3:] = _logistic(_document_features(p, fresh.first), y[unseen])
+    score, fresh = weights[sample.features].sum(axis=1), []
+    for some, code, first in sample.parts(np.flatnonzero(unseen)):
+        fresh.append(_document_features(_Chain(score[code], _opens(first), moves).toxic() if len(code) else np.zeros(0), first))
+    model[-3:] = _logistic(np.concatenate(fresh), y[unseen])
     return model
 
 
@@ -234,18 +268,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     chosen = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     chosen = chosen.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    # at most `sample` short rows, so they can go to every task
-    rows = id_and_text(docs).filter(F.octet_length("text") <= SAMPLE_TEXT).join(F.broadcast(chosen), "doc_id").withColumn("all", F.lit(1))
+    # at most `sample` short rows, so they can go to every task; repeated rows of a document count once
+    rows = id_and_text(docs).filter(F.octet_length("text") <= SAMPLE_TEXT).join(F.broadcast(chosen), "doc_id").distinct()
 
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        toxic = np.asarray(group.column("toxic")).astype(np.int64)
-        return pa.table({"model": pa.array([_fit(group.column("text").combine_chunks(), toxic).tobytes()], pa.binary())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([_fit(batches).tobytes()], pa.binary())], ["model"])
 
-    found = rows.groupBy("all").applyInArrow(run, "model binary").collect()
-    if found:
-        return np.frombuffer(found[0].model, np.float64)
-    return _fit(pa.array([], pa.string()), np.zeros(0, np.int64))
+    found = rows.repartition(1).sortWithinPartitions("doc_id", "text").mapInArrow(run, "model binary").collect()
+    return np.frombuffer(found[0].model, np.float64) if found else _fit(iter([]))
 
 
 def tag(docs: DataFrame, model: np.ndarray) -> DataFrame:
@@ -259,10 +289,18 @@ def tag(docs: DataFrame, model: np.ndarray) -> DataFrame:
     keep = [c for c in docs.columns if c not in ("score", "predicted", "spans")]
     # the input's columns travel in one struct, so that none of their names can clash
     rows_of = docs.select(F.struct(*keep).alias("row"), F.col("text").cast("string").alias("text"))
+    # a text that is a string already is not sent a second time
+    place = keep.index("text") if "text" in keep and docs.schema["text"].dataType == T.StringType() else None
+    sent = rows_of if place is None else rows_of.select("row")
+
+    def with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column("row")
+            yield batch if place is None else pa.RecordBatch.from_arrays([row, row.field(place)], ["row", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, moves, calibration = small[:WEIGHTS].astype(np.float64), small[WEIGHTS : WEIGHTS + 5].astype(np.float64), small[-3:].astype(np.float64)
-        for batch in slices(batches):
+        for batch in slices(with_text(batches), limit=STEP_BYTES):
             data, rows = text_bytes(batch.column("text"))
             tokens = _Tokens(data, rows)
             p = np.zeros(0)
@@ -284,7 +322,7 @@ def tag(docs: DataFrame, model: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(final), pa.array(spans, spans_type)], ["row", "score", "spans"])
 
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
-    found = rows_of.mapInArrow(run, T.StructType([rows_of.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))]))
+    found = sent.mapInArrow(run, T.StructType([sent.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))]))
     columns = [F.col("row").getField(c).alias(c) for c in keep]
     return found.select(*columns, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
 
