@@ -154,3 +154,26 @@ def test_components(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert {r.node: r.component for r in got} == {n: c for n, c in name.items() if n in linked} and len(got) == len(linked)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_of_few_edges_run_in_few_tasks(spark):
+    """Chains and a star, in a session of many partitions that adaptive execution does not bring together."""
+    from ticketlake.llm.common import components
+
+    edges = [(3 * k + j, 3 * k + j + 1) for k in range(0, 300, 2) for j in (0, 1)] + [(10_000, 10_000 + j) for j in range(1, 400)]
+    settings = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, context = {k: spark.conf.get(k) for k in settings}, spark.sparkContext
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        context.setJobGroup("few edges", "")
+        found = components(spark.createDataFrame(edges, "a long, b long"))
+        tasks = [t.getStageInfo(s).numTasks for t in [context.statusTracker()] for j in t.getJobIdsForGroup("few edges") for s in t.getJobInfo(j).stageIds if t.getStageInfo(s)]
+        got = {r.node: r.component for r in found.collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {3 * k + j: 3 * k for k in range(0, 300, 2) for j in range(3)} | {10_000 + j: 10_000 for j in range(400)}
+    assert found.rdd.getNumPartitions() < 97
+    assert sum(tasks) < 97 * 16, sum(tasks)
