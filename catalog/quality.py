@@ -12,7 +12,7 @@ from ticketlake.functions import cleanse as X, scores as S
 from ticketlake.operators import boosting as B, learning as L, profiling as P, quality as Q, relational as J
 from ticketlake.plans import corpus as C, ml_dataset
 from ticketlake.plans.warehouse import Warehouse
-from ticketlake.session import AS_OF, checkpoint_dir
+from ticketlake.session import AS_OF, checkpoint_dir, written_once
 from ticketlake.sources.sinks import export_gold
 
 LEVELS = ("critical", "high", "medium", "low", "unknown")
@@ -258,6 +258,7 @@ class Triage:
     def data(t):
         """Rows with all targets, each target with its own stratified quarter for testing."""
         rows = _labelled(t).select("ticket_pk", *R.TRIAGE_FEATURES, *R.TRIAGE_TARGETS).dropna(subset=list(R.TRIAGE_TARGETS))
+        rows = written_once(rows, "triage")  # every split reads the rows twice, and cleaning is the costly part
         for target in R.TRIAGE_TARGETS:
             rows = L.stratified_split(rows, target, "ticket_pk").withColumn(f"train_{target}", ~F.col("is_test")).drop("is_test")
         return rows

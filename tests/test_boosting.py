@@ -90,3 +90,25 @@ def test_nothing_to_learn(spark):
 def test_all_cores_share_the_rows_of_a_level():
     assert B.partitions(72 << 20, 12) == 12 and B.partitions(100, 12) == 1 and B.partitions(3 << 20, 12) == 3
     assert B.partitions(32 << 30, 12) == 1024
+
+
+def test_rows_of_one_partition_grow_the_same_trees_in_one_task(spark, monkeypatch):
+    args = ("id", ["a", "b", "c"], ["y", "z"], {"y": "train", "z": "train"})
+    monkeypatch.setattr(B, "PART_BYTES", 1000)
+    by_level = B.fit(table(spark), *args, rounds=6, depth=5)
+    monkeypatch.undo()
+
+    def no_job_for_a_level(*_):
+        raise AssertionError("a level was added up in a job of its own")
+
+    monkeypatch.setattr(B, "histograms", no_job_for_a_level)
+    at_once = B.fit(table(spark, parts=5), *args, rounds=6, depth=5)
+    assert same(by_level, at_once) and (by_level.splits == at_once.splits).all() and np.allclose(by_level.gain, at_once.gain, rtol=1e-12)
+
+
+def test_triage_cleans_the_texts_once(spark, folder):
+    from catalog.quality import Triage
+    from ticketlake.sources.tables import Tables
+
+    plan = Triage.data(Tables(spark, folder))._jdf.queryExecution().optimizedPlan().toString()
+    assert "html" not in plan and "regexp_replace" not in plan and "text_corpus" not in plan

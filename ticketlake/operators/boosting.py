@@ -4,7 +4,8 @@ Features are cut into bins once. A tree grows level by level: every task routes
 adds up gradients and curvatures by class, node, feature and bin; the sums of all tasks make one table whose size is that
 of a tree level, not of the data, and the driver picks the splits from it. Gradients are fixed-point numbers, so their sums
 and therefore the trees do not depend on how rows are dealt out. All classes of all targets grow in the same passes. Scores of
-the rows are written again after every few rounds, and lost tasks start from there.
+the rows are written again after every few rounds, and lost tasks start from there. Rows that fit one partition are not worth
+a job for each level: one task holds them and grows the same trees.
 """
 from __future__ import annotations
 
@@ -223,16 +224,16 @@ def fit(
         return model
     folder = f"{checkpoint_dir(df.sparkSession)}/boosting-{uuid.uuid4().hex}"
     first = _stored(rows, folder)
-    parts = partitions(first.count() * (8 * len(owner) + 4 * (width + len(targets)) + 8), df.sparkSession.sparkContext.defaultParallelism)
+    size = first.count() * (8 * len(owner) + 4 * (width + len(targets)) + 8)
+    if size <= PART_BYTES:
+        _grown_at_once(first, model, rounds, rate, subsample, columns, seed)
+        return model
+    parts = partitions(size, df.sparkSession.sparkContext.defaultParallelism)
     rows = _stored(first, folder, parts)
     rng = np.random.default_rng(seed)
     pending: list[Round] = []
     for number in range(rounds):
-        nodes = 2 << depth
-        tree = Round(np.full((len(owner), nodes), -1, np.int16), np.zeros((len(owner), nodes), np.int16), np.zeros((len(owner), nodes), np.float32))
-        allowed = np.zeros((len(owner), width), bool)
-        for k in range(len(owner)):
-            allowed[k, rng.permutation(width)[: max(1, round(columns * width))]] = True
+        tree, allowed = _planted(model, rng, columns)
         for level in range(depth):
             at = 1 << level
             sums = histograms(rows, model, pending, tree, level, number, subsample).toArrow()
@@ -240,19 +241,7 @@ def fit(
             g, h = np.zeros((2, len(owner) * at * width * BINS))
             g[slot], h[slot] = (np.asarray(sums.column(c).combine_chunks()) / SCALE for c in ("g", "h"))
             g, h = (x.reshape(len(owner), at, width, BINS) for x in (g, h))
-            grown = False
-            for k, t in enumerate(owner):
-                if level == 0:
-                    tree.value[k, 1] = -rate * g[k, 0, 0].sum() / (h[k, 0, 0].sum() + PENALTY)
-                gain, f, b, values = best_splits(g[k], h[k], allowed[k])
-                for n in np.flatnonzero(gain > 1e-9):
-                    node = at + n
-                    tree.feature[k, node], tree.cut[k, node] = f[n], b[n]
-                    tree.value[k, 2 * node : 2 * node + 2] = rate * values[n]
-                    model.gain[t, f[n]] += gain[n]
-                    model.splits[t, f[n]] += 1
-                    grown = True
-            if not grown:
+            if not any([_grow(tree, model, k, g[k], h[k], allowed[k], rate) for k in range(len(owner))]):
                 break
         model.rounds.append(tree)
         pending.append(tree)
@@ -261,6 +250,90 @@ def fit(
     return model
 
 
+def _planted(model: Boosted, rng: np.random.Generator, columns: float) -> tuple[Round, np.ndarray]:
+    """Trees without splits and the features that each class may use in this round."""
+    n_classes, nodes, width = len(model.owner), 2 << model.depth, len(model.features)
+    tree = Round(np.full((n_classes, nodes), -1, np.int16), np.zeros((n_classes, nodes), np.int16), np.zeros((n_classes, nodes), np.float32))
+    allowed = np.zeros((n_classes, width), bool)
+    for k in range(n_classes):
+        allowed[k, rng.permutation(width)[: max(1, round(columns * width))]] = True
+    return tree, allowed
+
+
+def _grow(tree: Round, model: Boosted, k: int, g: np.ndarray, h: np.ndarray, allowed: np.ndarray, rate: float) -> bool:
+    """Splits of one level of the tree of class k, from its sums over (node, feature, bin); False: there was none."""
+    at, t = len(g), model.owner[k]
+    if at == 1:
+        tree.value[k, 1] = -rate * g[0, 0].sum() / (h[0, 0].sum() + PENALTY)
+    gain, f, b, values = best_splits(g, h, allowed)
+    split = np.flatnonzero(gain > 1e-9)
+    for n in split:
+        node = at + n
+        tree.feature[k, node], tree.cut[k, node] = f[n], b[n]
+        tree.value[k, 2 * node : 2 * node + 2] = rate * values[n]
+        model.gain[t, f[n]] += gain[n]
+        model.splits[t, f[n]] += 1
+    return len(split) > 0
+
+
+def _grown_at_once(rows: DataFrame, model: Boosted, rounds: int, rate: float, subsample: float, columns: float, seed: int) -> None:
+    """All rounds in one task that holds the rows. Only the smaller child of a split is added up; the larger one is the rest."""
+    owner, depth, width, targets = model.owner, model.depth, len(model.features), len(model.targets)
+
+    def tree_of(k: int, tree: Round, allowed: np.ndarray, bins: np.ndarray, place: np.ndarray, row: np.ndarray, drawn: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+        node = np.ones(len(bins), np.int64)
+        flat = bins.ravel()
+        used = drawn[h[drawn] > 0]
+        gains, curves = g[used], h[used]
+        all_g, all_h = np.zeros((2, 1, width * BINS))
+        for level in range(depth):
+            first, size = 1 << level, (1 << level) * width * BINS
+            at = node[used] - first
+            if level:
+                # rows that stayed in a leaf of an earlier level are left out; the sums of a parent cover both of its children
+                count = np.bincount(at[at >= 0], minlength=first).reshape(-1, 2)
+                small = np.stack([count[:, 0] <= count[:, 1], count[:, 0] > count[:, 1]], axis=1).ravel()
+                some = np.flatnonzero((at >= 0) & small[at])
+                parent = np.repeat(tree.feature[k, first // 2 : first] >= 0, 2)
+            else:
+                some, small, parent = np.arange(len(used)), np.ones(1, bool), np.ones(1, bool)
+            slot = ((at[some] * (width * BINS))[:, None] + place[used[some]]).ravel()
+            # whole numbers below 2^53, so the sums and what is left of a parent are exact
+            own = [np.bincount(slot, np.repeat(x[some], width), size).reshape(first, -1) for x in (gains, curves)]
+            if level:
+                for x, up in zip(own, (all_g, all_h), strict=True):
+                    rest = np.flatnonzero(~small & parent)
+                    x[rest] = up[rest // 2] - x[rest ^ 1]
+            all_g, all_h = own
+            if not _grow(tree, model, k, *(x.reshape(first, width, BINS) / SCALE for x in own), allowed, rate):
+                break
+            feature, cut = tree.feature[k], tree.cut[k]
+            on = (feature >= 0)[node]
+            on &= node >= first
+            right = flat[row + np.maximum(feature, 0).astype(np.int64)[node]] > cut[node]
+            node = np.where(on, 2 * node + right, node)
+        return tree.value[k][node]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.asarray(b.column("key")), _matrix(b.column("bins"), width, np.uint8), _matrix(b.column("labels"), targets, np.int8)) for b in batches]
+        key, bins, labels = (np.concatenate(x) for x in zip(*held, strict=True))
+        place, row, scores = np.arange(width) * BINS + bins.astype(np.int64), np.arange(len(key)) * width, np.zeros((len(key), len(owner)))
+        rng = np.random.default_rng(seed)
+        for number in range(rounds):
+            tree, allowed = _planted(model, rng, columns)
+            drawn = np.flatnonzero(_drawn(key, number, subsample))
+            g, h = (np.rint(x * SCALE) for x in gradients(scores, labels, owner))
+            for k in range(len(owner)):
+                scores[:, k] += tree_of(k, tree, allowed[k], bins, place, row, drawn, np.ascontiguousarray(g[:, k]), np.ascontiguousarray(h[:, k]))
+            parts = (tree.feature, tree.cut, tree.value, model.gain, model.splits)
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in parts]], ["number", "feature", "cut", "value", "gain", "splits"])
+
+    shape = (len(owner), 2 << depth)
+    for r in sorted(rows.coalesce(1).mapInArrow(run, "number int, feature binary, cut binary, value binary, gain binary, splits binary").toArrow().to_pylist(), key=lambda r: r["number"]):
+        model.rounds.append(Round(*(np.frombuffer(r[c], kind).reshape(shape) for c, kind in (("feature", np.int16), ("cut", np.int16), ("value", np.float32)))))
+        model.gain, model.splits = (np.frombuffer(r[c], kind).reshape(targets, width) for c, kind in (("gain", np.float64), ("splits", np.int64)))
+
+
 def _advanced(rows: DataFrame, pending: list[Round], model: Boosted) -> DataFrame:
     width, n_classes, depth = len(model.features), len(model.owner), model.depth
 
