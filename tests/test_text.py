@@ -94,3 +94,21 @@ def test_few_texts_of_a_batch_are_python_objects_at_a_time():
     assert peak < 8_000_000  # the batch has 20 MB
     assert got.to_pylist() == [None if t is None else T.collapse_repeats(t).strip() for t in texts.to_pylist()]
     assert T.collapse_batch(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_words_that_cannot_repeat_are_not_looked_at(monkeypatch):
+    seen = []
+    edge = T._boundary
+    monkeypatch.setattr(T, "_boundary", lambda s, i: seen.append(i) or edge(s, i))
+    text = " ".join(f"w{k}" for k in range(3000))
+    assert T.collapse_batch(pa.array([text, f"{text} u v-w v-w."])).to_pylist() == [text, f"{text} u v-w."]
+    assert len(seen) < 10  # each of 6,000 words before
+
+
+def test_batches_collapse_as_single_texts_do():
+    rng = random.Random(8)
+    parts = ["a", "b", "ab", "a-b", "b.", "-", "a/b", "_x", "1.2", "b-", "x.", "é", "é-a", "_"]
+    texts = [" ".join(rng.choice(parts[: rng.randint(2, 14)]) for _ in range(rng.randint(1, 40))) for _ in range(400)] + [None, ""]
+    for some in (texts, [t for t in texts if t is None or t.isascii()]):
+        got = T.collapse_batch(pa.array(some, pa.string()).slice(3), rows=7).to_pylist()
+        assert got == [None if t is None else PHRASE.sub(r"\1", t).strip() for t in some[3:]]
