@@ -211,6 +211,30 @@ def test_local_outlier_factor_finds_the_outlier(spark):
     assert scored.count() == 201 and scored.orderBy(F.col("lof_score").desc()).first()["id"] == "999"
 
 
+def test_equal_points_are_compared_once(spark, monkeypatch):
+    """Ids that repeat or are null, and a place of very many ids: the same nearest rows as from all pairs, ties by id."""
+    rng = np.random.default_rng(3)
+    rows = [(f"p{k:03}", float(rng.integers(0, 4)), float(rng.integers(0, 3))) for k in range(90)] + [(f"z{k:04}", 0.0, 0.0) for k in range(700)]
+    rows += rows[5:9] * 2 + rows[100:103] * 5 + [(None, 1.0, 1.0), (None, 1.0, 1.0), (None, 7.5, 0.0), ("nan", float("nan"), 0.0)]
+    df = spark.createDataFrame(rows, "id string, a double, b double").repartition(5)
+    k, rank = 4, {i: n for n, i in enumerate(sorted({r[0] or "" for r in rows}))}
+    some = [r for r in rows if r[1] == r[1]]
+    want = []
+    for i in {r[0] for r in some}:
+        pool = []
+        for r in (r for r in some if r[0] == i):
+            pool += sorted((float(np.hypot(r[1] - q[1], r[2] - q[2])), rank[q[0] or ""]) for q in some if q[0] != i)[:k]
+        want += [(i or "", d, o) for d, o in sorted(pool)[:k]]
+    points = df.select("id", F.array("a", "b").alias("x"))
+    top_k = L.top_k
+    for block in (20_000, 40):
+        monkeypatch.setattr(L, "LOF_BLOCK", block)
+        nearest = top_k(L._nearest_pairs(points, k), "id", [F.col("dist"), F.col("other")], k, "_r").collect()
+        got = sorted((r.id or "", r.dist, rank[r.other or ""]) for r in nearest)
+        assert [g[::2] for g in got] == [w[::2] for w in sorted(want)]
+        assert np.allclose([g[1] for g in got], [w[1] for w in sorted(want)])
+
+
 def test_best_by_rules_with_one_hot_key(spark):
     """Ten thousand rows of one uuid on both sides stay ten thousand rows."""
     n = 10_000

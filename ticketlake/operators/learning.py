@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ticketlake.functions import cleanse as X
 from ticketlake.operators.ordering import top_k
 from ticketlake.operators.selection import exact_quantiles
+from ticketlake.session import written_once
 
 
 # ---- preparation ---------------------------------------------------------------------------------
@@ -223,24 +224,27 @@ def _nearest(u: np.ndarray, v: np.ndarray, same: np.ndarray, k: int) -> tuple[np
     return rows[keep], at[keep], dist[keep]
 
 
-def local_outlier_factor(df: DataFrame, key: str, features, k: int = 10) -> DataFrame:
-    """Local outlier factor from exact nearest neighbours.
+def _nearest_pairs(points: DataFrame, k: int) -> DataFrame:
+    """`id, other, dist`: among them the k nearest rows of other ids to each row of `id, x`, ties by id.
 
-    Features are standardised with one aggregation. Neighbours come from blocks of rows compared
-    block by block (``dense``-style cogroup), each task emitting k rows per point only.
+    Equal points are one place, and only its first k + 1 ids can be neighbours of any point. These are compared block by
+    block; every other id of a place has its k nearest there, at distance 0. Places that hold a NaN have no neighbours.
     """
-    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(features)], *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(features)]).first()
-    x = F.array(*[(F.coalesce(F.col(c).cast("double"), F.lit(stats[f"m{i}"] or 0.0)) - (stats[f"m{i}"] or 0.0)) / (stats[f"s{i}"] or 1.0) for i, c in enumerate(features)])
-    points = df.select(F.col(key).cast("string").alias("id"), x.alias("x"))
-    blocks = max(1, -(-df.count() // LOF_BLOCK))
+    ids = points.groupBy("x", "id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("copies"))
+    ids = ids.filter(F.forall("x", lambda v: F.abs(v) < float("inf")))
+    kept = top_k(ids, "x", [F.col("id").asc_nulls_first()], k + 1, "_r")
+    kept = written_once(kept, "places")
+    rows = kept.select("id", "x", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_c")).drop("_c")
+    blocks = max(1, -(-rows.count() // LOF_BLOCK))
     own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = points.withColumn("a", own).withColumn("b", all_blocks)
-    right = points.withColumn("b", own).withColumn("a", all_blocks).select(*[F.col(c).alias(f"{c}_") for c in ("id", "x", "a", "b")])
+    left = rows.withColumn("a", own).withColumn("b", all_blocks)
+    right = rows.withColumn("b", own).withColumn("a", all_blocks).select(*[F.col(c).alias(f"{c}_") for c in ("id", "x", "a", "b")])
 
     def near(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(p) or not len(q):
             return pd.DataFrame({"id": [], "other": [], "dist": []})
+        q = q.sort_values("id_", kind="stable", na_position="first")
         u, v = np.stack(p["x"].to_numpy()), np.stack(q["x_"].to_numpy())
         ids, others = p["id"].to_numpy(dtype=object), q["id_"].to_numpy(dtype=object)
         codes = pd.factorize(np.concatenate([ids, others]))[0]
@@ -251,7 +255,26 @@ def local_outlier_factor(df: DataFrame, key: str, features, k: int = 10) -> Data
         return pd.concat(out, ignore_index=True)
 
     pairs = left.groupBy("a", "b").cogroup(right.groupBy("a_", "b_")).applyInPandas(near, "id string, other string, dist double")
-    knn = top_k(pairs, "id", [F.col("dist"), F.col("other")], k, "_r").drop("_r")
+    # places of more ids: the first k rows there, and the id after which the others come
+    full = kept.groupBy("x").agg(F.array_sort(F.collect_list(F.struct(F.col("_r"), "id", "copies"))).alias("m")).filter(F.size("m") > k)
+    first = F.slice(F.flatten(F.transform("m", lambda r: F.array_repeat(F.struct(r["id"].alias("other")), r["copies"]))), 1, k)
+    full = full.select("x", first.alias("first"), F.col("m")[k]["id"].alias("after"))
+    rest = ids.join(full, "x").filter(F.col("id") > F.col("after"))
+    there = F.slice(F.flatten(F.transform("first", lambda o: F.array_repeat(o, F.col("copies")))), 1, k)
+    return pairs.unionByName(rest.select("id", F.explode(there).alias("o")).select("id", F.col("o.other").alias("other"), F.lit(0.0).alias("dist")))
+
+
+def local_outlier_factor(df: DataFrame, key: str, features, k: int = 10) -> DataFrame:
+    """Local outlier factor from exact nearest neighbours.
+
+    Features are standardised with one aggregation. Neighbours come from blocks of different points compared
+    block by block (``dense``-style cogroup), each task emitting k rows per point only.
+    """
+    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(features)], *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(features)]).first()
+    x = F.array(*[(F.coalesce(F.col(c).cast("double"), F.lit(stats[f"m{i}"] or 0.0)) - (stats[f"m{i}"] or 0.0)) / (stats[f"s{i}"] or 1.0) for i, c in enumerate(features)])
+    pairs = _nearest_pairs(written_once(df.select(F.col(key).cast("string").alias("id"), x.alias("x")), "points"), k)
+    # read three times, and the comparison is the costly part
+    knn = written_once(top_k(pairs, "id", [F.col("dist"), F.col("other")], k, "_r").drop("_r"), "nearest")
     reach = knn.groupBy("id").agg(F.max("dist").alias("k_dist"))
     density = (
         knn.join(reach.select(F.col("id").alias("other"), "k_dist"), "other")
